@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,11 @@ def build_session(app: str = "boxtrail", master: str | None = None, **extra) ->
     return builder.getOrCreate()
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="boxtrail-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, visible to every executor.
 
@@ -36,8 +42,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="boxtrail-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_scratch()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
