@@ -7,9 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+TEXT, INT, LONG, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+DATE, STAMP, FLAG = T.DateType(), T.TimestampType(), T.BooleanType()
+JSON = T.VariantType()
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(spec.split()))
+
+def _struct(*runs: tuple[T.DataType, str]) -> T.StructType:
+    """A schema from runs of neighbouring columns of one type."""
+    return T.StructType([T.StructField(name, kind) for kind, names in runs for name in names.split()])
 
 
 # --- fixed values: column names and types of the tables and payloads ---------
@@ -17,68 +22,86 @@ def _struct(spec: str) -> T.StructType:
 # One element of the animal envelope, as read. Scalars are read as text and
 # cast later, so that one bad value costs its row and not its file. The five
 # nested fields are read as variants and come out as JSON text.
-ANIMAL_RAW = _struct("""
-    id string, codigo_fazenda string, codigo_animal string, tipo_animal string,
-    raca string, codigo_lote string, codigo_piquete string,
-    data_nascimento string, data_entrada string, categoria string,
-    origem string, classificacao variant, lote_anterior string, brinco string,
-    numero string, sexo string, pai string, peso_nascimento string,
-    peso_entrada string, data_ultima_pesagem string, status string,
-    observacoes variant, dados_adicionais variant,
-    codigo_rastreabilidade string, pelagem variant, geracao variant,
-    grau_sangue string, peso_atual string, data_ultima_movimentacao string,
-    data_entrada_lote string, data_criacao string, data_atualizacao string,
-    data_exclusao string
-""")
-
-ANIMAL = _struct("""
-    id string, codigo_fazenda string, codigo_animal string, tipo_animal int,
-    raca int, codigo_lote string, codigo_piquete string,
-    data_nascimento timestamp, data_entrada timestamp, categoria int,
-    origem int, classificacao string, lote_anterior string, brinco string,
-    numero int, sexo string, pai string, peso_nascimento double,
-    peso_entrada double, data_ultima_pesagem timestamp, status int,
-    observacoes string, dados_adicionais string,
-    codigo_rastreabilidade string, pelagem string, geracao string,
-    grau_sangue string, peso_atual double, data_ultima_movimentacao timestamp,
-    data_entrada_lote timestamp, data_criacao timestamp,
-    data_atualizacao timestamp, data_exclusao timestamp
-""")
+ANIMAL_RAW = _struct(
+    (TEXT,
+     "id codigo_fazenda codigo_animal tipo_animal raca codigo_lote codigo_piquete "
+     "data_nascimento data_entrada categoria origem"),
+    (JSON, "classificacao"),
+    (TEXT,
+     "lote_anterior brinco numero sexo pai peso_nascimento peso_entrada "
+     "data_ultima_pesagem status"),
+    (JSON, "observacoes dados_adicionais"),
+    (TEXT, "codigo_rastreabilidade"),
+    (JSON, "pelagem geracao"),
+    (TEXT,
+     "grau_sangue peso_atual data_ultima_movimentacao data_entrada_lote data_criacao "
+     "data_atualizacao data_exclusao"),
+)
+
+ANIMAL = _struct(
+    (TEXT, "id codigo_fazenda codigo_animal"),
+    (INT, "tipo_animal raca"),
+    (TEXT, "codigo_lote codigo_piquete"),
+    (STAMP, "data_nascimento data_entrada"),
+    (INT, "categoria origem"),
+    (TEXT, "classificacao lote_anterior brinco"),
+    (INT, "numero"),
+    (TEXT, "sexo pai"),
+    (DOUBLE, "peso_nascimento peso_entrada"),
+    (STAMP, "data_ultima_pesagem"),
+    (INT, "status"),
+    (TEXT, "observacoes dados_adicionais codigo_rastreabilidade pelagem geracao grau_sangue"),
+    (DOUBLE, "peso_atual"),
+    (STAMP,
+     "data_ultima_movimentacao data_entrada_lote data_criacao data_atualizacao "
+     "data_exclusao"),
+)
 
 # One flat animal object per file (raw layer).
-RAW_ANIMAL = _struct("""
-    id_animal string, data_nascimento date, id_propriedade string,
-    sexo string, raca string, peso_nascimento double, data_entrada date,
-    data_saida date, status string,
-    dados_adicionais struct<
-        vacinado: boolean,
-        vacinas: array<struct<tipo: string, data: date>>,
-        observacoes: string>
-""")
+RAW_ANIMAL = _struct(
+    (TEXT, "id_animal"),
+    (DATE, "data_nascimento"),
+    (TEXT, "id_propriedade sexo raca"),
+    (DOUBLE, "peso_nascimento"),
+    (DATE, "data_entrada data_saida"),
+    (TEXT, "status"),
+    (_struct(
+        (FLAG, "vacinado"),
+        (T.ArrayType(_struct((TEXT, "tipo"), (DATE, "data"))), "vacinas"),
+        (TEXT, "observacoes"),
+    ), "dados_adicionais"),
+)
 RAW_ANIMAL_REQUIRED = (
     "id_animal", "data_nascimento", "id_propriedade", "sexo", "raca", "status",
 )
 
-SIMPLE_ANIMAL = _struct("""
-    id string, identificacao string, data_nascimento timestamp, sexo string,
-    raca string, peso double, propriedade_id string, status string,
-    data_cadastro timestamp, data_atualizacao timestamp
-""")
+SIMPLE_ANIMAL = _struct(
+    (TEXT, "id identificacao"),
+    (STAMP, "data_nascimento"),
+    (TEXT, "sexo raca"),
+    (DOUBLE, "peso"),
+    (TEXT, "propriedade_id status"),
+    (STAMP, "data_cadastro data_atualizacao"),
+)
 SIMPLE_ANIMAL_REQUIRED = ("id", "identificacao")
 
-SLAUGHTER = _struct("""
-    json_certificado string, json_classificacao_ia string,
-    json_caracteristicas string, habilitacoes_etiqueta string,
-    dt_nascimento string, valor_ph double,
-    dt_fechamento_camera_abate timestamp, dt_abertura_camera_abate timestamp,
-    dt_compra date, dt_abate date, lote_abate int, id_destino_abate int,
-    motivos_dif string, nr_sequencial int, nr_banda int, peso_vivo double,
-    peso_carcaca double, hr_ultima_pesagem timestamp, flag_contusao boolean,
-    cnpj_industria_abate string, tipo_unidade_abate string,
-    nr_unidade_abate string, prod_cpf_cnpj string, prod_nr_ie string,
-    sexo string, nr_identificacao string, nr_chip string,
-    cod_barra_abate string
-""")
+SLAUGHTER = _struct(
+    (TEXT,
+     "json_certificado json_classificacao_ia json_caracteristicas "
+     "habilitacoes_etiqueta dt_nascimento"),
+    (DOUBLE, "valor_ph"),
+    (STAMP, "dt_fechamento_camera_abate dt_abertura_camera_abate"),
+    (DATE, "dt_compra dt_abate"),
+    (INT, "lote_abate id_destino_abate"),
+    (TEXT, "motivos_dif"),
+    (INT, "nr_sequencial nr_banda"),
+    (DOUBLE, "peso_vivo peso_carcaca"),
+    (STAMP, "hr_ultima_pesagem"),
+    (FLAG, "flag_contusao"),
+    (TEXT,
+     "cnpj_industria_abate tipo_unidade_abate nr_unidade_abate prod_cpf_cnpj "
+     "prod_nr_ie sexo nr_identificacao nr_chip cod_barra_abate"),
+)
 
 # Slaughter record: target column, source column, target type.
 SLAUGHTER_MAPPING = (
@@ -115,69 +138,80 @@ SLAUGHTER_MAPPING = (
     ("codigo_barra_etiqueta", "cod_barra_abate", "string"),
 )
 
-SCHEDULE = _struct("""
-    cod_empresa bigint, dt_abate date, cnpj_industria_abate string,
-    tipo_unidade_abate string, nr_unidade_abate string, nr_lote_abate bigint,
-    nr_op string, nr_seq_abate bigint, nr_currais string,
-    nr_ordem_compra string, qtde_animais bigint, dt_compra date,
-    cnpj_empresa_ambiental string, hash_analise_ambiental string,
-    hash_lista_ibama string, hash_lista_te string,
-    prod_nome_razaosocial string, id_fornecedor bigint, prod_cpf_cnpj string,
-    prod_nr_ie string, prod_nr_rg string, prod_tipo string,
-    prod_endereco string, prod_cidade string, prod_estado string,
-    prod_cep string, faz_id bigint, faz_nome string, faz_endereco string,
-    faz_cidade string, faz_estado string, faz_cep string,
-    faz_geo_latitude double, faz_geo_longitude double, faz_nr_car string,
-    faz_nr_incra string, faz_nr_nirf string, faz_nr_sisbov string,
-    faz_nr_lar_lau string, faz_nr_licenca_ambiental string,
-    faz_nr_licenca_operacao string, status_analise_propriedade string,
-    caminhoes array<struct<placa_veiculo: string>>,
-    gtas array<struct<nr_gta: string>>,
-    nfs array<struct<
-        numero: string, natureza: string, origem_nome_razaosocial: string,
-        origem_cpf_cnpj: string, origem_estado: string,
-        destino_nome_razaosocial: string, destino_cpf_cnpj: string,
-        destino_estado: string, destino_pais: string, dt_compra: timestamp,
-        dt_emissao: timestamp, chave: string, xml: string,
-        itens: array<struct<
-            qtde: bigint, descricao: string, un_medida: string,
-            total: bigint, ncm: string>>>>
-""")
-
-BOX = _struct("""
-    id string, token_cliente string, dt_producao date,
-    nr_unidade_desossa string, nr_op_desossa string, dt_abate date,
-    nr_unidade_abate string, codigo string, peso double, json_desossa string,
-    json_propriedades string, json_animais string,
-    flag_processamento boolean, flag_desossa boolean,
-    flag_propriedades boolean, flag_animais boolean, flag_rastreavel boolean,
-    updated_at timestamp
-""")
+SCHEDULE = _struct(
+    (LONG, "cod_empresa"),
+    (DATE, "dt_abate"),
+    (TEXT, "cnpj_industria_abate tipo_unidade_abate nr_unidade_abate"),
+    (LONG, "nr_lote_abate"),
+    (TEXT, "nr_op"),
+    (LONG, "nr_seq_abate"),
+    (TEXT, "nr_currais nr_ordem_compra"),
+    (LONG, "qtde_animais"),
+    (DATE, "dt_compra"),
+    (TEXT,
+     "cnpj_empresa_ambiental hash_analise_ambiental hash_lista_ibama hash_lista_te "
+     "prod_nome_razaosocial"),
+    (LONG, "id_fornecedor"),
+    (TEXT,
+     "prod_cpf_cnpj prod_nr_ie prod_nr_rg prod_tipo prod_endereco prod_cidade "
+     "prod_estado prod_cep"),
+    (LONG, "faz_id"),
+    (TEXT, "faz_nome faz_endereco faz_cidade faz_estado faz_cep"),
+    (DOUBLE, "faz_geo_latitude faz_geo_longitude"),
+    (TEXT,
+     "faz_nr_car faz_nr_incra faz_nr_nirf faz_nr_sisbov faz_nr_lar_lau "
+     "faz_nr_licenca_ambiental faz_nr_licenca_operacao status_analise_propriedade"),
+    (T.ArrayType(_struct((TEXT, "placa_veiculo"))), "caminhoes"),
+    (T.ArrayType(_struct((TEXT, "nr_gta"))), "gtas"),
+    (T.ArrayType(_struct(
+        (TEXT,
+         "numero natureza origem_nome_razaosocial origem_cpf_cnpj origem_estado "
+         "destino_nome_razaosocial destino_cpf_cnpj destino_estado destino_pais"),
+        (STAMP, "dt_compra dt_emissao"),
+        (TEXT, "chave xml"),
+        (T.ArrayType(_struct(
+            (LONG, "qtde"), (TEXT, "descricao un_medida"), (LONG, "total"), (TEXT, "ncm"),
+        )), "itens"),
+    )), "nfs"),
+)
+
+BOX = _struct(
+    (TEXT, "id token_cliente"),
+    (DATE, "dt_producao"),
+    (TEXT, "nr_unidade_desossa nr_op_desossa"),
+    (DATE, "dt_abate"),
+    (TEXT, "nr_unidade_abate codigo"),
+    (DOUBLE, "peso"),
+    (TEXT, "json_desossa json_propriedades json_animais"),
+    (FLAG, "flag_processamento flag_desossa flag_propriedades flag_animais flag_rastreavel"),
+    (STAMP, "updated_at"),
+)
 
 STAGE_FLAGS = ("flag_desossa", "flag_propriedades", "flag_animais")
 
-PROC_BOX = _struct("""
-    id string, proc_resgistro_venda_id string, token_cliente string,
-    tipo_unidade_desossa string, nr_unidade_desossa string,
-    cnpj_industria_desossa string, nr_op_desossa string,
-    nr_unidade_abate string, tipo_unidade_abate string,
-    cnpj_industria_abate string, dt_abate date, dt_producao date,
-    dt_embalagem date, dt_validade date, dt_hora_inicio_desossa timestamp,
-    qtde_pecas int, peso_liquido double, peso_bruto double,
-    tipo_embalagem string, tara_primaria double, tara_total double,
-    codigo_rastreabilidade_ind string, cogido_palete string,
-    tipo_armazenamento string, dt_hora_pesagem timestamp,
-    codigo_barras string, json_habilitacoes string, created_at timestamp,
-    updated_at timestamp, tipo_caixa_id string
-""")
+PROC_BOX = _struct(
+    (TEXT,
+     "id proc_resgistro_venda_id token_cliente tipo_unidade_desossa nr_unidade_desossa "
+     "cnpj_industria_desossa nr_op_desossa nr_unidade_abate tipo_unidade_abate "
+     "cnpj_industria_abate"),
+    (DATE, "dt_abate dt_producao dt_embalagem dt_validade"),
+    (STAMP, "dt_hora_inicio_desossa"),
+    (INT, "qtde_pecas"),
+    (DOUBLE, "peso_liquido peso_bruto"),
+    (TEXT, "tipo_embalagem"),
+    (DOUBLE, "tara_primaria tara_total"),
+    (TEXT, "codigo_rastreabilidade_ind cogido_palete tipo_armazenamento"),
+    (STAMP, "dt_hora_pesagem"),
+    (TEXT, "codigo_barras json_habilitacoes"),
+    (STAMP, "created_at updated_at"),
+    (TEXT, "tipo_caixa_id"),
+)
 PROC_BOX_RENAMES = {
     "tipo_unidade_desossa_id": "tipo_unidade_desossa",
     "tipo_unidade_abate_id": "tipo_unidade_abate",
 }
 
-SALE_BOXES = _struct("caixas array<struct<id: string, codigo: string, peso: string>>")[
-    "caixas"
-].dataType
+SALE_BOXES = T.ArrayType(_struct((TEXT, "id codigo peso")))
 
 PROPERTY_COLUMNS = (
     "token_cliente", "dt_abate", "nr_unidade_abate", "nr_lote_abate",
@@ -211,12 +245,13 @@ SALE_HEADER_COLUMNS = (
     "json_caixas", "flag_web", "destino_pais",
 )
 
-RUN_LOG = _struct("""
-    id bigint, data_hora timestamp, tipo_payload string, camada string,
-    nome_arquivo string, status string, mensagem string, detalhes string,
-    duracao_ms int, registros_processados int, registros_invalidos int,
-    usuario string, hostname string, versao_script string
-""")
+RUN_LOG = _struct(
+    (LONG, "id"),
+    (STAMP, "data_hora"),
+    (TEXT, "tipo_payload camada nome_arquivo status mensagem detalhes"),
+    (INT, "duracao_ms registros_processados registros_invalidos"),
+    (TEXT, "usuario hostname versao_script"),
+)
 STATUS_OK = "sucesso"
 STATUS_ERROR = "erro"
 STATUS_WARNING = "alerta"

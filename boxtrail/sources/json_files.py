@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 JSON_GLOB = "*.[jJ][sS][oO][nN]"
 CORRUPT = "_corrupt_record"
 FILE = "arquivo"
-_PATH = F.col("_metadata.file_path")
+_PATH = "_metadata.file_path"
 
 
 def _reader(spark: SparkSession, multi_line: bool):
@@ -42,7 +42,7 @@ def scan_json(
     if not diagnostics:
         return _reader(spark, multi_line).schema(schema).json(path)
     df = _reader(spark, multi_line).schema(with_corrupt(schema)).json(path)
-    return df.withColumn(FILE, _PATH)
+    return df.withColumn(FILE, F.col(_PATH))
 
 
 def scan_envelope(
@@ -65,7 +65,7 @@ def scan_envelope(
     docs = _reader(spark, multi_line).schema(with_corrupt(schema)).json(path)
     readable = F.col(CORRUPT).isNull()
     items = F.when(readable, F.col(key)).otherwise(F.array(F.lit(None).cast(element)))
-    exploded = docs.select(F.col(CORRUPT), _PATH.alias(FILE), F.explode(items).alias("_e"))
+    exploded = docs.select(F.col(CORRUPT), F.col(_PATH).alias(FILE), F.explode(items).alias("_e"))
     return exploded.select(*[F.col(f"_e.{f.name}") for f in element], CORRUPT, FILE)
 
 
@@ -78,7 +78,7 @@ def list_files(
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
     return files.select(
-        _PATH.alias(FILE),
+        F.col(_PATH).alias(FILE),
         F.col("_metadata.file_name").alias("nome"),
         F.col("length").alias("tamanho"),
         F.col("modificationTime").alias("modificado_em"),
