@@ -26,13 +26,9 @@ def _only(where: Column | None, key: Column) -> Column:
     return key if where is None else F.when(where, key)
 
 
-def _by_id(lookup: DataFrame) -> list[Column]:
-    return [F.col("id").asc_nulls_last()] if "id" in lookup.columns else []
-
-
 def _lineage(lookup: DataFrame, keys, json_name: str) -> DataFrame:
     """The lookup cut to one row per key, with the whole row as JSON text."""
-    reduced = one_per_key(keyed(lookup, keys), keys, _by_id(lookup))
+    reduced = one_per_key(keyed(lookup, keys), keys)
     return reduced.withColumn(json_name, row_json(lookup.columns))
 
 

@@ -7,8 +7,11 @@ Two kinds of hot key are handled here, for every link in the package:
 * a key shared by many rows can be salted: the rows are dealt over ``salt``
   values and the lookup, one row per key, is repeated that many times.
 
-Beyond that, the runtime skew join splits oversized partitions. Each link is
-one join on its own keys, so that a split never breaks another join's layout.
+Beyond that, the runtime skew join splits oversized partitions. It can do so
+where both sides of a join come straight from a shuffle, and where no second
+join relies on the same layout. So each link is one join on its own keys, and
+a reduced lookup is shuffled again to the join even though its reduction had
+nearly the same layout: it is the small side.
 """
 
 from __future__ import annotations
@@ -22,21 +25,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SPREAD = 4096
 _RANK = "_rank"
 _SALT = "_salt"
+_ROW_IDS = ("id", "registro_id", "caixa_id")
 
 
-def one_per_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column] = (),
-) -> DataFrame:
-    """Keep the first row of each key.
+def one_per_key(df: DataFrame, keys: Sequence[str], newest: str | None = None) -> DataFrame:
+    """Keep one row of each key: the newest by a time column, if the frame has
+    it, then the lowest id, then the lowest by every other column, so that the
+    choice repeats.
 
-    The given order is completed with every other column, so that the choice
-    repeats. The ``= 1`` filter lets Spark cut each key to one row per task
-    before the shuffle, so a hot key never travels whole.
+    The ``= 1`` filter lets Spark cut each key to one row per task before the
+    shuffle, so a hot key never travels whole.
     """
-    ties = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order, *ties)
+    order = [F.col(newest).desc_nulls_last()] if newest in df.columns else []
+    rest = [c for c in df.columns if c not in (*keys, newest)]
+    rest.sort(key=lambda c: c != "id")
+    order += [F.col(c).asc_nulls_last() for c in rest]
+    # a frame of nothing but keys still needs some order
+    window = Window.partitionBy(*keys).orderBy(*(order or keys))
     return (
         df.withColumn(_RANK, F.row_number().over(window))
         .filter(F.col(_RANK) == 1)
@@ -49,6 +54,13 @@ def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
+def _seed(rows: DataFrame) -> Column:
+    """A hash that differs from row to row, from as few columns as will do:
+    every column named here must be read and shuffled."""
+    ids = [c for c in _ROW_IDS if c in rows.columns]
+    return F.xxhash64(*(ids or rows.columns))
+
+
 def left_lookup(
     rows: DataFrame,
     lookup: DataFrame,
@@ -74,7 +86,7 @@ def left_lookup(
     )
     left = rows.withColumns(dict(zip(row_keys, on.values())))
     no_key = reduce(or_, [F.col(k).isNull() for k in row_keys])
-    seed = F.xxhash64(*[c for c, kind in rows.dtypes if kind not in ("variant",)])
+    seed = _seed(rows)
     dealt = F.pmod(seed, F.lit(salt)) if salt > 1 else F.lit(0)
     deal = F.when(no_key, F.pmod(seed, F.lit(SPREAD))).otherwise(dealt)
     left = left.withColumn("_deal", deal.cast("int"))

@@ -11,13 +11,9 @@ from boxtrail.operators.lookups import one_per_key
 from boxtrail.schemas import PROC_BOX, PROC_BOX_RENAMES
 
 
-def newest_first(df: DataFrame) -> list[Column]:
-    return [F.col("updated_at").desc_nulls_last()] if "updated_at" in df.columns else []
-
-
 def dedup_by_id(df: DataFrame) -> DataFrame:
     """One row per id: the latest, with ties broken the same way every time."""
-    return one_per_key(df, ["id"], newest_first(df))
+    return one_per_key(df, ["id"], newest="updated_at")
 
 
 def duplicate_ids(df: DataFrame) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from boxtrail.operators.filters import with_required
 from boxtrail.operators.ledger import ingest_route, ingest_stats, not_loaded
 from boxtrail.operators.payloads import (
     animal_projection,
@@ -33,90 +33,101 @@ from boxtrail.schemas import (
     SLAUGHTER,
 )
 from boxtrail.sources.json_files import (
-    CORRUPT,
     FILE,
+    envelope,
+    open_envelope,
     pending_files,
-    scan_envelope,
     scan_json,
 )
 
 
-class Ingest(NamedTuple):
-    rows: DataFrame  # typed, for the table
-    rejected: DataFrame  # as read, with the broken rules
-    ledger: DataFrame  # one status row per file
-    stats: DataFrame  # files in total, loaded, failed
-
+class Payload(NamedTuple):
+    """One kind of payload: how to read, check and type it."""
 
-def _as_is(staged: DataFrame) -> DataFrame:
-    return staged
+    name: str
+    table: str
+    schema: T.StructType  # of a document
+    rows: Callable[[DataFrame], DataFrame]  # documents, as scanned, to rows
+    rules: Callable[[], dict[str, Column]]  # what makes a row invalid
+    typed: Callable[[DataFrame], DataFrame]  # valid rows to table rows
 
+    def check(self, docs: DataFrame) -> DataFrame:
+        return validate_rows(self.rows(docs), self.rules())
 
-def _route(staged, files, typed, strict, materialise) -> Ingest:
-    """Split validated rows. ``materialise`` writes them once as a table, so
-    that the files are parsed once for all four results."""
-    staged = materialise(staged)
-    kept = reject_files(staged, FILE) if strict else staged
-    good = kept.filter(is_valid()).drop(ERRORS)
-    ledger = ingest_route(staged, files, strict=strict)
-    return Ingest(typed(good), staged.filter(~is_valid()), ledger, ingest_stats(ledger))
 
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
 
-def _new(rows: DataFrame, ledger: DataFrame | None) -> DataFrame:
-    return rows if ledger is None else not_loaded(rows, ledger)
 
-
-def ingest_animals(
-    spark: SparkSession, path, *, multi_line=True, strict=False, loaded=None, materialise=_as_is
-) -> Ingest:
+def animals() -> Payload:
     """Animal envelopes to the 33-column table."""
-    raw = _new(
-        scan_envelope(spark, path, ANIMAL_RAW, multi_line=multi_line, diagnostics=True), loaded
+    return Payload(
+        "animais", "bt_animais", envelope(ANIMAL_RAW),
+        lambda docs: open_envelope(docs, ANIMAL_RAW), animal_rules, animal_projection,
     )
-    files = _new(pending_files(spark, path), loaded)
-    staged = animal_projection(
-        validate_rows(raw, animal_rules()), FILE, CORRUPT, ERRORS
-    )
-    return _route(staged, files, lambda df: df.drop(FILE, CORRUPT), strict, materialise)
 
 
-def ingest_mapped(
-    spark: SparkSession, path, token: str, *, multi_line=True, strict=False, loaded=None,
-    now: Column | None = None, materialise=_as_is,
-) -> Ingest:
+def slaughter_records(token: str, now: Column | None = None) -> Payload:
     """Slaughter records to the 31-column table of one tenant."""
-    raw = _new(
-        scan_json(spark, path, SLAUGHTER, multi_line=multi_line, diagnostics=True), loaded
+    return Payload(
+        "abates", "bt_abates", SLAUGHTER, _as_is, corrupt_rule,
+        lambda df: field_mapping(default_json(audit_stamp(df, token, now))),
     )
-    files = _new(pending_files(spark, path), loaded)
 
-    def typed(df: DataFrame) -> DataFrame:
-        return field_mapping(default_json(audit_stamp(df, token, now)))
 
-    return _route(validate_rows(raw, corrupt_rule()), files, typed, strict, materialise)
-
-
-def ingest_simple(
-    spark: SparkSession, path, *, multi_line=True, now: Column | None = None
-) -> DataFrame:
-    """Simple animals: keep rows with the required fields and stamp them."""
-    scanned = scan_json(spark, path, SIMPLE_ANIMAL, multi_line=multi_line)
-    return processed_stamp(with_required(scanned, SIMPLE_ANIMAL_REQUIRED), now)
+def simple_animals(now: Column | None = None) -> Payload:
+    """Ten-field animals that have the required fields, with a time stamp."""
+    return Payload(
+        "animais_simples", "animais", SIMPLE_ANIMAL, _as_is,
+        lambda: {**corrupt_rule(), **required_rules(SIMPLE_ANIMAL_REQUIRED)},
+        lambda df: processed_stamp(df.select(*SIMPLE_ANIMAL.fieldNames()), now),
+    )
 
 
-def ingest_raw_animals(
-    spark: SparkSession, path, *, multi_line=True, strict=False, loaded=None, materialise=_as_is
-) -> Ingest:
+def raw_animals() -> Payload:
     """Flat animal objects to the raw table, nested data as JSON text."""
-    raw = _new(
-        scan_json(spark, path, RAW_ANIMAL, multi_line=multi_line, diagnostics=True), loaded
+    return Payload(
+        "animais_raw", "raw_animais", RAW_ANIMAL, _as_is,
+        lambda: {**corrupt_rule(), **required_rules(RAW_ANIMAL_REQUIRED)},
+        lambda df: df.withColumn("dados_adicionais", F.to_json("dados_adicionais")).select(
+            *RAW_ANIMAL.fieldNames()
+        ),
     )
-    files = _new(pending_files(spark, path), loaded)
-    rules = {**corrupt_rule(), **required_rules(RAW_ANIMAL_REQUIRED)}
 
-    def typed(df: DataFrame) -> DataFrame:
-        return df.withColumn("dados_adicionais", F.to_json("dados_adicionais")).select(
-            *RAW_ANIMAL.fieldNames()
-        )
 
-    return _route(validate_rows(raw, rules), files, typed, strict, materialise)
+class Ingest(NamedTuple):
+    rows: DataFrame  # typed, for the table
+    rejected: DataFrame  # as read, with the broken rules
+    ledger: DataFrame  # one status row per file
+    stats: DataFrame  # files in total, loaded, failed
+
+
+def ingest(
+    spark: SparkSession,
+    path: str | list[str],
+    payload: Payload,
+    *,
+    multi_line: bool = True,
+    strict: bool = False,
+    loaded: DataFrame | None = None,
+    materialise: Callable[[DataFrame], DataFrame] = _as_is,
+) -> Ingest:
+    """Read every pending file once and split its rows.
+
+    ``loaded`` is an earlier ledger, whose files are left out. ``strict``
+    drops all rows of a file that has an invalid one. ``materialise`` writes
+    the checked rows as a table, so that the four results share one parse.
+    """
+    docs = scan_json(spark, path, payload.schema, multi_line=multi_line, diagnostics=True)
+    files = pending_files(spark, path)
+    if loaded is not None:
+        docs, files = not_loaded(docs, loaded), not_loaded(files, loaded)
+    staged = materialise(payload.check(docs))
+    kept = reject_files(staged, FILE) if strict else staged
+    ledger = ingest_route(staged, files, strict=strict)
+    return Ingest(
+        rows=payload.typed(kept.filter(is_valid()).drop(ERRORS)),
+        rejected=staged.filter(~is_valid()),
+        ledger=ledger,
+        stats=ingest_stats(ledger),
+    )

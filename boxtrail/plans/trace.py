@@ -89,23 +89,18 @@ def trace_all(
     """
     if reset:
         boxes = reset_flags(boxes, token, now=now)
-    work, rest = _split(boxes, in_scope(token) & any_pending())
+    # after a reset every box of the tenant is open
+    chosen = in_scope(token) if reset else in_scope(token) & any_pending()
+    whole = reset and token is None
+    work, rest = (boxes, None) if whole else _split(boxes, chosen)
     work = link_deboning(
         work, deboning, where=lacks_deboning(), tenant_scoped=tenant_scoped, now=now
     )
     work = link_origin(work, schedule, animals, where=lacks_origin(), now=now)
-    out = close_linked(work.unionByName(rest), token, now=now)
+    out = close_linked(work if whole else work.unionByName(rest), token, now=now)
     return set_traceable(out, token, now=now) if update_traceable else out
 
 
-def _in_period(boxes, token, start, end, reset, now) -> tuple[DataFrame, DataFrame]:
-    if reset:
-        boxes = reset_flags(boxes, token, start, end, now=now)
-    marked = mark_for_processing(boxes, token, start, end, now=now)
-    chosen = in_scope(token, start, end) & (F.col("flag_processamento") == F.lit(False))
-    return _split(marked, chosen)
-
-
 def trace_period(
     boxes,
     deboning,
@@ -122,15 +117,19 @@ def trace_period(
     """One period of a tenant: open, link everything open, close."""
     if not require_period(start, end):
         raise ValueError("trace_period needs a period")
-    work, rest = _in_period(boxes, token, start, end, reset, now)
+    if reset:
+        boxes = reset_flags(boxes, token, start, end, now=now)
+    marked = mark_for_processing(boxes, token, start, end, now=now)
+    chosen = in_scope(token, start, end) & (F.col("flag_processamento") == F.lit(False))
+    work, rest = _split(marked, chosen)
     work = link_deboning(work, deboning, tenant_scoped=tenant_scoped, now=now)
     work = link_origin(work, schedule, animals, now=now)
     return work.withColumn("flag_processamento", F.lit(True)).unionByName(rest)
 
 
-def period_worklist(boxes, token, start, end, *, reset=False, now=None) -> DataFrame:
-    """Ids of the boxes that ``trace_period`` works on."""
-    return _in_period(boxes, token, start, end, reset, now)[0].select("id").distinct()
+def worked_on(boxes: DataFrame, clock: Column) -> DataFrame:
+    """The boxes a run touched: it stamped them with its clock."""
+    return boxes.filter(F.col("updated_at") == clock)
 
 
 def trace_stage(

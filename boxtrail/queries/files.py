@@ -15,8 +15,6 @@ from boxtrail.queries import query
 from boxtrail.queries.common import TENANT, clock
 from boxtrail.schemas import (
     ANIMAL_RAW,
-    RAW_ANIMAL,
-    RAW_ANIMAL_REQUIRED,
     SCHEDULE,
     SIMPLE_ANIMAL,
     SIMPLE_ANIMAL_REQUIRED,
@@ -78,7 +76,7 @@ def required_filter(spark, sf):
 )
 def ingest_simple(spark, sf):
     path = pf.payload_dir(spark, sf, pf.simple_animals)
-    rows = ingest.ingest_simple(spark, path, multi_line=False, now=clock())
+    rows = ingest.ingest(spark, path, ingest.simple_animals(clock()), multi_line=False).rows
     stamped = F.col("processado_em").isNotNull().alias("carimbado")
     return _simple_columns(rows, stamped)
 
@@ -231,7 +229,7 @@ def run_log_append(spark, sf):
 )
 def ingest_animals(spark, sf):
     path = pf.payload_dir(spark, sf, pf.animal_envelopes)
-    return _animal_columns(ingest.ingest_animals(spark, path, multi_line=False).rows)
+    return _animal_columns(ingest.ingest(spark, path, ingest.animals(), multi_line=False).rows)
 
 
 @query(
@@ -241,7 +239,7 @@ def ingest_animals(spark, sf):
 )
 def ingest_animals_rejected(spark, sf):
     path = pf.payload_dir(spark, sf, pf.animal_envelopes)
-    run = ingest.ingest_animals(spark, path, multi_line=False)
+    run = ingest.ingest(spark, path, ingest.animals(), multi_line=False)
     return run.rejected.select(
         "codigo_fazenda", _lot(src.FILE).alias("lote"),
         F.array_join(validate.ERRORS, "; ").alias("erros"),
@@ -296,8 +294,8 @@ def field_mapping(spark, sf):
 @query("ingest_mapped", f"WITH {_MAPPED} SELECT * FROM mapped WHERE nr_lote_abate <> 7")
 def ingest_mapped(spark, sf):
     path = pf.payload_dir(spark, sf, pf.slaughter_records)
-    run = ingest.ingest_mapped(spark, path, TENANT, multi_line=False, now=clock())
-    return _mapped_columns(run.rows)
+    payload = ingest.slaughter_records(TENANT, clock())
+    return _mapped_columns(ingest.ingest(spark, path, payload, multi_line=False).rows)
 
 
 @query(
@@ -353,7 +351,7 @@ def _raw_columns(df):
 )
 def raw_animal_ingest(spark, sf):
     path = pf.payload_dir(spark, sf, pf.flat_animals)
-    return _raw_columns(ingest.ingest_raw_animals(spark, path, multi_line=False).rows)
+    return _raw_columns(ingest.ingest(spark, path, ingest.raw_animals(), multi_line=False).rows)
 
 
 @query(
@@ -368,27 +366,27 @@ def raw_animal_ingest(spark, sf):
 def ingest_stream(spark, sf):
     """The pending folder loaded by a stream; both tables read back."""
     base = scratch_path(spark, "ingest_stream")
-    rules = {**payloads.corrupt_rule(), **validate.required_rules(RAW_ANIMAL_REQUIRED)}
+    payload = ingest.raw_animals()
     pending = read_pending(
-        spark, pf.payload_dir(spark, sf, pf.flat_animals), RAW_ANIMAL, multi_line=False
+        spark, pf.payload_dir(spark, sf, pf.flat_animals), payload, multi_line=False
     )
     start_ingest_stream(
         pending,
-        lambda df: validate.validate_rows(df, rules),
-        lambda df: df.select(*RAW_ANIMAL.fieldNames()),
+        payload,
         table=f"{base}/raw_animais",
         quarantine=f"{base}/quarentena",
         ledger=f"{base}/arquivos",
         checkpoint=f"{base}/checkpoint",
     ).awaitTermination()
-
-    def read(name, label):
-        return spark.read.parquet(f"{base}/{name}").select(
-            F.lit(label).alias("destino"), "id_animal", "raca",
-            F.col("dados_adicionais.vacinado").cast("string").alias("vacinado"),
+    loaded = spark.read.parquet(f"{base}/raw_animais")
+    rejected = spark.read.parquet(f"{base}/quarentena")
+    vaccinated = F.get_json_object("dados_adicionais", "$.vacinado").alias("vacinado")
+    return loaded.select(F.lit("tabela").alias("destino"), "id_animal", "raca", vaccinated).union(
+        rejected.select(
+            F.lit("quarentena"), "id_animal", "raca",
+            F.col("dados_adicionais.vacinado").cast("string"),
         )
-
-    return read("raw_animais", "tabela").unionByName(read("quarentena", "quarentena"))
+    )
 
 
 # --- schedules --------------------------------------------------------------

@@ -59,14 +59,23 @@ def scan_envelope(
     Documents without the key give no rows. With ``diagnostics`` a document
     that cannot be read gives one row holding only its text and path.
     """
-    schema = T.StructType([T.StructField(key, T.ArrayType(element))])
+    schema = envelope(element, key)
     if not diagnostics:
         return _reader(spark, multi_line).schema(schema).json(path).select(F.inline(key))
-    docs = _reader(spark, multi_line).schema(with_corrupt(schema)).json(path)
-    readable = F.col(CORRUPT).isNull()
-    items = F.when(readable, F.col(key)).otherwise(F.array(F.lit(None).cast(element)))
-    exploded = docs.select(F.col(CORRUPT), F.col(_PATH).alias(FILE), F.explode(items).alias("_e"))
-    return exploded.select(*[F.col(f"_e.{f.name}") for f in element], CORRUPT, FILE)
+    docs = scan_json(spark, path, schema, multi_line=multi_line, diagnostics=True)
+    return open_envelope(docs, element, key)
+
+
+def envelope(element: T.StructType, key: str = "animais") -> T.StructType:
+    return T.StructType([T.StructField(key, T.ArrayType(element))])
+
+
+def open_envelope(docs: DataFrame, element: T.StructType, key: str = "animais") -> DataFrame:
+    """Rows of documents read with diagnostics."""
+    blank = F.array(F.lit(None).cast(element))
+    items = F.when(F.col(CORRUPT).isNull(), F.col(key)).otherwise(blank)
+    rows = docs.select(CORRUPT, FILE, F.explode(items).alias("_e"))
+    return rows.select(*[F.col(f"_e.{f.name}") for f in element], CORRUPT, FILE)
 
 
 def list_files(

@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from boxtrail.operators.ledger import ingest_route
-from boxtrail.operators.validate import ERRORS, is_valid
+from boxtrail.operators.validate import ERRORS, is_valid, reject_files
+from boxtrail.plans.ingest import Payload
 from boxtrail.sources.json_files import CORRUPT, FILE, JSON_GLOB, with_corrupt
 
 BATCH = "lote_carga"
 
 
 def read_pending(
-    spark: SparkSession, path: str, schema: T.StructType, *, multi_line: bool = True,
-    files_per_batch: int = 10_000, archive: str | None = None,
+    spark: SparkSession,
+    path: str,
+    payload: Payload,
+    *,
+    multi_line: bool = True,
+    files_per_batch: int = 10_000,
+    archive: str | None = None,
 ) -> DataFrame:
     """New JSON files as they arrive, with path and unreadable text. Files are
     archived once their batch is committed, if a folder is given."""
     reader = (
-        spark.readStream.schema(with_corrupt(schema))
+        spark.readStream.schema(with_corrupt(payload.schema))
         .option("multiLine", multi_line)
         .option("pathGlobFilter", JSON_GLOB)
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -35,13 +39,13 @@ def read_pending(
 
 def start_ingest_stream(
     pending: DataFrame,
-    validate: Callable[[DataFrame], DataFrame],
-    typed: Callable[[DataFrame], DataFrame],
+    payload: Payload,
     *,
     table: str,
     quarantine: str,
     ledger: str,
     checkpoint: str,
+    strict: bool = False,
 ) -> StreamingQuery:
     """Load everything pending and stop.
 
@@ -53,11 +57,12 @@ def start_ingest_stream(
         def put(df: DataFrame, path: str) -> None:
             df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
-        staged = validate(batch).persist(StorageLevel.DISK_ONLY)
+        staged = payload.check(batch).persist(StorageLevel.DISK_ONLY)
         try:
-            put(typed(staged.filter(is_valid()).drop(ERRORS)), table)
+            kept = reject_files(staged, FILE) if strict else staged
+            put(payload.typed(kept.filter(is_valid()).drop(ERRORS)), table)
             put(staged.filter(~is_valid()), quarantine)
-            put(ingest_route(staged), ledger)
+            put(ingest_route(staged, strict=strict), ledger)
         finally:
             staged.unpersist()
 
