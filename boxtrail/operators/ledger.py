@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from boxtrail.functions.rewrite import now_or
+from boxtrail.operators.lookups import left_lookup
 from boxtrail.operators.validate import ERRORS, is_valid
 from boxtrail.schemas import (
     RUN_LOG,
@@ -61,7 +62,7 @@ def ingest_stats(ledger: DataFrame) -> DataFrame:
 def not_loaded(rows: DataFrame, ledger: DataFrame, file: str = FILE) -> DataFrame:
     """Rows of files that no earlier run has loaded."""
     done = ledger.filter(F.col("status") == STATUS_OK).select(file).distinct()
-    return rows.join(done, file, "left_anti")
+    return left_lookup(rows, done, {file: F.col(file)}, how="left_anti")
 
 
 def _log_rows(df: DataFrame, payload: str, layer: str, values: dict, who: dict, now) -> DataFrame:

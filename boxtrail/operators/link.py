@@ -75,7 +75,7 @@ def link_deboning_grouped(boxes: DataFrame, deboning: DataFrame, *, now=None) ->
     """The tenant-scoped link, with the lookup first cut to the orders in use."""
     keys = ("token_cliente", *DEBONING_KEYS)
     groups = keyed(boxes.select(*keys), keys).distinct()
-    in_use = deboning.join(groups, list(keys), "left_semi")
+    in_use = left_lookup(deboning, groups, {k: F.col(k) for k in keys}, how="left_semi")
     return link_deboning(boxes, in_use, tenant_scoped=True, now=now)
 
 

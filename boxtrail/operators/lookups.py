@@ -58,19 +58,21 @@ def _seed(rows: DataFrame) -> Column:
     """A hash that differs from row to row, from as few columns as will do:
     every column named here must be read and shuffled."""
     ids = [c for c in _ROW_IDS if c in rows.columns]
-    return F.xxhash64(*(ids or rows.columns))
+    plain = [c for c, kind in rows.dtypes if kind != "variant" and "<" not in kind]
+    return F.xxhash64(*(ids or plain))
 
 
 def left_lookup(
     rows: DataFrame,
     lookup: DataFrame,
     on: Mapping[str, Column],
-    payload: Sequence[str],
+    payload: Sequence[str] = (),
     *,
     salt: int = 1,
     how: str = "left",
 ) -> DataFrame:
-    """Add the lookup's payload columns to the rows.
+    """Add the lookup's payload columns to the rows, or with ``how`` left_semi
+    or left_anti keep the rows that have a match or none.
 
     ``on`` maps a lookup column to the row expression it must equal. The
     lookup should hold one row per key; where it does not, rows multiply as
@@ -81,14 +83,14 @@ def left_lookup(
     right = lookup.select(
         *[F.col(name).alias(key) for name, key in zip(on, look_keys)],
         *payload,
-        # generated, not literal: a literal would be folded out of the join keys
+        # generated, for the same reason as the remainder below
         F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias(_SALT),
     )
     left = rows.withColumns(dict(zip(row_keys, on.values())))
     no_key = reduce(or_, [F.col(k).isNull() for k in row_keys])
     seed = _seed(rows)
-    dealt = F.pmod(seed, F.lit(salt)) if salt > 1 else F.lit(0)
-    deal = F.when(no_key, F.pmod(seed, F.lit(SPREAD))).otherwise(dealt)
+    # a remainder even for salt 1: a constant would be folded out of the keys
+    deal = F.pmod(seed, F.when(no_key, F.lit(SPREAD)).otherwise(F.lit(salt)))
     left = left.withColumn("_deal", deal.cast("int"))
     match = [left[r] == right[k] for r, k in zip(row_keys, look_keys)]
     joined = left.join(right, [*match, left["_deal"] == right[_SALT]], how)

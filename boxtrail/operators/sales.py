@@ -80,8 +80,8 @@ def explode_sale_boxes(sales: DataFrame) -> DataFrame:
 
 def semi_by_ids(boxes: DataFrame, sale_boxes: DataFrame) -> DataFrame:
     """Boxes that some sale names."""
-    ids = sale_boxes.select(F.col("caixa_id").alias("_id")).dropna().distinct()
-    return boxes.join(ids, trimmed_id(boxes["id"]) == ids["_id"], "left_semi")
+    ids = sale_boxes.select("caixa_id").dropna().distinct()
+    return left_lookup(boxes, ids, {"caixa_id": trimmed_id(F.col("id"))}, how="left_semi")
 
 
 def traceable(boxes: DataFrame) -> DataFrame:

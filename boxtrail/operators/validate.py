@@ -6,6 +6,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from boxtrail.operators.lookups import left_lookup
+
 ERRORS = "_errors"
 
 
@@ -49,5 +51,5 @@ def validation_counts(df: DataFrame) -> DataFrame:
 
 def reject_files(df: DataFrame, file: str) -> DataFrame:
     """Strict mode: drop every row of a file that has an invalid row."""
-    bad = df.filter(~is_valid()).select(F.col(file).alias("_bad")).distinct()
-    return df.join(bad, df[file] == bad["_bad"], "left_anti")
+    bad = df.filter(~is_valid()).select(file).distinct()
+    return left_lookup(df, bad, {file: F.col(file)}, how="left_anti")
