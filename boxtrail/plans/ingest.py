@@ -34,6 +34,7 @@ from boxtrail.schemas import (
 )
 from boxtrail.sources.json_files import (
     FILE,
+    empty_files,
     envelope,
     open_envelope,
     pending_files,
@@ -110,16 +111,20 @@ def ingest(
     multi_line: bool = True,
     strict: bool = False,
     loaded: DataFrame | None = None,
+    note_empty: bool = True,
     materialise: Callable[[DataFrame], DataFrame] = _as_is,
 ) -> Ingest:
     """Read every pending file once and split its rows.
 
     ``loaded`` is an earlier ledger, whose files are left out. ``strict``
-    drops all rows of a file that has an invalid one. ``materialise`` writes
+    drops all rows of a file that has an invalid one. ``note_empty`` puts files
+    without a byte on the ledger, as failed. ``materialise`` writes
     the checked rows as a table, so that the four results share one parse.
     """
     docs = scan_json(spark, path, payload.schema, multi_line=multi_line, diagnostics=True)
-    files = pending_files(spark, path)
+    files = pending_files(spark, path).select(FILE)
+    if note_empty:
+        files = files.union(empty_files(spark, path))
     if loaded is not None:
         docs, files = not_loaded(docs, loaded), not_loaded(files, loaded)
     staged = materialise(payload.check(docs))

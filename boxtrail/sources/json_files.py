@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 JSON_GLOB = "*.[jJ][sS][oO][nN]"
@@ -97,3 +99,16 @@ def list_files(
 def pending_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """JSON files directly in the folder, whatever the case of the suffix."""
     return list_files(spark, path, JSON_GLOB)
+
+
+def empty_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """JSON files without a single byte, which no scan of Spark's returns.
+
+    They are the names in the file index that a listing does not give. The
+    index is held by the driver in any case, and only names are taken from it.
+    """
+    index = spark.read.format("binaryFile").option("pathGlobFilter", JSON_GLOB).load(path)
+    # the index writes local paths with three slashes, the scan with one
+    names = [(re.sub("^file:///", "file:/", name),) for name in index.inputFiles()]
+    known = spark.createDataFrame(names, f"{FILE} string")
+    return known.join(pending_files(spark, path), FILE, "left_anti")
