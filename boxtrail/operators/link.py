@@ -17,9 +17,6 @@ from boxtrail.operators.lookups import keyed, left_lookup, one_per_key
 
 DEBONING_KEYS = ("nr_unidade_desossa", "nr_op_desossa")
 ORIGIN_KEYS = ("dt_abate", "nr_unidade_abate")
-# A slaughter day at one unit feeds many boxes, while the reduced lookup holds
-# one row per day and unit: repeating it is cheap.
-ORIGIN_SALT = 16
 
 
 def _only(where: Column | None, key: Column) -> Column:
@@ -93,13 +90,13 @@ def _link_one(boxes, lookup, json_name, flag_name, where, salt, now) -> DataFram
     ).drop("_json")
 
 
-def link_schedule(boxes, schedule, *, where=None, salt=ORIGIN_SALT, now=None) -> DataFrame:
+def link_schedule(boxes, schedule, *, where=None, salt=1, now=None) -> DataFrame:
     return _link_one(
         boxes, schedule, "json_propriedades", "flag_propriedades", where, salt, now
     )
 
 
-def link_animals(boxes, animals, *, where=None, salt=ORIGIN_SALT, now=None) -> DataFrame:
+def link_animals(boxes, animals, *, where=None, salt=1, now=None) -> DataFrame:
     return _link_one(boxes, animals, "json_animais", "flag_animais", where, salt, now)
 
 
@@ -109,7 +106,7 @@ def link_origin(
     animals: DataFrame,
     *,
     where: Column | None = None,
-    salt: int = ORIGIN_SALT,
+    salt: int = 1,
     now: Column | None = None,
 ) -> DataFrame:
     """Schedule and animals in one join.

@@ -4,11 +4,12 @@ Two kinds of hot key are handled here, for every link in the package:
 
 * rows whose key is NULL never match, so they are spread over many hash
   values instead of meeting in one task;
-* a key shared by many rows can be salted: the rows are dealt over ``salt``
-  values and the lookup, one row per key, is repeated that many times.
+* a key shared by many rows makes an oversized partition, which the runtime
+  skew join splits over several tasks, with the few lookup rows repeated for
+  each. Where a hot key is known beforehand, ``salt`` deals its rows over that
+  many values instead, and repeats the whole lookup as often.
 
-Beyond that, the runtime skew join splits oversized partitions. It can do so
-where both sides of a join come straight from a shuffle, and where no second
+The runtime can split where both sides of a join come straight from a shuffle, and where no second
 join relies on the same layout. So each link is one join on its own keys, and
 a reduced lookup is shuffled again to the join even though its reduction had
 nearly the same layout: it is the small side.
