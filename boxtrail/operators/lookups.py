@@ -9,10 +9,10 @@ Two kinds of hot key are handled here, for every link in the package:
   each. Where a hot key is known beforehand, ``salt`` deals its rows over that
   many values instead, and repeats the whole lookup as often.
 
-The runtime can split where both sides of a join come straight from a shuffle, and where no second
-join relies on the same layout. So each link is one join on its own keys, and
-a reduced lookup is shuffled again to the join even though its reduction had
-nearly the same layout: it is the small side.
+The runtime can split where both sides of a join come straight from a shuffle
+and no second join relies on the same layout. So each link is one join on its
+own keys, and a reduced lookup is shuffled again to the join even though its
+reduction had nearly the same layout: it is the small side.
 """
 
 from __future__ import annotations

@@ -78,7 +78,6 @@ def animal_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def slaughter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """28-field records; line 7 carries a text where a number belongs."""
-    stamp = "yyyy-MM-dd'T'HH:mm:ss"
     return table(spark, sf_dir, "lineitem").select(
         F.struct(F.col("l_partkey").alias("id")).alias("json_certificado"),
         F.when(
@@ -87,7 +86,9 @@ def slaughter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", F.date_format("l_shipdate", "yyyy-MM-dd"))
         .otherwise("nao informada").alias("dt_nascimento"),
         F.col("l_tax").alias("valor_ph"),
-        F.date_format("l_shipdate", stamp).alias("dt_fechamento_camera_abate"),
+        F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T12:00:00")).alias(
+            "dt_fechamento_camera_abate"
+        ),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("dt_abate"),
         F.col("l_linenumber").alias("lote_abate"),
         F.col("l_suppkey").alias("id_destino_abate"),

@@ -254,7 +254,7 @@ mapped AS (
     CASE WHEN l_returnflag = 'R' THEN '{{"id":' || CAST(l_suppkey AS VARCHAR) || '}}' ELSE '{{}}' END
       AS json_habilitacoes,
     CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END AS dt_nascimento,
-    l_tax AS valor_ph, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS fechamento,
+    l_tax AS valor_ph, strftime(l_shipdate, '%Y-%m-%d') || ' 12:00:00' AS fechamento,
     CAST(l_shipdate AS DATE) AS dt_abate, l_linenumber AS nr_lote_abate,
     CAST(l_suppkey AS INTEGER) AS id_destino_abate, CAST(l_linenumber AS INTEGER) AS nr_banda,
     l_quantity AS peso_vivo, l_extendedprice AS peso_carcaca,
