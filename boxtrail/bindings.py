@@ -72,7 +72,6 @@ def animals(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "2-HIGH")
     return rows.select(
         _text("o_orderkey").alias("id"),
-        _tenant("o_custkey").alias("token_cliente"),
         _text("o_custkey").alias("codigo"),
         *_slaughter_keys(),
     )

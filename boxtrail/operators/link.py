@@ -19,6 +19,14 @@ DEBONING_KEYS = ("nr_unidade_desossa", "nr_op_desossa")
 ORIGIN_KEYS = ("dt_abate", "nr_unidade_abate")
 
 
+def _tenant_keys(lookup: DataFrame, keys, tenant_scoped: bool | None) -> tuple[str, ...]:
+    """The join keys. The tenant is one of them unless the lookup has no
+    tenant column or the caller says otherwise."""
+    if tenant_scoped is None:
+        tenant_scoped = "token_cliente" in lookup.columns
+    return ("token_cliente", *keys) if tenant_scoped else tuple(keys)
+
+
 def _only(where: Column | None, key: Column) -> Column:
     return key if where is None else F.when(where, key)
 
@@ -38,14 +46,8 @@ def link_deboning(
     salt: int = 1,
     now: Column | None = None,
 ) -> DataFrame:
-    """Attach the deboning order and carry its slaughter day and unit.
-
-    The tenant is part of the key unless the lookup has no tenant column or
-    the caller says otherwise.
-    """
-    if tenant_scoped is None:
-        tenant_scoped = "token_cliente" in deboning.columns
-    keys = (*(("token_cliente",) if tenant_scoped else ()), *DEBONING_KEYS)
+    """Attach the deboning order and carry its slaughter day and unit."""
+    keys = _tenant_keys(deboning, DEBONING_KEYS, tenant_scoped)
     lookup = _lineage(deboning, keys, "_json").select(
         *keys,
         "_json",
@@ -76,9 +78,12 @@ def link_deboning_grouped(boxes: DataFrame, deboning: DataFrame, *, now=None) ->
     return link_deboning(boxes, in_use, tenant_scoped=True, now=now)
 
 
-def _link_one(boxes, lookup, json_name, flag_name, where, salt, now) -> DataFrame:
-    reduced = _lineage(lookup, ORIGIN_KEYS, "_json").select(*ORIGIN_KEYS, "_json")
-    on = {k: _only(where, F.col(k)) for k in ORIGIN_KEYS}
+def _link_one(
+    boxes, lookup, json_name, flag_name, where, tenant_scoped, salt, now
+) -> DataFrame:
+    keys = _tenant_keys(lookup, ORIGIN_KEYS, tenant_scoped)
+    reduced = _lineage(lookup, keys, "_json").select(*keys, "_json")
+    on = {k: _only(where, F.col(k)) for k in keys}
     return set_where(
         left_lookup(boxes, reduced, on, ["_json"], salt=salt),
         where,
@@ -90,14 +95,21 @@ def _link_one(boxes, lookup, json_name, flag_name, where, salt, now) -> DataFram
     ).drop("_json")
 
 
-def link_schedule(boxes, schedule, *, where=None, salt=1, now=None) -> DataFrame:
+def link_schedule(
+    boxes, schedule, *, where=None, tenant_scoped=None, salt=1, now=None
+) -> DataFrame:
+    """Attach the slaughter schedule, which says what property it was."""
     return _link_one(
-        boxes, schedule, "json_propriedades", "flag_propriedades", where, salt, now
+        boxes, schedule, "json_propriedades", "flag_propriedades", where, tenant_scoped, salt, now
     )
 
 
-def link_animals(boxes, animals, *, where=None, salt=1, now=None) -> DataFrame:
-    return _link_one(boxes, animals, "json_animais", "flag_animais", where, salt, now)
+def link_animals(
+    boxes, animals, *, where=None, tenant_scoped=None, salt=1, now=None
+) -> DataFrame:
+    return _link_one(
+        boxes, animals, "json_animais", "flag_animais", where, tenant_scoped, salt, now
+    )
 
 
 def link_origin(
@@ -106,20 +118,28 @@ def link_origin(
     animals: DataFrame,
     *,
     where: Column | None = None,
+    tenant_scoped: bool | None = None,
     salt: int = 1,
     now: Column | None = None,
 ) -> DataFrame:
-    """Schedule and animals in one join.
+    """Schedule and animals, in one join where both have the same keys.
 
-    Both lookups have the same keys. Joined with each other first, they cost
-    the boxes one shuffle, and the runtime skew join can split that shuffle.
+    Joined with each other first, the lookups cost the boxes one shuffle, and
+    the runtime skew join can split that shuffle.
     """
-    origin = _lineage(schedule, ORIGIN_KEYS, "_json_p").select(*ORIGIN_KEYS, "_json_p").join(
-        _lineage(animals, ORIGIN_KEYS, "_json_a").select(*ORIGIN_KEYS, "_json_a"),
-        list(ORIGIN_KEYS),
-        "full",
+    keys = _tenant_keys(schedule, ORIGIN_KEYS, tenant_scoped)
+    if keys != _tenant_keys(animals, ORIGIN_KEYS, tenant_scoped):
+        # the first link changes flags the selection may look at
+        chosen = boxes.withColumn("_chosen", F.lit(True) if where is None else where)
+        options = {
+            "where": F.col("_chosen"), "tenant_scoped": tenant_scoped, "salt": salt, "now": now
+        }
+        linked = link_schedule(chosen, schedule, **options)
+        return link_animals(linked, animals, **options).drop("_chosen")
+    origin = _lineage(schedule, keys, "_json_p").select(*keys, "_json_p").join(
+        _lineage(animals, keys, "_json_a").select(*keys, "_json_a"), list(keys), "full"
     )
-    on = {k: _only(where, F.col(k)) for k in ORIGIN_KEYS}
+    on = {k: _only(where, F.col(k)) for k in keys}
     return set_where(
         left_lookup(boxes, origin, on, ["_json_p", "_json_a"], salt=salt),
         where,

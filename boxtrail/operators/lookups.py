@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -51,8 +51,8 @@ def one_per_key(df: DataFrame, keys: Sequence[str], newest: str | None = None) -
 
 
 def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows that can match: every key column present."""
-    return df.dropna(subset=list(keys))
+    """Rows that can match: every key column present, as tests a scan can apply."""
+    return df.filter(reduce(and_, [F.col(k).isNotNull() for k in keys]))
 
 
 def _seed(rows: DataFrame) -> Column:

@@ -78,6 +78,13 @@ def write_sales(sales: DataFrame, root: str) -> None:
     replace_partitions(with_month(sales, "created_at"), lake_path(root, "bt_registro_venda"))
 
 
+def _of_tenant(lookup: DataFrame, token: str) -> DataFrame:
+    """Links compare tenants where a lookup has them: read only this one's rows."""
+    if "token_cliente" not in lookup.columns:
+        return lookup
+    return lookup.filter(F.col("token_cliente") == F.lit(token))
+
+
 def _period(df: DataFrame, start, end) -> DataFrame:
     """Whole months that cover a period, so that other partitions are not read."""
     if start is None:
@@ -124,7 +131,10 @@ def run_trace(
     now = _clock(clock)
     boxes = with_columns_of(read_state(spark, root, "bt_caixas"), BOX)
     boxes = _period(boxes.filter(F.col("token_cliente") == F.lit(token)), start, end)
-    lookups = [read_state(spark, root, t) for t in ("bt_desossa", "bt_escala", "bt_animais")]
+    lookups = [
+        _of_tenant(read_state(spark, root, table), token)
+        for table in ("bt_desossa", "bt_escala", "bt_animais")
+    ]
     traced = materialise(
         trace.trace_stage(
             mode, boxes, *lookups, token, start, end,

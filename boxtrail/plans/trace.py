@@ -43,10 +43,13 @@ def trace_deboning(
     return linked.unionByName(rest)
 
 
-def trace_origin(boxes, schedule, animals, token, start=None, end=None, *, now=None) -> DataFrame:
+def trace_origin(
+    boxes, schedule, animals, token, start=None, end=None, *, tenant_scoped=None, now=None
+) -> DataFrame:
     """Stage 2: link boxes with a deboning order to schedule and animals."""
     work, rest = _split(boxes, in_scope(token, start, end) & lacks_origin())
-    return link_origin(work, schedule, animals, now=now).unionByName(rest)
+    linked = link_origin(work, schedule, animals, tenant_scoped=tenant_scoped, now=now)
+    return linked.unionByName(rest)
 
 
 def close_linked(boxes, token, start=None, end=None, *, now=None) -> DataFrame:
@@ -96,7 +99,9 @@ def trace_all(
     work = link_deboning(
         work, deboning, where=lacks_deboning(), tenant_scoped=tenant_scoped, now=now
     )
-    work = link_origin(work, schedule, animals, where=lacks_origin(), now=now)
+    work = link_origin(
+        work, schedule, animals, where=lacks_origin(), tenant_scoped=tenant_scoped, now=now
+    )
     out = close_linked(work if whole else work.unionByName(rest), token, now=now)
     return set_traceable(out, token, now=now) if update_traceable else out
 
@@ -123,7 +128,7 @@ def trace_period(
     chosen = in_scope(token, start, end) & (F.col("flag_processamento") == F.lit(False))
     work, rest = _split(marked, chosen)
     work = link_deboning(work, deboning, tenant_scoped=tenant_scoped, now=now)
-    work = link_origin(work, schedule, animals, now=now)
+    work = link_origin(work, schedule, animals, tenant_scoped=tenant_scoped, now=now)
     return work.withColumn("flag_processamento", F.lit(True)).unionByName(rest)
 
 
@@ -167,7 +172,9 @@ def trace_stage(
             boxes, deboning, token, start, end, tenant_scoped=tenant_scoped, now=now
         )
     if mode == "propriedades":
-        return trace_origin(boxes, schedule, animals, token, start, end, now=now)
+        return trace_origin(
+            boxes, schedule, animals, token, start, end, tenant_scoped=tenant_scoped, now=now
+        )
     return close_linked(boxes, token, start, end, now=now)
 
 

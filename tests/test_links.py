@@ -82,6 +82,29 @@ def test_origin_links_do_not_multiply_boxes(spark):
     assert rows(one_by_one, *names) == rows(both, *names)
 
 
+def test_origin_links_keep_tenants_apart(spark):
+    place = {"dt_abate": DAY, "nr_unidade_abate": "A1"}
+    df = boxes(spark, {"id": "a", **place}, {"id": "b", "token_cliente": "t1", **place})
+    a = animals(spark, ("a1", "t1", "X", DAY, "A1"))
+    s = schedule(spark, ("s1", DAY, "A1", "1", None))
+    got = by_id(link.link_origin(df, s, a), "flag_propriedades", "flag_animais")
+    assert got == {"a": (True, False), "b": (True, True)}
+    shared = by_id(
+        link.link_origin(df, s, a, tenant_scoped=False), "flag_propriedades", "flag_animais"
+    )
+    assert shared == {"a": (True, True), "b": (True, True)}
+
+
+def test_both_origin_links_use_the_selection_made_before(spark):
+    """The schedule link closes a flag the selection looks at."""
+    place = {"dt_abate": DAY, "nr_unidade_abate": "A1"}
+    df = boxes(spark, {"id": "a", "flag_propriedades": False, "flag_animais": True, **place})
+    a = animals(spark, ("a1", "t0", "X", DAY, "A1"))
+    s = schedule(spark, ("s1", DAY, "A1", "1", None))
+    got = link.link_origin(df, s, a, where=~F.col("flag_propriedades")).first()
+    assert got.flag_propriedades is True and json.loads(got.json_animais)["id"] == "a1"
+
+
 def test_rows_outside_the_selection_keep_their_values(spark):
     df = boxes(
         spark, {"id": "a"}, {"id": "b", "flag_desossa": True, "json_desossa": "old"}
