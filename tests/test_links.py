@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from boxtrail.operators import link
 from boxtrail.operators.lookups import left_lookup, one_per_key
+from boxtrail.operators.sales import sale_box_join
+from boxtrail.plans.trace import trace_all
+from boxtrail.schemas import BOX
 from data import DAY, OTHER_DAY, animals, boxes, by_id, deboning, rows, schedule
 
 
@@ -153,34 +156,73 @@ def test_missing_and_hot_keys_are_spread(spark, conf):
     assert max(plain.values()) > n / 4
 
 
-def test_runtime_splits_a_hot_key_without_salt(spark, conf):
+@pytest.fixture
+def small_partitions(conf):
+    """Thresholds at which a few thousand rows count as a large partition."""
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
-        spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__sql__shuffle__partitions="8",
     )
-    n = 60_000
-    df = spark.range(0, n, 1, 8).select(
-        F.concat(F.lit("b"), "id").alias("id"),
-        F.lit("t0").alias("token_cliente"),
-        F.lit("U1").alias("nr_unidade_desossa"),
-        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.col("id").cast("string")).alias("nr_op_desossa"),
-        F.lit(None).cast("date").alias("dt_abate"),
-        F.lit(None).cast("string").alias("nr_unidade_abate"),
+
+
+def hot_boxes(spark, n):
+    """A third of the boxes come from one deboning order, and a third of the
+    orders from one slaughter day; a tenth have no order at all."""
+    i = F.col("id")
+    order = F.when(i % 10 == 9, F.lit(None)).when(i % 3 == 0, "HOT").otherwise(i.cast("string"))
+    values = {
+        "id": F.sha2(i.cast("string"), 256),
+        "token_cliente": F.lit("t0"),
+        "dt_producao": F.lit(DAY),
+        "nr_unidade_desossa": F.concat(F.lit("U"), (i % 1).cast("string")),
+        "nr_op_desossa": order,
+        "flag_processamento": F.lit(False),
+    }
+    return spark.range(0, n, 1, 8).select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in BOX]
     )
-    d = df.select(
-        "id", "nr_unidade_desossa", "nr_op_desossa", F.lit(DAY).alias("dt_abate"),
+
+
+def final_plan(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text[: text.index("Initial Plan")]
+
+
+def test_runtime_splits_hot_keys_of_both_links_of_a_trace(spark, small_partitions):
+    n = 60_000
+    df = hot_boxes(spark, n)
+    d = df.select("nr_unidade_desossa", "nr_op_desossa").dropna().distinct().select(
+        F.col("nr_op_desossa").alias("id"), "nr_unidade_desossa", "nr_op_desossa",
+        F.when(F.length("nr_op_desossa") % 2 == 1, F.lit(DAY)).otherwise(
+            F.date_add(F.lit(DAY), F.length("nr_op_desossa"))
+        ).alias("dt_abate"),
         F.lit("A1").alias("nr_unidade_abate"),
     )
-    linked = link.link_deboning(df, d)
-    assert linked.filter("flag_desossa").count() == n
-    executed = linked.select("id", "flag_desossa")
-    executed.collect()
-    assert "skew=true" in executed._jdf.queryExecution().executedPlan().toString()
+    s = schedule(spark, ("s1", DAY, "A1", "1", None))
+    a = animals(spark, ("a1", "t0", "X", DAY, "A1")).drop("token_cliente")
+    traced = trace_all(df, d, s, a, "t0", reset=True)
+    assert traced.count() == n
+    assert traced.filter("flag_desossa").count() == n - n // 10
+    plan = final_plan(traced.select("id", "flag_desossa", "json_propriedades", "json_animais"))
+    assert plan.count("SortMergeJoin(skew=true)") == 2
+
+
+def test_runtime_splits_a_hot_box_of_many_sales(spark, small_partitions):
+    n = 60_000
+    i = F.col("id")
+    named = spark.range(0, n, 1, 8).select(
+        F.sha2(i.cast("string"), 256).alias("registro_id"),
+        F.when(i % 3 == 0, "HOT").otherwise(i.cast("string")).alias("caixa_id"),
+    )
+    sold = named.select(F.col("caixa_id").alias("id"), F.lit("c").alias("codigo")).distinct()
+    joined = sale_box_join(named, sold.repartition(4))
+    assert joined.count() == n
+    assert "skew=true" in final_plan(joined)
 
 
 def test_hot_key_is_cut_before_the_shuffle(spark):
