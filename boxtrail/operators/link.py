@@ -15,7 +15,9 @@ from boxtrail.functions.payload import row_json
 from boxtrail.functions.rewrite import now_or, set_where
 from boxtrail.operators.lookups import keyed, left_lookup, one_per_key
 
-DEBONING_KEYS = ("nr_unidade_desossa", "nr_op_desossa")
+# The most selective key comes first: sorts compare a prefix of it before
+# anything else. An order number tells more rows apart than a unit or tenant.
+DEBONING_KEYS = ("nr_op_desossa", "nr_unidade_desossa")
 ORIGIN_KEYS = ("dt_abate", "nr_unidade_abate")
 
 
@@ -24,7 +26,7 @@ def _tenant_keys(lookup: DataFrame, keys, tenant_scoped: bool | None) -> tuple[s
     tenant column or the caller says otherwise."""
     if tenant_scoped is None:
         tenant_scoped = "token_cliente" in lookup.columns
-    return ("token_cliente", *keys) if tenant_scoped else tuple(keys)
+    return (*keys, "token_cliente") if tenant_scoped else tuple(keys)
 
 
 def _only(where: Column | None, key: Column) -> Column:
@@ -72,7 +74,7 @@ def link_deboning(
 
 def link_deboning_grouped(boxes: DataFrame, deboning: DataFrame, *, now=None) -> DataFrame:
     """The tenant-scoped link, with the lookup first cut to the orders in use."""
-    keys = ("token_cliente", *DEBONING_KEYS)
+    keys = (*DEBONING_KEYS, "token_cliente")
     groups = keyed(boxes.select(*keys), keys).distinct()
     in_use = left_lookup(deboning, groups, {k: F.col(k) for k in keys}, how="left_semi")
     return link_deboning(boxes, in_use, tenant_scoped=True, now=now)
