@@ -10,12 +10,17 @@ marked done only after its results are stored.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from boxtrail.operators.filters import require_period
 from boxtrail.operators.ledger import file_log, run_log, run_log_append
+from boxtrail.operators.lookups import left_lookup
 from boxtrail.operators.merge import new_rows
+from boxtrail.operators.sales import traced_sales
+from boxtrail.operators.transitions import mark_sales_processed
 from boxtrail.plans import trace
 from boxtrail.plans.ingest import Payload
 from boxtrail.plans.sale_trace import sale_trace
@@ -153,6 +158,16 @@ def run_trace(
     replace_partitions(traced, lake_path(root, "bt_caixas"))
 
 
+def _partitions_of(sales: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sales in the partitions that hold a listed one; others stay unread
+    where the runtime prunes folders, and are not written again."""
+    held = left_lookup(sales, ids, {"registro_id": F.col("id")}, how="left_semi")
+    held = held.select(*STATE_PARTITIONS).distinct()
+    # a sale may lack its tenant, which is a partition like any other
+    same = reduce(and_, [sales[c].eqNullSafe(held[c]) for c in STATE_PARTITIONS])
+    return sales.join(held, same, "left_semi")
+
+
 def _append_new(spark: SparkSession, root: str, table: str, rows: DataFrame) -> None:
     """Append the rows the table does not hold, compared on every column."""
     stored = read_or_empty(spark, root, table, rows.schema).select(*rows.columns)
@@ -191,7 +206,9 @@ def run_sales(
     new_rows(animals, run.animals, ["id", "token_cliente"]).write.mode("append").parquet(
         lake_path(root, "proc_animais")
     )
-    closed = materialise(run.sales, "bt_registro_venda")
+    ids = traced_sales(run.rows)
+    closed = mark_sales_processed(_partitions_of(sales, ids), ids, now)
+    closed = materialise(closed, "bt_registro_venda")
     replace_partitions(closed, lake_path(root, "bt_registro_venda"))
 
 

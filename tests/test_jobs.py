@@ -45,6 +45,8 @@ def lake(spark, tmp_path):
                 ("s1", "007", 1, False, None, dt.datetime(2024, 4, 2), '[{"id":"b1"},{"id":"b2"}]'),
                 ("s2", "007", 1, False, None, dt.datetime(2024, 4, 3), '[{"id":"b2"}]'),
                 ("s3", "t1", 1, False, None, dt.datetime(2024, 4, 3), '[{"id":"b1"}]'),
+                ("s4", "007", 2, False, None, dt.datetime(2024, 5, 3), '[{"id":"zz"}]'),
+                ("s5", None, 3, False, None, dt.datetime(2024, 5, 3), '[{"id":"b1"}]'),
             ],
             SALE,
         ),
@@ -136,7 +138,28 @@ def test_sales_run_twice(spark, lake):
         assert rows(read("proc_animais"), "id", "codigo") == [("a1", "X")]
         assert rows(read("proc_cx_venda_propriedade")) == [("p1", "s1")]
         sales = jobs.read_state(spark, lake, "bt_registro_venda")
-        assert by_id(sales, "flag_processada") == {"s1": True, "s2": False, "s3": False}
+        assert by_id(sales, "flag_processada") == {
+            "s1": True, "s2": False, "s3": False, "s4": False, "s5": False
+        }
+
+
+def test_sales_run_rewrites_only_months_with_a_traced_sale(spark, lake, tmp_path):
+    run(spark, lake, "trace", "--token", "007")
+    folder = tmp_path / "lake" / "bt_registro_venda"
+    files = lambda: {p.relative_to(folder) for p in folder.rglob("*.parquet")}
+    before = files()
+    run(spark, lake, "sales", "--token", "007")
+    changed = {str(p.parent) for p in files() ^ before}
+    assert changed == {"token_cliente=007/ano_mes=202404"}
+
+
+def test_sales_of_a_group_without_a_tenant(spark, lake):
+    run(spark, lake, "trace", "--token", "007")
+    run(spark, lake, "sales", "--grupo", "3")
+    sales = jobs.read_state(spark, lake, "bt_registro_venda")
+    assert by_id(sales, "flag_processada") == {
+        "s1": False, "s2": False, "s3": False, "s4": False, "s5": True
+    }
 
 
 def test_ingest_and_reports(spark, lake, tmp_path, capsys):
