@@ -1,10 +1,12 @@
-"""Command line: trace, sales, ingest, status and log over a lake."""
+"""Command line over a lake: trace, sales, ingest, import, export, status, log."""
 
 from __future__ import annotations
 
 import argparse
 import getpass
+import json
 import socket
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,7 @@ from boxtrail.plans import ingest, jobs
 from boxtrail.plans.trace import MODES
 from boxtrail.schemas import BOX
 from boxtrail.session import build_session
+from boxtrail.sources import jdbc
 from boxtrail.sources.lake import lake_read
 
 
@@ -44,6 +47,21 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--strict", action="store_true")
     load.add_argument("--lines", action="store_true", help="one document per line")
 
+    for name, text in (("import", "copy a database table into the lake"),
+                       ("export", "write a lake table to the database")):
+        move = commands.add_parser(name, help=text)
+        move.add_argument("--options", required=True, help="JSON file: url, user, password, driver")
+        move.add_argument("--table", required=True)
+        move.add_argument("--schema", default="public")
+        if name == "import":
+            move.add_argument(
+                "--split", nargs=4, metavar=("COLUMN", "LOWER", "UPPER", "PARTS"),
+                help="read the table in this many ranges of a number or date column",
+            )
+        else:
+            move.add_argument("--mode", choices=jdbc.WRITE_MODES, default="append")
+            move.add_argument("--connections", type=int, help="most parallel writers")
+
     status = commands.add_parser("status", help="flag reports")
     status.add_argument("--token")
     commands.add_parser("log", help="latest log rows")
@@ -61,6 +79,10 @@ def payload_of(args: argparse.Namespace) -> ingest.Payload:
     return kinds[args.tipo]()
 
 
+def _connection(args: argparse.Namespace) -> dict[str, str]:
+    return json.loads(Path(args.options).read_text())
+
+
 def _show(df: DataFrame) -> None:
     df.show(100, truncate=False)
 
@@ -80,6 +102,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             multi_line=not args.lines, strict=args.strict,
             user=getpass.getuser(), host=socket.gethostname(),
         )
+    elif args.command == "import":
+        split = jdbc.Split(*args.split[:3], int(args.split[3])) if args.split else None
+        jobs.run_import(
+            spark, args.lake, _connection(args), args.table, schema=args.schema, split=split
+        )
+    elif args.command == "export":
+        jobs.run_export(
+            spark, args.lake, _connection(args), args.table, schema=args.schema,
+            mode=args.mode, connections=args.connections,
+        )
     elif args.command == "status":
         boxes = lake_read(spark, args.lake, "bt_caixas", schema=BOX)
         _show(reports.flag_status(boxes, args.token))

@@ -10,6 +10,7 @@ marked done only after its results are stored.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -26,6 +27,7 @@ from boxtrail.plans.ingest import Payload
 from boxtrail.plans.sale_trace import sale_trace
 from boxtrail.schemas import BOX, PROC_BOX
 from boxtrail.session import materialise
+from boxtrail.sources import jdbc
 from boxtrail.sources.lake import lake_path, lake_read, write_partitioned
 from boxtrail.streaming.ingest_stream import BATCH, read_pending, start_ingest_stream
 
@@ -255,3 +257,43 @@ def run_ingest(
         file_log(loaded, payload.name, layer, now=end, **who)
     )
     run_log_append(rows, lake_path(root, "log_processamento"))
+
+
+_DAYS = {"bt_caixas": "dt_producao", "proc_caixas": "dt_producao", "bt_registro_venda": "created_at"}
+
+
+def run_import(
+    spark: SparkSession,
+    root: str,
+    connection: Mapping[str, str],
+    table: str,
+    *,
+    schema: str = "public",
+    split: jdbc.Split | None = None,
+    predicates: Sequence[str] | None = None,
+) -> None:
+    """Replace a lake table by a database table, state tables by tenant and month."""
+    rows = jdbc.read_table(
+        spark, connection, table, schema, split=split, predicates=predicates
+    )
+    path = lake_path(root, table)
+    if table in _DAYS:
+        stored = with_month(rows, _DAYS[table])
+        write_partitioned(stored, path, STATE_PARTITIONS, mode="overwrite")
+    else:
+        rows.write.mode("overwrite").parquet(path)
+
+
+def run_export(
+    spark: SparkSession,
+    root: str,
+    connection: Mapping[str, str],
+    table: str,
+    *,
+    schema: str = "public",
+    mode: str = "append",
+    connections: int | None = None,
+) -> None:
+    """Write a lake table to a database table."""
+    rows = read_state(spark, root, table).drop(MONTH)
+    jdbc.write_table(rows, connection, table, mode, schema, connections=connections)

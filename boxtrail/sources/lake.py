@@ -70,11 +70,11 @@ def write_partitioned(
 
     The rebalance hint groups rows by partition for few files each, and lets
     the runtime cut a partition that is too large over several tasks.
-    ``dynamic`` with mode overwrite replaces only the partitions present.
+    Mode overwrite replaces the whole table, or with ``dynamic`` only the
+    partitions the rows fall in, whatever the session's setting.
     """
     writer = df.hint("rebalance", *[F.col(c) for c in partitions]).write
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     writer.format(_format(fmt)).mode(mode).partitionBy(*partitions).save(path)
 
 

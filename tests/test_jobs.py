@@ -195,3 +195,34 @@ def test_arguments(spark, lake):
     with pytest.raises(ValueError):
         run(spark, lake, "ingest", "--tipo", "abates", "--pending", "x")
     assert jobs.with_columns_of(spark.range(1), BOX).columns == ["id", *BOX.fieldNames()[1:]]
+
+
+def test_import_and_export(spark, lake, tmp_path, monkeypatch):
+    """The database is replaced by a frame and a recorder."""
+    told = {}
+    stored = boxes(spark, {"id": "n1", "token_cliente": "009"})
+
+    def read_table(session, connection, table, schema, **options):  # reads the current frame
+        told["read"] = (connection["url"], table, schema, options["split"])
+        return stored
+
+    def write_table(df, connection, table, mode, schema, **options):
+        told["write"] = (sorted(r.id for r in df.collect()), df.columns, table, mode, options)
+
+    monkeypatch.setattr(jobs.jdbc, "read_table", read_table)
+    monkeypatch.setattr(jobs.jdbc, "write_table", write_table)
+    options = tmp_path / "options.json"
+    options.write_text('{"url": "jdbc:x"}')
+    new = str(tmp_path / "new")
+    args = ["--options", str(options), "--table", "bt_caixas"]
+    run(spark, new, "import", *args, "--split", "dt_producao", "2024-01-01", "2025-01-01", "12")
+    split = jobs.jdbc.Split("dt_producao", "2024-01-01", "2025-01-01", 12)
+    assert told["read"] == ("jdbc:x", "bt_caixas", "public", split)
+    assert (tmp_path / "new" / "bt_caixas" / "token_cliente=009" / "ano_mes=202403").is_dir()
+    stored = boxes(spark, {"id": "n1", "token_cliente": "010"})
+    run(spark, new, "import", *args)
+    assert not (tmp_path / "new" / "bt_caixas" / "token_cliente=009").exists()
+    run(spark, new, "export", *args, "--connections", "4")
+    ids, columns, table, mode, more = told["write"]
+    assert (ids, table, mode, more) == (["n1"], "bt_caixas", "append", {"connections": 4})
+    assert sorted(columns) == sorted(BOX.fieldNames())

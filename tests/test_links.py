@@ -6,6 +6,7 @@ import json
 from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from boxtrail.operators import link
@@ -131,6 +132,24 @@ def test_lookup_equals_plain_join(spark, salt):
     assert rows(got) == rows(want)
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    left=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)),
+                            st.one_of(st.none(), st.sampled_from("ab"))), max_size=8),
+    right=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)),
+                             st.one_of(st.none(), st.sampled_from("ab"))), max_size=6),
+    salt=st.sampled_from([1, 3]),
+    how=st.sampled_from(["left", "left_semi", "left_anti"]),
+)
+def test_lookup_on_any_rows_equals_plain_join(spark, left, right, salt, how):
+    a = spark.createDataFrame([(str(i), *r) for i, r in enumerate(left)], "id string, k int, m string")
+    b = spark.createDataFrame([(*r, i) for i, r in enumerate(right)], "k2 int, m2 string, v int")
+    payload = ["v"] if how == "left" else []
+    got = left_lookup(a, b, {"k2": F.col("k"), "m2": F.col("m")}, payload, salt=salt, how=how)
+    want = a.join(b, (a.k == b.k2) & (a.m == b.m2), how).select(*a.columns, *payload)
+    assert rows(got) == rows(want)
+
+
 def _partitions(df):
     """Rows per task of the last join, without the runtime changing it."""
     return Counter(r[0] for r in df.select(F.spark_partition_id()).collect())
