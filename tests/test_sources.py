@@ -122,9 +122,9 @@ class FakeFrame:
 
 def test_table_read_is_split():
     got = jdbc.read_table(
-        FakeSpark(), CONNECTION, "bt_caixas", "gdo", split=jdbc.Split("id", "1", "100", 8)
+        FakeSpark(), CONNECTION, "bt_caixas", "dados", split=jdbc.Split("id", "1", "100", 8)
     )
-    assert got["dbtable"] == "gdo.bt_caixas" and got["format"] == "jdbc"
+    assert got["dbtable"] == "dados.bt_caixas" and got["format"] == "jdbc"
     assert (got["partitionColumn"], got["numPartitions"]) == ("id", "8")
     assert (got["lowerBound"], got["upperBound"], got["user"]) == ("1", "100", "u")
 
