@@ -436,7 +436,8 @@ def flatten_schedule(spark, sf):
 
 @query(
     "pending_listing",
-    "SELECT DISTINCT o_orderstatus || substr(o_orderpriority, 1, 1) AS lote, TRUE AS com_conteudo FROM orders",
+    """SELECT DISTINCT o_orderstatus || substr(o_orderpriority, 1, 1) AS lote,
+      TRUE AS com_conteudo FROM orders""",
 )
 def pending_listing(spark, sf):
     path = pf.payload_dir(spark, sf, pf.simple_animals)

@@ -149,6 +149,10 @@ def test_small_selection_is_broadcast_and_large_is_not(spark):
         ("0", True), ("1", True), ("2", True), ("3", False), ("4", False)
     ]
     hint = "ResolvedHint"
-    plan = lambda n: st.mark_sales_by_tenant(sales, "t0", n)._jdf.queryExecution().analyzed().toString()
+
+    def plan(n):
+        df = st.mark_sales_by_tenant(sales, "t0", n)
+        return df._jdf.queryExecution().analyzed().toString()
+
     assert hint in plan(3) and hint not in plan(st.SMALL_SELECTION + 1)
     assert got.filter(F.col("data_hora_processada").isNotNull()).count() == 3
