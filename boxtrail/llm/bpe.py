@@ -12,7 +12,7 @@ Texts are split by the pattern of the vocabulary; each match is encoded by itsel
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import cache
 
 import numpy as np
@@ -22,7 +22,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from boxtrail.llm import words
 from boxtrail.llm.common import column, texts
-from boxtrail.llm.units import UnitEncoder, flattened
+from boxtrail.llm.units import UnitEncoder
 from boxtrail.llm.vocabulary import default_path, ranks, split_pattern
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -36,8 +36,13 @@ class PrefixEncoder:
         self.rank_of = rank_of
         self.bytes_of = {rank: token for token, rank in rank_of.items()}
         self.longest = max(map(len, rank_of), default=0)
+        self.size_of = np.zeros(max(self.bytes_of, default=0) + 1, dtype=np.int64)
+        for rank, token in self.bytes_of.items():
+            self.size_of[rank] = len(token)
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._apart: dict[tuple[int, int], bool] = {}
+        self._apart = _PairCache(self._stay_apart)
+        self._names = _TokenNames(rank_of)
+        self._reachable = np.full(len(self.size_of), -1, dtype=np.int8)
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes a token; None for a single byte.
@@ -70,13 +75,7 @@ class PrefixEncoder:
 
     def apart(self, left: int, right: int) -> bool:
         """Whether two tokens side by side stay as they are."""
-        key = (left, right)
-        known = self._apart.get(key)
-        if known is None:
-            if len(self._apart) > 1_000_000:
-                self._apart.clear()
-            known = self._apart[key] = self._stay_apart(left, right)
-        return known
+        return bool(self._apart(np.array([left]), np.array([right]))[0])
 
     def _stay_apart(self, left: int, right: int) -> bool:
         """Run the merges at the border backwards in time.
@@ -107,10 +106,9 @@ class PrefixEncoder:
                 token = rank_of.get(piece[end - size : end])
                 if token is None:
                     continue
-                if size == end:
-                    if self.reachable(token):
-                        break
-                elif self.reachable(token) and apart(table[end - size - 1], token):
+                if self.reachable(token) and (
+                    size == end or apart(table[end - size - 1], token)
+                ):
                     break
             else:
                 raise ValueError("the vocabulary lacks a byte")
@@ -128,11 +126,135 @@ class PrefixEncoder:
         return out
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        whole = self.rank_of.get(piece)
-        if whole is not None and self.reachable(whole):
-            return [whole]
         return self.tokens(self.extend([], piece))
 
+    def encode_pieces(self, pieces: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of many pieces: all of them, where each piece's begin, and how many.
+
+        The tables of pieces of up to SHORT bytes grow together, one byte at a time.
+        """
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        order = np.argsort(-np.where(sizes > SHORT, 0, sizes), kind="stable")
+        short = order[: int((sizes <= SHORT).sum())]
+        counts = np.zeros(len(pieces), dtype=np.int64)
+        tables = self._tables([pieces[k] for k in short], sizes[short])
+        steps, rows, at = [], np.arange(len(short)), sizes[short].copy()
+        while len(rows):
+            token = tables[rows, at[rows] - 1]
+            steps.append((rows, token))
+            at[rows] -= self.size_of[token]
+            counts[short[rows]] += 1
+            rows = rows[at[rows] > 0]
+        long = {int(k): self.encode_piece(pieces[k]) for k in np.flatnonzero(sizes > SHORT)}
+        for k, tokens in long.items():
+            counts[k] = len(tokens)
+        starts = np.cumsum(counts) - counts
+        values = np.zeros(int(counts.sum()), dtype=np.int64)
+        for step, (rows, token) in enumerate(steps):
+            piece = short[rows]
+            values[starts[piece] + counts[piece] - 1 - step] = token
+        for k, tokens in long.items():
+            values[starts[k] : starts[k] + counts[k]] = tokens
+        return values, starts, counts
+
+    def _tables(self, pieces: list[bytes], sizes: np.ndarray) -> np.ndarray:
+        """Last-token tables of pieces sorted from long to short, one row each."""
+        width = int(sizes[0]) if len(pieces) else 0
+        tables = np.full((len(pieces), max(1, width)), -1, dtype=np.int64)
+        names = self._names.prefixes(pieces, width)
+        for end in range(1, width + 1):
+            rows = np.arange(int(np.searchsorted(-sizes, -end, side="right")))
+            for size in range(1, min(end, self.longest) + 1):
+                token = self._names.find(names, rows, end - size, end)
+                known = token >= 0
+                known[known] = self._all_reachable(token[known])
+                if size < end:
+                    tried = np.flatnonzero(known)
+                    before = tables[rows[tried], end - size - 1]
+                    known[tried] = self._apart(before, token[tried])
+                tables[rows[known], end - 1] = token[known]
+                rows = rows[~known]
+                if not len(rows):
+                    break
+            if len(rows):
+                raise ValueError("the vocabulary lacks a byte")
+        return tables
+
+    def _all_reachable(self, tokens: np.ndarray) -> np.ndarray:
+        found = self._reachable[tokens]
+        if (found < 0).any():
+            for token in np.unique(tokens[found < 0]).tolist():
+                self._reachable[token] = self.reachable(token)
+            found = self._reachable[tokens]
+        return found.astype(bool)
+
+
+#: Longest piece, in bytes, whose table is made together with others'.
+SHORT = 32
+
+
+class _TokenNames:
+    """Tokens by 64-bit polynomials of their bytes, for many substrings at once."""
+
+    _BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, rank_of: dict[bytes, int]):
+        short = [(token, rank) for token, rank in rank_of.items() if len(token) <= SHORT]
+        short.sort(key=lambda one: -len(one[0]))
+        self._power = np.full(SHORT + 1, self._BASE, dtype=np.uint64)
+        self._power[0] = 1
+        self._power = np.multiply.accumulate(self._power)
+        sizes = np.array([len(token) for token, _ in short], dtype=np.int64)
+        prefixes = self.prefixes([token for token, _ in short], int(sizes[0]) if short else 0)
+        names = prefixes[np.arange(len(short)), sizes]
+        order = np.argsort(names)
+        self._names = names[order]
+        self._ranks = np.array([rank for _, rank in short], dtype=np.int64)[order]
+        if (np.diff(self._names.view(np.int64)) == 0).any():
+            raise ValueError("two tokens have one name")
+
+    def prefixes(self, pieces: list[bytes], width: int) -> np.ndarray:
+        """Names of all prefixes of each piece; those past its end mean nothing."""
+        data = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), dtype=np.uint8)
+        data = data.reshape(len(pieces), width)
+        out = np.zeros((len(pieces), width + 1), dtype=np.uint64)
+        for k in range(width):
+            out[:, k + 1] = out[:, k] * np.uint64(self._BASE) + data[:, k] + np.uint64(1)
+        return out
+
+    def find(self, prefixes: np.ndarray, rows: np.ndarray, low: int, high: int) -> np.ndarray:
+        """The tokens that the bytes `low:high` of some rows are; -1 where none."""
+        name = prefixes[rows, high] - prefixes[rows, low] * self._power[high - low]
+        at = np.minimum(np.searchsorted(self._names, name), len(self._names) - 1)
+        return np.where(self._names[at] == name, self._ranks[at], -1)
+
+
+class _PairCache:
+    """Answers for pairs of tokens, as many as there are slots."""
+
+    SLOTS = 1 << 20
+
+    def __init__(self, answer):
+        self._answer = answer
+        self._keys = np.full(self.SLOTS, -1, dtype=np.int64)
+        self._values = np.zeros(self.SLOTS, dtype=bool)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = (left.astype(np.int64) << 32) | right
+        slot = ((key.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(44)).astype(
+            np.int64
+        )
+        missing = self._keys[slot] != key
+        if not missing.any():
+            return self._values[slot]
+        found = self._values[slot]
+        new, back = np.unique(key[missing], return_inverse=True)
+        answers = np.array([self._answer(k >> 32, k & 0xFFFFFFFF) for k in new.tolist()], bool)
+        found[missing] = answers[back]
+        self._keys[slot[missing]] = key[missing]
+        self._values[slot[missing]] = answers[back]
+        return found
+
 
 #: White space runs and contractions look at up to two characters after a match.
 LOOKAHEAD = 2
@@ -204,22 +326,26 @@ def prefix_encoder(path: str) -> PrefixEncoder:
 @cache
 def _unit_encoder(path: str) -> UnitEncoder:
     encoder, pattern = prefix_encoder(path), split_pattern()
-    seen: dict[str, list[int]] = {}
-
-    def piece(text: str) -> list[int]:
-        found = seen.get(text)
-        if found is None:
-            if len(seen) > 200_000:
-                seen.clear()
-            found = seen[text] = encoder.encode_piece(text.encode())
-        return found
 
     def encode(units):
-        return flattened(
-            [[token for match in pattern.findall(unit) for token in piece(match)] for unit in units]
-        )
+        pieces = [pattern.findall(unit) for unit in units]
+        number = {p: k for k, p in enumerate(dict.fromkeys(p for one in pieces for p in one))}
+        values, starts, counts = encoder.encode_pieces([p.encode() for p in number])
+        at = np.array([number[p] for one in pieces for p in one], dtype=np.int64)
+        ends = np.cumsum(counts[at])
+        flat = np.repeat(starts[at] - ends + counts[at], counts[at])
+        flat += np.arange(len(flat))
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, pieces)])]
+        return values[flat], cuts[:-1], np.diff(cuts)
 
-    return UnitEncoder(encode)
+    return UnitEncoder(encode, limit=600_000)
+
+
+@cache
+def _speller(path: str) -> Callable[[bytes], bytes]:
+    token = prefix_encoder(path).bytes_of
+    bytes_of = [token.get(k, b"") for k in range(max(token) + 1)].__getitem__
+    return lambda ids: b"".join(map(bytes_of, np.frombuffer(ids, "<u4").tolist()))
 
 
 def encode(
@@ -227,8 +353,9 @@ def encode(
     id_column: str = "doc_id",
     text_column: str = "text",
     path: str | None = None,
+    decoded: bool = False,
 ) -> DataFrame:
-    """`doc_id`, `n_tokens` and `ids` of every row.
+    """`doc_id`, `n_tokens` and `ids` of every row; `decoded` adds what these decode to.
 
     `ids` is binary: little-endian unsigned 32-bit numbers. A null or empty text
     has no ids. Rows are independent: repeated rows come out repeated, null ids
@@ -238,30 +365,26 @@ def encode(
     file = path or default_path(RANK_FILE)
 
     def run(batches):
-        encoder = _unit_encoder(file)
+        encoder, spell = _unit_encoder(file), _speller(file)
         for batch in batches:
             for part in words.slices(batch, "text"):
                 flat, at = encoder(part["text"].to_pylist())
                 data = flat.astype("<u4").tobytes()
                 cuts = at.tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part["doc_id"],
-                        pa.array(np.diff(at), pa.int64()),
-                        pa.array(
-                            [
-                                data[4 * a : 4 * b]
-                                for a, b in zip(cuts, cuts[1:], strict=False)
-                            ],
-                            pa.binary(),
-                        ),
-                    ],
-                    ["doc_id", "n_tokens", "ids"],
-                )
+                ids = [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+                columns = {
+                    "doc_id": part["doc_id"],
+                    "n_tokens": pa.array(np.diff(at), pa.int64()),
+                    "ids": pa.array(ids, pa.binary()),
+                }
+                if decoded:
+                    columns["decoded"] = pa.array(map(spell, ids), pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
 
     source = texts(df, id_column, text_column)
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary")
+    schema = f"doc_id {kind}, n_tokens long, ids binary" + ", decoded binary" * decoded
+    return source.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -272,15 +395,10 @@ def decode(df: DataFrame, path: str | None = None) -> DataFrame:
     file = path or default_path(RANK_FILE)
 
     def run(batches):
-        token = prefix_encoder(file).bytes_of
-        spell = [token.get(k, b"") for k in range(max(token) + 1)].__getitem__
+        spell = _speller(file)
         for batch in batches:
             for part in words.slices(batch, "ids"):
-                decoded = [
-                    None if ids is None
-                    else b"".join(map(spell, np.frombuffer(ids, "<u4").tolist()))
-                    for ids in part["ids"].to_pylist()
-                ]
+                decoded = [None if x is None else spell(x) for x in part["ids"].to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(decoded, pa.binary())],
                     [*part.schema.names, "decoded"],
