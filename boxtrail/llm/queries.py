@@ -123,7 +123,7 @@ def op3_importance_resampling(spark, sf_dir):
 @_query()
 def op4_prefix_bpe(spark, sf_dir):
     """Digests of each document's ids and of the bytes they decode to."""
-    encoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), decoded=True)
     return encoded.select(
         "doc_id", "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

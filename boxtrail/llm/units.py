@@ -86,8 +86,7 @@ class UnitEncoder:
             ends.append(len(numbers))
         self._learn()
         at = np.array(numbers, dtype=np.int64)
-        if self._index.known:
-            self._uses[: self._index.known] += np.bincount(at, minlength=self._index.known)
+        np.add.at(self._uses, at, 1)
         lengths = self._length[at]
         sums = np.zeros(len(at) + 1, dtype=np.int64)
         np.cumsum(lengths, out=sums[1:])
