@@ -192,10 +192,7 @@ def op9_token_trees(spark, sf_dir):
         "doc_id", "text", middle.alias("start"), (middle + 24).alias("end"),
         F.concat_ws(" ", F.lit(""), "lang", "source").alias("new"),
     )
-    counted = token_trees.trees(
-        edits, keep={c: F.col(c) for c in ("start", "end", "new")}
-    )
-    return token_trees.apply_edits(counted).select(
+    return token_trees.count_edited(edits).select(
         "doc_id", "n_tokens_before", "n_tokens", "n_recounted",
         F.sha2("text", 256).alias("edited_sha256"),
     )

@@ -174,11 +174,36 @@ def trees(
     return source.mapInArrow(run, schema)
 
 
+def _edited(rows, count) -> dict:
+    """Apply an edit to each of (text, tree, start, end, new); columns of the outcome."""
+    texts, tokens, stored, again, before = [], [], [], [], []
+    for text, tree, start, end, new in rows:
+        size = len(text)
+        low = size if start is None else min(max(start, 0), size)
+        high = size if end is None else min(max(end, low), size)
+        before.append(tree.n_tokens)
+        text, redone = tree.replace(text, low, high, new or "", count)
+        texts.append(text)
+        tokens.append(tree.n_tokens)
+        stored.append(tree)
+        again.append(redone)
+    return {
+        "text": pa.array(texts, pa.string()),
+        "n_tokens": pa.array(tokens, pa.int64()),
+        "n_tokens_before": pa.array(before, pa.int64()),
+        "n_recounted": pa.array(again, pa.int64()),
+        "tree": stored,
+    }
+
+
+_EDIT = ("start", "end", "new")
+
+
 def apply_edits(df: DataFrame, path: str | None = None) -> DataFrame:
     """Apply one edit to each row of `trees` that has `start`, `end` and `new` added.
 
-    Returns `doc_id`, `text`, `n_tokens` and `tree` after the edit, `n_tokens_before`
-    and `n_recounted`, the characters that were split and encoded again. Positions
+    Returns `doc_id`, `text`, `n_tokens`, `n_tokens_before`, `n_recounted`, the
+    characters that were split and encoded again, and `tree` after the edit. Positions
     are characters; null or too large ones are the text's end, a null `new` is empty.
     """
     file = path or default_path(TOKENIZER_FILE)
@@ -187,33 +212,57 @@ def apply_edits(df: DataFrame, path: str | None = None) -> DataFrame:
         count = _counter(file)
         for batch in batches:
             for part in words.slices(batch, "text"):
-                rows = zip(
-                    *(part[c].to_pylist() for c in ("text", "tree", "start", "end", "new")),
-                    strict=True,
-                )
-                texts, tokens, stored, again, before = [], [], [], [], []
-                for text, data, start, end, new in rows:
-                    tree, size = CountTree.from_bytes(data), len(text)
-                    low = size if start is None else min(max(start, 0), size)
-                    high = size if end is None else min(max(end, low), size)
-                    before.append(tree.n_tokens)
-                    text, redone = tree.replace(text, low, high, new or "", count)
-                    texts.append(text)
-                    tokens.append(tree.n_tokens)
-                    stored.append(tree.to_bytes())
-                    again.append(redone)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part["doc_id"], pa.array(texts, pa.string()),
-                        pa.array(tokens, pa.int64()), pa.array(stored, pa.binary()),
-                        pa.array(before, pa.int64()), pa.array(again, pa.int64()),
-                    ],
-                    ["doc_id", "text", "n_tokens", "tree", "n_tokens_before", "n_recounted"],
-                )
+                trees = [CountTree.from_bytes(x) for x in part["tree"].to_pylist()]
+                edits = (part[c].to_pylist() for c in _EDIT)
+                found = _edited(zip(part["text"].to_pylist(), trees, *edits, strict=True), count)
+                found["tree"] = pa.array([t.to_bytes() for t in found["tree"]], pa.binary())
+                yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], **found})
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    return df.select("doc_id", "text", "tree", "start", "end", "new").mapInArrow(
+    return df.select("doc_id", "text", "tree", *_EDIT).mapInArrow(
+        run,
+        f"doc_id {kind}, text string, n_tokens long, n_tokens_before long, n_recounted long, "
+        "tree binary",
+    )
+
+
+def count_edited(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    start_column: str = "start",
+    end_column: str = "end",
+    new_column: str = "new",
+    path: str | None = None,
+) -> DataFrame:
+    """`trees` and `apply_edits` in one task, without the trees in between.
+
+    Returns the columns of `apply_edits` but `tree`. Null texts are empty, repeated
+    rows come out repeated, null ids stay null, other columns are left out.
+    """
+    file = path or default_path(TOKENIZER_FILE)
+
+    def run(batches):
+        encoder, count = token_counts(file), _counter(file)
+        for batch in batches:
+            for part in words.slices(batch, "text"):
+                texts = part["text"].to_pylist()
+                leaves, at = encoder(texts)
+                trees = (CountTree(leaves[a:b]) for a, b in zip(at[:-1], at[1:], strict=True))
+                edits = (part[c].to_pylist() for c in _EDIT)
+                found = _edited(zip(texts, trees, *edits, strict=True), count)
+                del found["tree"]
+                yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], **found})
+
+    source = df.select(
+        column(df, id_column).alias("doc_id"),
+        F.coalesce(column(df, text_column).cast("string"), F.lit("")).alias("text"),
+        column(df, start_column).cast("long").alias("start"),
+        column(df, end_column).cast("long").alias("end"),
+        column(df, new_column).cast("string").alias("new"),
+    )
+    kind = source.schema["doc_id"].dataType.simpleString()
+    return source.mapInArrow(
         run,
-        f"doc_id {kind}, text string, n_tokens long, tree binary, "
-        "n_tokens_before long, n_recounted long",
+        f"doc_id {kind}, text string, n_tokens long, n_tokens_before long, n_recounted long",
     )

@@ -146,13 +146,6 @@ class UnitEncoder:
         self._start, self._length = _grown(starts, 1 << 14), _grown(lengths, 1 << 14)
 
 
-def flattened(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One sequence of numbers for each unit in the form `UnitEncoder` asks for."""
-    lengths = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-    values = np.array([x for one in lists for x in one], dtype=np.int64)
-    return values, np.cumsum(lengths) - lengths, lengths
-
-
 def _grown(x: np.ndarray, size: int) -> np.ndarray:
     if size <= len(x):
         return x

@@ -8,7 +8,7 @@ from functools import cache
 
 import numpy as np
 
-from boxtrail.llm.units import UnitEncoder, flattened
+from boxtrail.llm.units import UnitEncoder
 
 #: Units encoded as one text.
 CHAIN = 500
@@ -39,36 +39,61 @@ def tokenizer(path: str):
     return loaded
 
 
+def _joined(units: list[str]) -> tuple[np.ndarray, list[str]]:
+    """Units put together to fewer texts, and their numbers in the order of these.
+
+    Units that begin with white space and do not end with it can follow each other
+    without changing each other's encoding.
+    """
+    chain = np.array([u[0] in " \n" and not u[-1].isspace() for u in units], dtype=bool)
+    chained, alone = np.flatnonzero(chain), np.flatnonzero(~chain)
+    texts = [
+        "".join([units[j] for j in chained[k : k + CHAIN].tolist()])
+        for k in range(0, len(chained), CHAIN)
+    ]
+    return np.concatenate([chained, alone]), texts + [units[j] for j in alone.tolist()]
+
+
+def _placed(order: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths by unit from the ends of units in another order."""
+    starts, lengths = np.empty((2, len(order)), dtype=np.int64)
+    lengths[order] = np.diff(ends, prepend=0)
+    starts[order] = ends - lengths[order]
+    return starts, lengths
+
+
+def _bytes(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
 @cache
-def token_encoder(path: str) -> UnitEncoder:
-    """Texts to ids by a tokenizer file."""
-    encoder = tokenizer(path)
-    names = encoder.get_vocab()
+def _token_sizes(path: str) -> np.ndarray:
+    """Bytes of each token; one character of its name stands for one byte."""
+    names = tokenizer(path).get_vocab()
     size = np.zeros(max(names.values()) + 1, dtype=np.int64)
     for name, number in names.items():
-        size[number] = len(name)  # one character stands for one byte
+        size[number] = len(name)
+    return size
+
+
+def _encoded(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts and the bytes up to the end of each."""
+    found = tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
+    ids = np.concatenate(
+        [np.empty(0, np.int64), *(np.array(one.ids, dtype=np.int64) for one in found)]
+    )
+    return ids, np.cumsum(_token_sizes(path)[ids])
+
 
-    def ids(texts):
-        found = encoder.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, dtype=np.int64) for one in found]
+@cache
+def token_encoder(path: str) -> UnitEncoder:
+    """Texts to ids by a tokenizer file."""
 
     def encode(units):
-        # Units that begin with white space and do not end with it can be encoded
-        # together; their ids are told apart by the bytes they stand for.
-        chain = np.array([u[0] in " \n" and not u[-1].isspace() for u in units], dtype=bool)
-        chained = [u for u, c in zip(units, chain, strict=True) if c]
-        alone = [u for u, c in zip(units, chain, strict=True) if not c]
-        joined = ids(["".join(chained[k : k + CHAIN]) for k in range(0, len(chained), CHAIN)])
-        single = ids(alone)
-        values = np.concatenate([np.empty(0, np.int64), *joined])
-        ends = np.cumsum([len(u) if u.isascii() else len(u.encode()) for u in chained])
-        cuts = np.searchsorted(np.cumsum(size[values]), ends) + 1
-        starts, lengths = np.zeros((2, len(units)), dtype=np.int64)
-        lengths[chain] = np.diff(cuts, prepend=0)
-        lengths[~chain] = [len(x) for x in single]
-        starts[chain] = cuts - lengths[chain]
-        starts[~chain] = len(values) + np.cumsum(lengths[~chain]) - lengths[~chain]
-        return np.concatenate([values, *single]), starts, lengths
+        order, texts = _joined(units)
+        ids, reached = _encoded(path, texts)
+        ends = np.cumsum([_bytes(units[k]) for k in order.tolist()])
+        return ids, *_placed(order, np.searchsorted(reached, ends) + 1)
 
     return UnitEncoder(encode)
 
@@ -76,16 +101,20 @@ def token_encoder(path: str) -> UnitEncoder:
 @cache
 def token_counts(path: str) -> UnitEncoder:
     """Texts to their pre-tokens: characters * 2**32 + tokens of each."""
-    encoder, pattern = tokenizer(path), split_pattern()
+    pattern = split_pattern()
 
     def encode(units):
-        pieces = [pattern.findall(unit) for unit in units]
-        flat = list(dict.fromkeys(p for one in pieces for p in one))
-        found = encoder.encode_batch_fast(flat, add_special_tokens=False)
-        size = {p: (len(p) << 32) + len(e) for p, e in zip(flat, found, strict=True)}
-        return flattened([[size[p] for p in one] for one in pieces])
-
-    return UnitEncoder(encode, np.int64)
+        order, texts = _joined(units)
+        _, reached = _encoded(path, texts)
+        pieces = [piece for text in texts for piece in pattern.findall(text)]
+        chars = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        size = np.fromiter(map(_bytes, pieces), dtype=np.int64, count=len(pieces))
+        tokens = np.diff(np.searchsorted(reached, np.cumsum(size), side="right"), prepend=0)
+        ends = np.cumsum([len(units[k]) for k in order.tolist()])
+        cuts = np.searchsorted(np.cumsum(chars), ends) + 1
+        return (chars << 32) + tokens, *_placed(order, cuts)
+
+    return UnitEncoder(encode, np.int64, limit=600_000)
 
 
 @cache
