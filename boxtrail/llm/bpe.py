@@ -338,7 +338,7 @@ def _unit_encoder(path: str) -> UnitEncoder:
         cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, pieces)])]
         return values[flat], cuts[:-1], np.diff(cuts)
 
-    return UnitEncoder(encode, limit=600_000)
+    return UnitEncoder(encode)
 
 
 @cache
@@ -368,7 +368,7 @@ def encode(
         encoder, spell = _unit_encoder(file), _speller(file)
         for batch in batches:
             for part in words.slices(batch, "text"):
-                flat, at = encoder(part["text"].to_pylist())
+                flat, at = encoder(part["text"])
                 data = flat.astype("<u4").tobytes()
                 cuts = at.tolist()
                 ids = [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]

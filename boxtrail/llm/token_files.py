@@ -45,7 +45,7 @@ def _encoded(file: str, end: int):
         encoder, part, before = token_encoder(file), TaskContext.get().partitionId(), 0
         for batch in batches:
             for piece in words.slices(batch, "text"):
-                flat, at = encoder(piece["text"].to_pylist())
+                flat, at = encoder(piece["text"])
                 flat = np.insert(flat, at[1:], end)
                 at = at + np.arange(len(at))
                 ids = pa.ListArray.from_arrays(

@@ -2,56 +2,88 @@
 
 The split pattern of a byte-level BPE never reaches across a border between a
 character that is not white space and one that is. A text can be cut at these
-borders, and equal pieces (units) have equal encodings wherever they stand. A
-task encodes each unit once and puts texts together from numpy arrays.
+borders, and equal pieces (units) have equal encodings wherever they stand. A task
+encodes each unit once and puts texts together from numpy arrays.
+
+Units are known by a 64-bit hash of their bytes: among a million known units, an
+unknown one is taken for another with probability 5e-14.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
+
+from boxtrail.llm import words
 
 #: Units kept between batches; the seldom used half goes when there are more.
-LIMIT = 800_000
-
-_FIRST, _GENERAL = "\x00", "\x01"
-_UNSAFE = -1
-#: White space of the split pattern; Python's also has \x1c-\x1f.
-_ANY_UNIT = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+$")
-
-
-class _Index(dict):
-    """Number of each unit; new ones are noted for encoding."""
-
-    def __init__(self):
-        super().__init__()
-        self.pending: list[str] = []
-        self.known = 0
-
-    def __missing__(self, key: str) -> int:
-        literal = _literal(key)
-        if literal is None:
-            number = _UNSAFE
-        else:
-            number = self.known + len(self.pending)
-            self.pending.append(literal)
-        self[key] = number
-        return number
-
-
-def _literal(key: str) -> str | None:
-    """The text a key stands for; None if its borders are not plain ones."""
-    mark = key[:1]
-    if mark == _GENERAL:
-        return key[1:]
-    body = key[1:] if mark in (_FIRST, "\n") else key
-    if not body or body[0].isspace() or body[-1].isspace():
-        return None
-    if mark == _FIRST:
-        return body
-    return key if mark == "\n" else " " + key
+LIMIT = 1_000_000
+
+#: ASCII white space, and first bytes of characters that may be other white space.
+_SPACE = words.WORDS == 0
+_TWO = np.zeros(256, dtype=bool)
+_TWO[0xC2] = True
+_THREE = np.zeros(256, dtype=bool)
+_THREE[0xE1:0xE4] = True
+
+_U = np.uint64
+
+
+def unit_starts(buffer: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where units begin: texts, and white space after a character that is none.
+
+    Behind a character that may be white space outside ASCII none begins; longer
+    units are as good.
+    """
+    n = len(buffer)
+    space = _SPACE[buffer]
+    start = space.copy()
+    start[1:] &= ~space[:-1]
+    start[2:] &= ~_TWO[buffer[:-2]]
+    start[3:] &= ~_THREE[buffer[:-3]]
+    start[offsets[offsets < n]] = True
+    return np.flatnonzero(start)
+
+
+class _Table:
+    """Numbers of hashes: open addressing in numpy arrays."""
+
+    def __init__(self, bits: int):
+        self._shift, self._mask = _U(64 - bits), (1 << bits) - 1
+        self._keys = np.zeros(1 << bits, dtype=np.uint64)
+        self._numbers = np.zeros(1 << bits, dtype=np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _U(0x9FB21C651E98DF25)) >> self._shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of keys; -1 for unknown ones."""
+        slots = self._slots(keys)
+        seen = self._keys[slots]
+        out = np.where(seen == keys, self._numbers[slots], -1).astype(np.int64)
+        open_ = np.flatnonzero((seen != keys) & (seen != 0))
+        slots = slots[open_]
+        while len(open_):
+            slots = (slots + 1) & self._mask
+            seen, wanted = self._keys[slots], keys[open_]
+            hit = seen == wanted
+            out[open_[hit]] = self._numbers[slots[hit]]
+            go = ~hit & (seen != 0)
+            open_, slots = open_[go], slots[go]
+        return out
+
+    def add(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Put in distinct keys that are not there."""
+        slots = self._slots(keys)
+        while len(keys):
+            free = np.flatnonzero(self._keys[slots] == 0)
+            self._keys[slots[free]] = keys[free]
+            done = self._keys[slots] == keys
+            self._numbers[slots[done]] = numbers[done]
+            keys, numbers = keys[~done], numbers[~done]
+            slots = (slots[~done] + 1) & self._mask
 
 
 class UnitEncoder:
@@ -68,82 +100,77 @@ class UnitEncoder:
         limit: int = LIMIT,
     ):
         self._encode, self._limit = encode, limit
-        self._index = _Index()
-        self._values = np.empty(1 << 16, dtype=dtype)
-        self._start = np.zeros(1 << 14, dtype=np.int64)
-        self._length = np.zeros(1 << 14, dtype=np.int64)
-        self._uses = np.zeros(1 << 14, dtype=np.int64)
-        self._size = 0
-
-    def __call__(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        self._bits = (4 * limit).bit_length()
+        self._table = _Table(self._bits)
+        self._values = np.empty(0, dtype=dtype)
+        self._start, self._length, self._uses = np.zeros((3, 0), dtype=np.int64)
+        self._names = np.zeros(0, dtype=np.uint64)
+        self._known = self._size = 0
+
+    def __call__(self, texts: pa.Array | Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """All numbers of all texts, and where each text's begin (one more at the end)."""
-        numbers: list[int] = []
-        ends = [0]
-        lookup = self._index.__getitem__
-        for text in texts:
-            if text:
-                numbers.extend(self._units(text, lookup))
-            ends.append(len(numbers))
-        self._learn()
-        at = np.array(numbers, dtype=np.int64)
+        if not isinstance(texts, (pa.Array, pa.ChunkedArray)):
+            texts = pa.array(texts, pa.string())
+        buffer, offsets = words.text_buffer(texts)
+        starts = unit_starts(buffer, offsets)
+        first = np.searchsorted(starts, offsets)
+        ends = np.append(starts[1:], len(buffer))[: len(starts)]
+        names = words.Words(buffer, starts, ends, first).hashes() | _U(1)
+        at = self._table.find(names)
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            new, place, back = np.unique(names[unknown], return_index=True, return_inverse=True)
+            place = unknown[place]
+            raw = buffer.tobytes()
+            spans = zip(starts[place].tolist(), ends[place].tolist(), strict=True)
+            at[unknown] = self._known + back
+            self._learn(new, [raw[a:b].decode() for a, b in spans])
         np.add.at(self._uses, at, 1)
         lengths = self._length[at]
         sums = np.zeros(len(at) + 1, dtype=np.int64)
         np.cumsum(lengths, out=sums[1:])
         flat = np.repeat(self._start[at] - sums[:-1], lengths)
         flat += np.arange(len(flat))
-        out = self._values[flat], sums[np.array(ends)]
-        if self._index.known > self._limit:
+        out = self._values[flat], sums[first]
+        if self._known > self._limit:
             self._forget()
         return out
 
-    def _units(self, text: str, lookup) -> list[int]:
-        if _FIRST not in text and _GENERAL not in text:
-            units = text.replace("\n", " \n").split(" ")
-            units[0] = _FIRST + units[0]
-            numbers = list(map(lookup, units))
-            if _UNSAFE not in numbers:
-                return numbers
-        return [lookup(_GENERAL + unit) for unit in _ANY_UNIT.findall(text)]
-
-    def _learn(self) -> None:
-        new = self._index.pending
-        if not new:
-            return
-        values, starts, lengths = self._encode(new)
-        count = self._index.known
-        total = count + len(new)
+    def _learn(self, names: np.ndarray, units: list[str]) -> None:
+        values, starts, lengths = self._encode(units)
+        count, total = self._known, self._known + len(units)
         size = self._size + len(values)
+        if total > self._limit * 3 // 2:  # a very large batch
+            bits = max(self._bits, (2 * total).bit_length())
+            table = _Table(bits)
+            table.add(self._names[:count], np.arange(count, dtype=np.int32))
+            self._table = table
         self._values = _grown(self._values, size)
-        self._start, self._length, self._uses = (
-            _grown(x, total) for x in (self._start, self._length, self._uses)
+        self._start, self._length, self._uses, self._names = (
+            _grown(x, total) for x in (self._start, self._length, self._uses, self._names)
         )
         self._values[self._size : size] = values
-        self._length[count:total] = lengths
         self._start[count:total] = self._size + starts
+        self._length[count:total] = lengths
         self._uses[count:total] = 0
-        self._size = size
-        self._index.known, self._index.pending = total, []
+        self._names[count:total] = names
+        self._table.add(names, np.arange(count, total, dtype=np.int32))
+        self._known, self._size = total, size
 
     def _forget(self) -> None:
-        """Keep the more often used half of the units."""
-        known = self._index.known
-        kept = np.sort(np.argsort(-self._uses[:known], kind="stable")[: self._limit // 2])
-        number = np.full(known, _UNSAFE, dtype=np.int64)
-        number[kept] = np.arange(len(kept))
+        """Keep the more often used units, half the limit."""
+        kept = np.sort(
+            np.argsort(-self._uses[: self._known], kind="stable")[: self._limit // 2]
+        )
         lengths = self._length[kept]
         starts = np.cumsum(lengths) - lengths
         flat = np.repeat(self._start[kept] - starts, lengths) + np.arange(int(lengths.sum()))
-        values = self._values[flat]
-        index = _Index()
-        for key, old in self._index.items():
-            if old != _UNSAFE and number[old] != _UNSAFE:
-                dict.__setitem__(index, key, int(number[old]))
-        index.known = len(kept)
-        self._index, self._size = index, len(values)
-        self._values = _grown(values, 1 << 16)
-        self._uses = _grown(self._uses[kept] >> 1, 1 << 14)
-        self._start, self._length = _grown(starts, 1 << 14), _grown(lengths, 1 << 14)
+        self._values, self._size = self._values[flat], len(flat)
+        self._start, self._length = starts, lengths
+        self._uses, self._names = self._uses[kept] >> 1, self._names[kept]
+        self._known = len(kept)
+        self._table = _Table(self._bits)
+        self._table.add(self._names, np.arange(len(kept), dtype=np.int32))
 
 
 def _grown(x: np.ndarray, size: int) -> np.ndarray:
