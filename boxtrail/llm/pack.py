@@ -131,29 +131,35 @@ class Mixture:
                 high = middle - 1
         return low
 
-    def cut(self, queue: int, position: int, size: int, block: int | None = None):
-        """Yield (start, length, sequence, offset) of a run of a queue's tokens."""
-        number = self.block_of(queue, position) if block is None else block
-        at, end = position, position + size
-        while at < end:
+    def cut(self, queue: int, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Cut runs `at:end` of a queue's tokens at the sequences' edges.
+
+        Columns of the result: the run's number, the piece's first token in the run,
+        its length, its sequence and its offset there.
+        """
+        out = [np.zeros((0, 5), dtype=np.int64)]
+        number = self.block_of(queue, int(at.min()))
+        while True:
             given, offset = self.block(number)
             mine = given[:, queue]
-            if at >= mine[-1]:
-                number += 1
-                continue
-            to = min(end, int(mine[-1]))
-            low = int(np.searchsorted(mine, at, side="right")) - 1
-            high = int(np.searchsorted(mine, to, side="left"))
-            marks = np.concatenate([[at], mine[low + 1 : high], [to]])
-            for k in np.flatnonzero(np.diff(marks)).tolist():
-                begin = int(marks[k])
-                yield (
-                    begin - position,
-                    int(marks[k + 1]) - begin,
-                    number * self.block_size + low + k,
-                    int(offset[low + k, queue]) + begin - int(mine[low + k]),
-                )
-            at = to
+            low, high = np.maximum(at, mine[0]), np.minimum(end, mine[-1])
+            runs = np.flatnonzero(high > low)
+            first = np.searchsorted(mine, low[runs], side="right") - 1
+            count = np.searchsorted(mine, high[runs], side="left") - first
+            run = np.repeat(runs, count)
+            k = np.arange(len(run)) + np.repeat(first - np.cumsum(count) + count, count)
+            begin = np.maximum(mine[k], low[run])
+            length = np.minimum(mine[k + 1], high[run]) - begin
+            piece = np.column_stack(
+                [
+                    run, begin - at[run], length, number * self.block_size + k,
+                    offset[k, queue] + begin - mine[k],
+                ]
+            )
+            out.append(piece[length > 0])
+            if mine[-1] >= end.max():
+                return np.concatenate(out)
+            number += 1
 
     def deficits(self, sequence: int) -> np.ndarray:
         """Target less given tokens of each queue when a sequence begins, in one phase."""
@@ -161,9 +167,8 @@ class Mixture:
         share = np.array(self.totals) / max(1, self.total)
         return share * place - self.served(np.array([place]))[0]
 
-    def size_of(self, sequence: int) -> int:
-        low, high = self.edges(np.array([sequence, sequence + 1]))
-        return int(high - low)
+    def sizes(self, sequences: np.ndarray) -> np.ndarray:
+        return self.edges(sequences + 1) - self.edges(sequences)
 
 
 def _first_due(places: np.ndarray, give: np.ndarray) -> np.ndarray:
@@ -192,7 +197,7 @@ def _queued(file: str, end: int):
         encoder, part, given = token_encoder(file), TaskContext.get().partitionId(), {}
         for batch in batches:
             for piece in words.slices(batch, "text"):
-                flat, at = encoder(piece["text"].to_pylist())
+                flat, at = encoder(piece["text"])
                 flat = np.insert(flat, at[1:], end)
                 at = at + np.arange(len(at))
                 sizes, starts = np.diff(at).tolist(), []
@@ -216,43 +221,34 @@ def _queued(file: str, end: int):
 
 
 def _cut_pieces(mixture: Mixture, number_of: dict):
-    names = [
-        "doc_id", "queue", "start", "length", "ids", "doc_tokens", "sequence_id", "offset",
-        "sequence_length",
-    ]
-
     def run(batches):
-        block: dict = {}
         for batch in batches:
             for k in range(0, batch.num_rows, 2000):
                 part = batch.slice(k, 2000)
-                rows, out = part.to_pylist(), []
-                for row in rows:
-                    queue, ids = number_of[row["queue"]], row["ids"]
-                    at = row["base"] + row["queue_start"]
-                    near = block.get(queue)
-                    if near is None or mixture.block(near)[0][0, queue] > at:
-                        near = mixture.block_of(queue, at)
-                    last = near
-                    for start, length, sequence, offset in mixture.cut(
-                        queue, at, row["doc_tokens"], near
-                    ):
-                        last = sequence // mixture.block_size
-                        out.append(
-                            (
-                                row["doc_id"], row["queue"], start, length,
-                                ids[4 * start : 4 * (start + length)], row["doc_tokens"],
-                                sequence, offset, mixture.size_of(sequence),
-                            )
-                        )
-                    block[queue] = last
-                kinds = [
-                    part.schema.field("doc_id").type, pa.string(), pa.int64(), pa.int64(),
-                    pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(),
-                ]
-                columns = list(zip(*out, strict=True)) or [[]] * len(names)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names
+                queue = np.array([number_of[q] for q in part["queue"].to_pylist()])
+                at = part["base"].to_numpy() + part["queue_start"].to_numpy()
+                end = at + part["doc_tokens"].to_numpy()
+                found = []
+                for q in np.unique(queue):
+                    rows = np.flatnonzero(queue == q)
+                    pieces = mixture.cut(q, at[rows], end[rows])
+                    pieces[:, 0] = rows[pieces[:, 0]]
+                    found.append(pieces)
+                row, start, length, sequence, offset = np.concatenate(found).T
+                ids = part["ids"].to_pylist()
+                spans = zip(row.tolist(), (4 * start).tolist(), (4 * length).tolist(), strict=True)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": part["doc_id"].take(pa.array(row)),
+                        "queue": part["queue"].take(pa.array(row)),
+                        "start": start,
+                        "length": length,
+                        "ids": pa.array([ids[r][a : a + n] for r, a, n in spans], pa.binary()),
+                        "doc_tokens": part["doc_tokens"].take(pa.array(row)),
+                        "sequence_id": sequence,
+                        "offset": offset,
+                        "sequence_length": pa.array(mixture.sizes(sequence), pa.int32()),
+                    }
                 )
 
     return run
@@ -299,11 +295,13 @@ def pack(
     before = Window.partitionBy("queue").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    # Stored, so that their size is known and the ids need not be dealt again.
     bases = parts.select(
         F.col("part").alias("base_part"),
         F.col("queue").alias("base_queue"),
         F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"),
     )
+    bases = stored(bases, "packing_bases")
     totals = dict(encoded.groupBy("queue").agg(F.sum("doc_tokens")).collect())
     names = sorted(totals, key=lambda q: (q is not None, q or ""))
     target = None if weights is None else [float(weights.get(q, 0)) for q in names]
