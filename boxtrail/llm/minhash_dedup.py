@@ -37,6 +37,8 @@ ROWS, BANDS, BITS = 4, 40, 2
 MINIMA = ROWS * BANDS
 #: Classes in a bucket of which all pairs are compared at once.
 SMALL = 32
+#: Hash buckets by which the rarity of shingles is counted, as a power of two.
+RARITY_BITS = 16
 
 _U = np.uint64
 _PER_LONG = 64 // BITS
@@ -236,32 +238,72 @@ def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     return nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles.view(np.uint64) >> _U(64 - RARITY_BITS)).astype(np.int64)
+
+
+def _counted(batches):
+    """How many of a task's sets have a shingle of each hash bucket."""
+    counts = np.zeros(1 << RARITY_BITS, dtype=np.int64)
+    for batch in batches:
+        shingles = batch["shingles"].flatten().to_numpy()
+        counts += np.bincount(_bucket(shingles), minlength=len(counts))
+    some = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(some), pa.array(counts[some])], ["bucket", "members"]
+    )
+
+
+def _prefixes(counts: np.ndarray, similarity: int):
+    """The rarest shingles of each set, as many as a similar set must share one of."""
+
+    def run(batches):
+        for batch in batches:
+            out = [[], [], [], []]
+            for row, shingles in enumerate(batch["shingles"]):
+                values = shingles.values.to_numpy()
+                often = counts[_bucket(values)]
+                first = len(values) - (similarity * len(values) + 99) // 100 + 1
+                order = np.lexsort((values, often))[:first]
+                # A bucket of one has no other set.
+                place = np.flatnonzero(often[order] > 1)
+                for column, value in zip(
+                    out,
+                    (np.full(len(place), row), np.full(len(place), len(values)), place,
+                     values[order[place]]),
+                    strict=True,
+                ):
+                    column.append(value)
+            if not batch.num_rows:
+                continue
+            row, n, place, shingle = (np.concatenate(c).astype(np.int64) for c in out)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["node"].take(pa.array(row)), batch["label"].take(pa.array(row)),
+                    pa.array(n), pa.array(place), pa.array(shingle),
+                ],
+                ["node", "label", "n", "pos", "shingle"],
+            )
+
+    return run
+
+
 def _across(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Exact candidates between members of different components.
 
-    `members` has `node` and `label`. A set is sorted by how many members have the
-    shingle; similar sets share one among the first n - ceil(t n) + 1 of n.
+    `members` has `node` and `label`. A set is sorted by how often the shingles of
+    their hash buckets occur among the members, then by hash; similar sets share one
+    among the first n - ceil(t n) + 1 of n.
     """
-    own = members.join(
-        sets.select(F.col("name").alias("node"), "shingles"), "node"
-    ).withColumn("n", F.size("shingles"))
-    flat = own.select("node", F.explode("shingles").alias("shingle"))
-    often = flat.groupBy("shingle").agg(F.count("*").alias("members"))
-    ranked = (
-        flat.join(often.where("members > 1"), "shingle", "left")
-        .groupBy("node")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct(F.coalesce("members", F.lit(1)).alias("m"), "shingle"))
-            ).alias("ranked")
-        )
+    own = stored(
+        members.join(sets.select(F.col("name").alias("node"), "shingles"), "node"), "prefix_sets"
     )
-    first = F.col("n") - F.floor((similarity * F.col("n") + 99) / 100).cast("int") + 1
-    prefix = (
-        own.select("node", "label", "n").join(ranked, "node")
-        .select("node", "label", "n", F.posexplode(F.slice("ranked", 1, first)))
-        .where("col.m > 1")
-        .select("node", "label", "n", F.col("pos"), F.col("col.shingle").alias("shingle"))
+    counts = np.zeros(1 << RARITY_BITS, dtype=np.int64)
+    counted = own.select("shingles").mapInArrow(_counted, "bucket long, members long")
+    for bucket, count in counted.groupBy("bucket").agg(F.sum("members")).collect():
+        counts[bucket] = count  # one row per bucket, whatever the input
+    prefix = own.select("node", "label", "shingles").mapInArrow(
+        _prefixes(counts, similarity), "node long, label long, n long, pos long, shingle long"
     )
     prefix = stored(prefix, "prefix")
     x, y = prefix.alias("x"), prefix.alias("y")
