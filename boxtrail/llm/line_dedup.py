@@ -30,7 +30,7 @@ from boxtrail.llm.common import column, packed, stored, unpacked
 #: Per cent.
 SIMILARITY = 90
 #: Hash buckets by which the frequency of words is counted.
-BUCKETS = 1 << 17
+BUCKETS = 1 << 15
 #: Bits of the filter that keeps lines without a part in any pair from being moved.
 FILTER_BITS = 1 << 24
 
