@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from boxtrail.session import scratch_path
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Name of the packed copy of a row's own columns while an operator adds its own.
 ROW = "__row"
 
@@ -21,7 +23,10 @@ def ship(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 
     On a cluster whose executors lack that folder, pass the package with --py-files.
+    Unless set otherwise, Arrow batches get fewer rows, as texts are large.
     """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]

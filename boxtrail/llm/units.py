@@ -19,7 +19,7 @@ import pyarrow as pa
 from boxtrail.llm import words
 
 #: Units kept between batches; the seldom used half goes when there are more.
-LIMIT = 1_000_000
+LIMIT = 700_000
 
 #: ASCII white space, and first bytes of characters that may be other white space.
 _SPACE = words.WORDS == 0
@@ -100,7 +100,7 @@ class UnitEncoder:
         limit: int = LIMIT,
     ):
         self._encode, self._limit = encode, limit
-        self._bits = (4 * limit).bit_length()
+        self._bits = (2 * limit).bit_length()
         self._table = _Table(self._bits)
         self._values = np.empty(0, dtype=dtype)
         self._start, self._length, self._uses = np.zeros((3, 0), dtype=np.int64)
