@@ -37,7 +37,7 @@ def parser() -> argparse.ArgumentParser:
     sales = commands.add_parser("sales", help="trace open sales")
     sales.add_argument("--grupo", type=int)
     sales.add_argument("--token")
-    sales.add_argument("--limite", type=int, default=1000, help="0 for all")
+    sales.add_argument("--limite", type=int, default=0, help="oldest sales only; 0 for all")
 
     load = commands.add_parser("ingest", help="load pending payload files")
     load.add_argument("--tipo", choices=("animais", "abates", "simples", "raw"), required=True)
@@ -64,6 +64,7 @@ def parser() -> argparse.ArgumentParser:
 
     status = commands.add_parser("status", help="flag reports")
     status.add_argument("--token")
+    status.add_argument("--out", help="folder for the reports as CSV")
     commands.add_parser("log", help="latest log rows")
     return top
 
@@ -83,8 +84,17 @@ def _connection(args: argparse.Namespace) -> dict[str, str]:
     return json.loads(Path(args.options).read_text())
 
 
-def _show(df: DataFrame) -> None:
-    df.show(100, truncate=False)
+SHOWN = 100
+
+
+def _show(df: DataFrame, out: str | None = None, name: str = "") -> None:
+    """Print a report, or write all of it under a folder."""
+    if out:
+        df.write.mode("overwrite").option("header", True).csv(f"{out.rstrip('/')}/{name}")
+        return
+    df.show(SHOWN, truncate=False)
+    if df.limit(SHOWN + 1).count() > SHOWN:
+        print(f"only the first {SHOWN} rows; --out writes all of them")
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -114,9 +124,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         )
     elif args.command == "status":
         boxes = lake_read(spark, args.lake, "bt_caixas", schema=BOX)
-        _show(reports.flag_status(boxes, args.token))
-        _show(reports.completeness_status(boxes, args.token))
-        _show(reports.flag_relationship(boxes, args.token))
+        _show(reports.flag_status(boxes, args.token), args.out, "flag_status")
+        _show(reports.completeness_status(boxes, args.token), args.out, "completeness_status")
+        _show(reports.flag_relationship(boxes, args.token), args.out, "flag_relationship")
     else:
         _show(reports.latest_log_rows(lake_read(spark, args.lake, "log_processamento")))
 

@@ -68,7 +68,9 @@ def not_loaded(rows: DataFrame, ledger: DataFrame, file: str = FILE) -> DataFram
     return left_lookup(rows, done, {file: F.col(file)}, how="left_anti")
 
 
-def _log_rows(df: DataFrame, payload: str, layer: str, values: dict, who: dict, now) -> DataFrame:
+def _log_rows(
+    df: DataFrame, payload: str, layer: str, values: dict, who: dict, now, path: Column | None = None
+) -> DataFrame:
     values = {
         "data_hora": now_or(now),
         "tipo_payload": F.lit(payload),
@@ -81,10 +83,12 @@ def _log_rows(df: DataFrame, payload: str, layer: str, values: dict, who: dict,
         for f in RUN_LOG
         if f.name != "id"
     ]
-    rows = df.select(*typed)
-    # an id without a counter: the same row gets the same id on a retry
-    key = F.xxhash64("data_hora", "tipo_payload", "camada", "nome_arquivo", "status")
-    return rows.select(key.alias("id"), *rows.columns)
+    names = [f.name for f in RUN_LOG if f.name != "id"]
+    rows = df.select(*typed, (F.lit(None) if path is None else path).cast("string").alias("_path"))
+    # an id without a counter: the same row gets the same id on a retry, and files
+    # of one name in two folders get two
+    key = F.xxhash64("data_hora", "tipo_payload", "camada", "_path", "status")
+    return rows.select(key.alias("id"), *names)
 
 
 def _who(user: str | None, host: str | None, version: str | None) -> dict:
@@ -114,7 +118,7 @@ def file_log(
             "registros_processados": F.col("n_rows") - F.col("n_bad"),
             "registros_invalidos": F.col("n_bad"),
         },
-        _who(user, host, version), now,
+        _who(user, host, version), now, F.col(file),
     )
 
 

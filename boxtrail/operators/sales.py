@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from boxtrail.functions.flags import all_true
 from boxtrail.functions.payload import json_id, trimmed_id
 from boxtrail.functions.rewrite import now_or
-from boxtrail.operators.lookups import left_lookup
+from boxtrail.operators.lookups import keyed, left_lookup, one_per_key
 from boxtrail.schemas import (
     PROPERTY_COLUMNS,
     PROPERTY_REQUIRED,
@@ -33,14 +33,16 @@ def oldest_unprocessed(
     sales: DataFrame,
     grupo_id: int | None = None,
     token: str | None = None,
-    limit: int | None = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Open sales, oldest first. A NULL flag is not open.
+    """Open sales, with a limit the oldest ones. A NULL flag is not open.
 
-    The group filter applies when the table has that column.
+    A group can only be asked for where the table has that column.
     """
     chosen = F.col("flag_processada") == F.lit(False)
-    if grupo_id is not None and "grupo_id" in sales.columns:
+    if grupo_id is not None:
+        if "grupo_id" not in sales.columns:
+            raise ValueError("the sales have no grupo_id to filter by")
         chosen = chosen & (F.col("grupo_id") == F.lit(grupo_id))
     if token is not None:
         chosen = chosen & (F.col("token_cliente") == F.lit(token))
@@ -89,7 +91,10 @@ def traceable(boxes: DataFrame) -> DataFrame:
 
 
 def _add_lineage(rows, deboning, properties, animals) -> DataFrame:
-    """Look up the ids that the lineage JSON of each row names."""
+    """Look up the ids that the lineage JSON of each row names.
+
+    A lookup may hold an id more than once; one row of each is taken.
+    """
     d = deboning.select(
         F.col("id").alias("desossa_id"), F.col("lote").alias("desossa_lote")
     )
@@ -104,6 +109,7 @@ def _add_lineage(rows, deboning, properties, animals) -> DataFrame:
     ):
         key, label = lookup.columns
         keys = lookup.withColumn("_id", F.col(key).cast("string"))
+        keys = one_per_key(keyed(keys, ["_id"]), ["_id"])
         rows = left_lookup(rows, keys, {"_id": json_id(F.col(source))}, [key, label])
     return rows
 

@@ -16,9 +16,6 @@ from boxtrail.operators.filters import in_scope
 from boxtrail.operators.lookups import left_lookup
 from boxtrail.schemas import STAGE_FLAGS
 
-# Row counts up to which a limited selection is small by construction.
-SMALL_SELECTION = 100_000
-
 
 def mark_for_processing(boxes, token, start, end, now=None) -> DataFrame:
     """Open every box of the period that still lacks a link."""
@@ -74,7 +71,7 @@ def mark_sales_processed(sales, sale_ids: DataFrame, now=None, stamp: bool = Tru
     return set_where(joined, F.col("_listed").isNotNull(), values).drop("_listed")
 
 
-def mark_sales_by_tenant(sales, token, limit: int = 1000, now=None) -> DataFrame:
+def mark_sales_by_tenant(sales, token, limit: int, now=None) -> DataFrame:
     """Close up to ``limit`` open sales of a tenant, oldest first."""
     open_sales = (F.col("token_cliente") == F.lit(token)) & (
         F.col("flag_processada") == F.lit(False)
@@ -85,8 +82,6 @@ def mark_sales_by_tenant(sales, token, limit: int = 1000, now=None) -> DataFrame
         .limit(limit)
         .select(F.col("id").alias("_chosen"))
     )
-    if limit <= SMALL_SELECTION:
-        chosen = F.broadcast(chosen)
     hit = F.col("_chosen").isNotNull()
     joined = sales.join(chosen, sales["id"] == F.col("_chosen"), "left")
     values = {"flag_processada": F.lit(True), "data_hora_processada": now_or(now)}

@@ -181,7 +181,7 @@ def run_sales(
     root: str,
     grupo_id: int | None = None,
     token: str | None = None,
-    limit: int | None = 1000,
+    limit: int | None = None,
     clock: dt.datetime | None = None,
 ) -> None:
     """Trace open sales, store the four result tables, then close the sales."""

@@ -31,7 +31,7 @@ class SaleTrace(NamedTuple):
 
 def sale_rows(
     sales, boxes, deboning, properties, animals,
-    grupo_id=None, token=None, limit: int | None = 1000, now: Column | None = None,
+    grupo_id=None, token=None, limit: int | None = None, now: Column | None = None,
 ) -> DataFrame:
     """One row per box sold in the chosen sales, with its lineage."""
     if grupo_id is None and token is None:
@@ -43,7 +43,7 @@ def sale_rows(
 
 def sale_trace(
     sales, boxes, deboning, properties, animals,
-    grupo_id=None, token=None, limit: int | None = 1000, now: Column | None = None,
+    grupo_id=None, token=None, limit: int | None = None, now: Column | None = None,
     materialise=lambda rows: rows,
 ) -> SaleTrace:
     """All result frames of one run.

@@ -164,17 +164,27 @@ def validate_rows_strict(spark, sf):
 
 
 _LEDGER = f"""
-{_ANIMAL_ERRORS}, ledger AS (
+{_ANIMAL_ERRORS}, counted AS (
   SELECT lote, count(*) AS n_rows, count(*) FILTER (WHERE erros <> '') AS n_bad,
     CASE WHEN count(*) = count(*) FILTER (WHERE erros <> '') THEN 'erro' ELSE 'sucesso' END
       AS status,
     CASE WHEN count(*) = count(*) FILTER (WHERE erros <> '')
       THEN min(CASE WHEN erros <> '' THEN erros END) END AS erro
-  FROM checked GROUP BY lote)"""
+  FROM checked GROUP BY lote),
+every AS (
+  SELECT DISTINCT o_orderstatus || substr(o_orderpriority, 1, 1) AS lote FROM orders),
+ledger AS (
+  SELECT e.lote, coalesce(n_rows, 0) AS n_rows, coalesce(n_bad, 0) AS n_bad,
+    coalesce(status, 'erro') AS status,
+    CASE WHEN c.lote IS NULL THEN 'nenhum registro' ELSE erro END AS erro
+  FROM every e LEFT JOIN counted c ON e.lote = c.lote)"""
 
 
 def _ledger_by_lot(spark, sf):
-    return ledger.ingest_route(_validated_animals(spark, sf), file=pf.LOT)
+    """A status row for every lot listed, with rows or without."""
+    path = pf.payload_dir(spark, sf, pf.animal_envelopes)
+    lots = src.pending_files(spark, path).select(_lot(src.FILE).alias(pf.LOT)).distinct()
+    return ledger.ingest_route(_validated_animals(spark, sf), lots, file=pf.LOT)
 
 
 @query("ingest_route", f"WITH {_LEDGER} SELECT * FROM ledger")

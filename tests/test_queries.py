@@ -9,10 +9,11 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from boxtrail.queries import ORACLES, QUERIES, load_all
 from oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+load_all()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))

@@ -65,7 +65,9 @@ def test_box_lists_of_every_kind(spark):
 def test_group_column_may_be_absent(spark):
     df = sales(spark, sale("a", '{"id":"b1"}')).drop("grupo_id")
     assert op.explode_sale_boxes(df).first().grupo_id is None
-    assert op.oldest_unprocessed(df, grupo_id=9).count() == 1
+    assert op.oldest_unprocessed(df, token="t0").count() == 1
+    with pytest.raises(ValueError, match="grupo_id"):
+        op.oldest_unprocessed(df, grupo_id=9)
 
 
 def test_oldest_open_sales_first(spark):
@@ -80,6 +82,12 @@ def test_oldest_open_sales_first(spark):
     assert op.oldest_unprocessed(df, token="t0", limit=None).count() == 4
 
 
+def test_lineage_takes_one_row_of_an_id(traced, lookups):
+    once = op.lineage_lookup(traced, *lookups)
+    twice = op.lineage_lookup(traced, *(d.union(d) for d in lookups))
+    assert sorted(once.collect()) == sorted(twice.collect())
+
+
 def test_lineage_needs_all_four_flags(traced, lookups):
     got = by_id(
         op.lineage_lookup(traced, *lookups), "desossa_lote", "propriedade_nome", "animal_codigo"
