@@ -97,7 +97,7 @@ def _signed(column: pa.Array) -> dict:
     low = np.array([minima(sets[k]) for k in some], dtype=np.uint64).reshape(-1, MINIMA)
     bits = low & _U((1 << BITS) - 1)
     place = _U(BITS) * np.arange(_PER_LONG, dtype=np.uint64)
-    signature = (bits.reshape(len(some), -1, _PER_LONG) << place).sum(axis=2, dtype=np.uint64)
+    signature = (bits.reshape(len(some), MINIMA // _PER_LONG, _PER_LONG) << place).sum(axis=2, dtype=np.uint64)
     keys = np.zeros((len(some), BANDS), dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
     for k in range(ROWS):
         keys = words.mix(keys + low.reshape(len(some), BANDS, ROWS)[:, :, k])
