@@ -34,16 +34,28 @@ BUCKETS = 1 << 15
 #: Bits of the filter that keeps lines without a part in any pair from being moved.
 FILTER_BITS = 1 << 24
 
-_IN_LINE = r"[ \t\x0B\f\r]+"
-_IN_TEXT = r"[ \t\n\x0B\f\r]+"
+#: Spaces within a line, but for the space itself.
+_RARE_SPACES = "\t\x0b\f\r"
+
+
+def _words(line: str) -> Column:
+    """The words of a line among empty strings; splitting at one character is fast."""
+    plain = F.translate(line, _RARE_SPACES, " " * len(_RARE_SPACES))
+    odd = F.col(line).rlike(f"[{_RARE_SPACES}]")
+    return F.split(F.when(odd, plain).otherwise(F.col(line)), " ")
+
+
+def _bucket(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 64 - BUCKETS.bit_length() + 1).cast("int")
 
 
 def rarity(texts: DataFrame) -> bytes:
     """For each hash bucket, the logarithm of its words' occurrences: 1 to 127."""
     counts = (
-        texts.select(F.explode(F.split("text", _IN_TEXT)).alias("word"))
+        texts.select(F.explode(F.split("text", "\n")).alias("line"))
+        .select(F.explode(_words("line")).alias("word"))
         .where("word <> ''")
-        .groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket"))
+        .groupBy(_bucket(F.xxhash64("word")).alias("bucket"))
         .agg(F.least(F.lit(127), 1 + F.floor(4 * F.log2(F.count("*")))).cast("int").alias("level"))
     )
     levels = bytearray(b"\x01" * BUCKETS)
@@ -55,18 +67,21 @@ def rarity(texts: DataFrame) -> bytes:
 def _keys(line: str, levels: bytes) -> Column:
     """The distinct words of a line as numbers, rarest first."""
     table = F.lit(levels)
-    words = F.array_remove(F.split(line, _IN_LINE), "")
+    words = F.array_remove(_words(line), "")
     hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
     def key(h):
-        level = F.ascii(
-            F.substring(table, F.pmod(h, F.lit(BUCKETS)).cast("int") + 1, F.lit(1)).cast("string")
-        )
+        level = F.ascii(F.substring(table, _bucket(h) + 1, F.lit(1)).cast("string"))
         return F.shiftleft(level.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
     return F.sort_array(F.transform(hashes, key))
 
 
+def _has_words(line: str) -> Column:
+    """Asked of the line itself: a filter on its keys would have Spark make them twice."""
+    return F.col(line).rlike(f"[^ {_RARE_SPACES}]")
+
+
 def _name() -> Column:
     return F.xxhash64("keys")
 
@@ -184,17 +199,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, levels: bytes, similarity: int)
     places = (
         pairs.select(F.col("x_doc").alias("doc_id"), F.col("x_spot").alias("spot"))
         .union(pairs.select("y_doc", "y_spot"))
+        .select("doc_id", F.shiftright("spot", 16).cast("int").alias("line_no"))
         .distinct()
-        .withColumn("line_no", F.shiftright("spot", 16).cast("int"))
     )
     places = stored(places, "places")
+    # Other texts with the id of a wanted one may add sets; no pair has their spots.
     sets = (
-        _filtered(_lines(docs).drop("twin"), places.select("doc_id", "line_no"))
-        .join(places, ["doc_id", "line_no"])
+        _filtered(_lines(docs).drop("twin"), places)
+        .join(places, ["doc_id", "line_no"], "left_semi")
         .withColumn("keys", _keys("line", levels))
         .withColumn("name", _name())
-        .where(F.col("spot") == _spot())
-        .select("doc_id", "spot", "keys")
+        .select("doc_id", _spot().alias("spot"), "keys")
         .dropDuplicates(["doc_id", "spot"])
     )
     sets = stored(sets, "sets")
@@ -224,9 +239,9 @@ def removed_lines(
     size = n - _ceil(similarity * n, 100) + 1
     lines = (
         _lines(docs)
+        .where(_has_words("line"))
         .withColumn("keys", _keys("line", levels))
         .withColumn("n", F.size("keys"))
-        .where("n > 0")
         .withColumn("name", _name())
         .select(
             "doc_id", "twin", "line_no", "n", "name",
