@@ -94,10 +94,12 @@ def _spot() -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `twin`, `line_no` and `line`; `twin` tells texts with one id apart."""
-    return docs.select(
-        "doc_id", F.xxhash64("text").alias("twin"),
-        F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
+    """`doc_id`, `twin`, `line_no` and `line`; `twin` tells texts with one id apart.
+
+    `twin` is made first, or else each line would carry its text and hash it.
+    """
+    return docs.select("doc_id", F.xxhash64("text").alias("twin"), "text").select(
+        "doc_id", "twin", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     )
 
 
