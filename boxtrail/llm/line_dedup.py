@@ -23,7 +23,7 @@ and their rarity, classes by 64 bits and the size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from boxtrail.llm.common import column, packed, stored, unpacked
 
@@ -142,24 +142,25 @@ def _prefix_rows(classes: DataFrame) -> DataFrame:
 def _candidates(classes: DataFrame, similarity: int) -> DataFrame:
     """Pairs that pass the filters; `first` marks those with the earliest of a word.
 
-    Rows are dealt by word once for all joins.
+    Rows are dealt by word once, and sorted rows meet the earliest one without a join.
     """
+    columns = ("doc_id", "spot", "n", "parity", "pos")
     rows = _prefix_rows(classes).repartition(F.col("word"))
-    earliest = (
-        rows.groupBy("word")
-        .agg(
-            F.min(F.struct("doc_id", "spot", "n", "parity", "pos")).alias("e"),
-            F.count("*").alias("size"),
+    so_far = Window.partitionBy("word").orderBy("doc_id", "spot").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    held = (
+        rows.select("word", *columns, *[F.first(c).over(so_far).alias(f"e_{c}") for c in columns])
+        .select(
+            "word", F.struct(*columns).alias("y"),
+            F.struct(*[F.col(f"e_{c}").alias(c) for c in columns]).alias("x"),
         )
-        .where("size > 1")
-        .select("word", "e.*")
+        .where(_before("x", "y"))
     )
-    held = rows.alias("y").join(earliest.alias("x"), "word").where(_before("x", "y"))
     passes = _passes("x", "y", similarity)
     first = held.where(passes).select(*_pair("x", "y", F.lit(True).alias("first")))
-    failed = held.where(~passes).select("word", "y.*")
     others = (
-        failed.alias("y").join(rows.alias("x"), "word")
+        held.where(~passes).select("word", "y").join(rows.alias("x"), "word")
         .where(_before("x", "y") & passes)
         .select(*_pair("x", "y", F.lit(False).alias("first")))
     )
