@@ -66,12 +66,13 @@ def rarity(texts: DataFrame) -> bytes:
 
 def _keys(line: str, levels: bytes) -> Column:
     """The distinct words of a line as numbers, rarest first."""
-    table = F.lit(levels)
+    # Made once, when the plan is optimised; one literal for each level would not be.
+    table = F.split(F.lit(" ".join(map(str, levels))), " ").cast("array<int>")
     words = F.array_remove(_words(line), "")
     hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
     def key(h):
-        level = F.ascii(F.substring(table, _bucket(h) + 1, F.lit(1)).cast("string"))
+        level = F.get(table, _bucket(h))
         return F.shiftleft(level.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
     return F.sort_array(F.transform(hashes, key))
@@ -134,9 +135,10 @@ def _pair(x: str, y: str, *more) -> list:
 
 
 def _prefix_rows(classes: DataFrame) -> DataFrame:
+    """One filter for all uses, so that Spark deals the rows once for all of them."""
     return classes.select(
         "doc_id", "spot", "n", "parity", F.posexplode("prefix").alias("pos", "word")
-    )
+    ).where("word IS NOT NULL AND n IS NOT NULL AND parity IS NOT NULL")
 
 
 def _candidates(classes: DataFrame, similarity: int) -> DataFrame:
@@ -175,17 +177,17 @@ def _bit(*columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS)) + 1
 
 
-def _filtered(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Lines that a bitmap of the wanted places does not rule out.
+def _filtered(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows that a bitmap of the wanted values, by all columns of `wanted`, lets pass.
 
     The bitmap has FILTER_BITS bits, two megabytes, and is sent to all executors.
     """
     maps = (
-        wanted.select(_bit("doc_id", "line_no").alias("p"))
+        wanted.select(_bit(*wanted.columns).alias("p"))
         .groupBy(F.bitmap_bucket_number("p").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bitmap"))
     )
-    asked = lines.withColumn("p", _bit("doc_id", "line_no"))
+    asked = rows.withColumn("p", _bit(*wanted.columns))
     position = F.bitmap_bit_position("p")
     byte = F.substring("bitmap", F.floor(position / 8).cast("int") + 1, F.lit(1))
     value = F.conv(F.hex(byte), 16, 10).cast("int")
@@ -285,8 +287,10 @@ def removed_lines(
             open_.select(F.col("y_doc").alias("doc_id"), F.col("y_spot").alias("spot")),
             ["doc_id", "spot"], "left_semi",
         )
+        asking = _prefix_rows(again)
+        earlier = _filtered(_prefix_rows(joinable), asking.select("word"))
         more = (
-            _prefix_rows(again).alias("y").join(_prefix_rows(joinable).alias("x"), "word")
+            asking.alias("y").join(earlier.alias("x"), "word")
             .where(_before("x", "y") & _passes("x", "y", similarity))
             .select(*_pair("x", "y")).distinct()
             .join(checked, ["x_doc", "x_spot", "y_doc", "y_spot"], "left_anti")
