@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from boxtrail.session import scratch_path
@@ -60,6 +62,17 @@ def unpacked(df: DataFrame, like: DataFrame, **new: Column) -> DataFrame:
     )
 
 
+def release() -> None:
+    """Give memory that this Python worker has freed back to the system.
+
+    Workers serve many stages; what the largest of them took would stay with them.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries lack it
+    if trim:
+        trim(0)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several jobs read to the shared folder, and read it back."""
     path = scratch_path(df.sparkSession, name)

@@ -25,12 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from boxtrail.llm import words
-from boxtrail.llm.common import column, stored
+from boxtrail.llm.common import column, release, stored
 from boxtrail.llm.vocabulary import default_path, token_encoder
 
 LENGTH = 2048
 END = 1
 TOKENIZER_FILE = "byte_bpe_50k.json"
+#: Bytes of text encoded at once; the arrays made of them take some thirty times that.
+PIECE = 1 << 20
 
 
 @dataclass
@@ -194,9 +196,10 @@ def _queued(file: str, end: int):
     """Encode a task's documents; number the tokens of each queue from 0."""
 
     def run(batches):
+        release()
         encoder, part, given = token_encoder(file), TaskContext.get().partitionId(), {}
         for batch in batches:
-            for piece in words.slices(batch, "text"):
+            for piece in words.slices(batch, "text", PIECE):
                 flat, at = encoder(piece["text"])
                 flat = np.insert(flat, at[1:], end)
                 at = at + np.arange(len(at))

@@ -22,7 +22,7 @@ from pyspark.sql.types import (
 )
 
 from boxtrail.llm import words
-from boxtrail.llm.common import column
+from boxtrail.llm.common import column, release
 
 WINDOW = 13
 #: Ids in a block, as a power of two.
@@ -76,12 +76,15 @@ def _sent(length: int, buckets: int):
                     blocks, hashes, held = [], [], 0
         if held:
             yield from flush(blocks, hashes)
+        blocks, hashes = [], []
+        release()
 
     return run
 
 
 def _later_blocks(sent: pa.Table) -> pa.Table:
     """For each block, the hashes of this bucket that an earlier block has too."""
+    release()
     values = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in sent["hashes"]]
     sizes = [len(x) for x in values]
     value = np.concatenate(values)
@@ -122,6 +125,7 @@ def _cut(length: int):
     """Cut the repeated windows out of the documents of one block."""
 
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        release()
         docs = docs.combine_chunks()
         texts = docs["text"].combine_chunks()
         earlier = np.unique(
