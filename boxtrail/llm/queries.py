@@ -112,11 +112,13 @@ def op2_substring_dedup(spark, sf_dir):
 @_query()
 def op3_importance_resampling(spark, sf_dir):
     """The documents sampled towards the labelled good ones, with their weights."""
-    labels = table(spark, sf_dir, "labels")
+    docs = table(spark, sf_dir, "documents")
+    labels = importance.judged(table(spark, sf_dir, "labels"))
     return importance.sample(
-        table(spark, sf_dir, "documents"),
+        docs,
         importance.target_ids(labels),
         importance.good_share(labels),
+        marks=importance.toxic_words(docs, labels),
     )
 
 

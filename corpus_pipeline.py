@@ -22,9 +22,12 @@ def _with_text(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled towards the labelled good ones; the others go."""
-    labels = table(spark, sf_dir, "labels")
+    labels = importance.judged(table(spark, sf_dir, "labels"))
     return importance.keep_sampled(
-        docs, importance.target_ids(labels), importance.good_share(labels)
+        docs,
+        importance.target_ids(labels),
+        importance.good_share(labels),
+        marks=importance.toxic_words(docs, labels),
     )
 
 

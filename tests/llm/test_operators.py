@@ -194,6 +194,38 @@ def test_op3_keeps_good_documents_out_of_sample(spark):
     assert share[1] > 0.97 and share[0] < let_in + 0.05
 
 
+INSULTS = "trash|pathetic|idiot|worthless|disgusting|stupid|clown|scum|loser|moron"
+
+
+def test_op3_leaves_toxic_documents_out(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = table(spark, sf, "documents")
+    marked = F.col("text").rlike(rf"(?i)\b({INSULTS})\b")
+    kept = QUERIES["op3_importance_resampling"](spark, sf)
+    assert docs.where(marked).count() > 500
+    assert docs.where(marked).join(kept, "doc_id", "left_semi").count() == 0
+
+    labels = importance.judged(table(spark, sf, "labels"))
+    held_out = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+    fitted = labels.join(held_out.select("doc_id"), "doc_id", "left_anti")
+    assert importance.target_ids(fitted).join(
+        labels.where("toxic = 1"), "doc_id", "left_semi").isEmpty()
+    # a text far longer and better than any other, but for one word
+    good = docs.join(importance.target_ids(fitted, 300), "doc_id", "left_semi")
+    texts = " ".join(r.text for r in good.where("lang = 'en'").collect())
+    more = spark.createDataFrame([(-1, texts), (-2, f"{texts} Moron")], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").union(more)
+    marks = importance.toxic_words(docs, fitted)
+    kept = importance.sample(
+        docs, importance.target_ids(fitted), importance.good_share(fitted), marks=marks
+    ).select("doc_id", F.lit(1).alias("in")).cache()
+    assert [r.doc_id for r in kept.where("doc_id < 0").collect()] == [-1]
+    rows = held_out.join(kept, "doc_id", "left").groupBy("quality", "toxic").agg(
+        F.avg(F.coalesce("in", F.lit(0))), F.count("*")).collect()
+    share = {(r[0], r[1]): r[2] for r in rows}
+    assert share[1, 0] > 0.97 and share[0, 1] < 0.25
+
+
 def test_kth_highest(spark):
     values = [random.Random(k).randint(-10**12, 10**12) for k in range(300)] + [5, 5, 5]
     keys = spark.createDataFrame([(v,) for v in values], "key long")
