@@ -377,7 +377,8 @@ def groups(
         .select("a", "b"),
         "candidates",
     )
-    # Full sets of all that may be compared: one text for each class.
+    # Full sets of all that may be compared: one text for each class. A class may have
+    # no id at all; rows without one are told apart by the name of their set.
     wanted = (
         likely.select(F.col("a").alias("name"))
         .union(likely.select(F.col("b").alias("name")))
@@ -387,7 +388,9 @@ def groups(
     ids = signed.select("name", "doc_id").join(
         wanted.join(classes.select("name", "doc_id"), "name"), ["name", "doc_id"], "left_semi"
     )
-    chosen = source.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = source.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").unionByName(
+        source.where("doc_id IS NULL")
+    )
     sets = stored(
         full_sets(chosen).join(wanted, "name", "left_semi").dropDuplicates(["name"]), "sets"
     )

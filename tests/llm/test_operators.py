@@ -241,6 +241,29 @@ def test_large_buckets_give_the_same_groups(spark, monkeypatch):
     assert compare(QUERIES[key](spark, SF), connect(SF), ORACLES[key]) == []
 
 
+def test_rows_without_an_id_link_others(spark):
+    ship(spark)
+
+    def words(prefix, first):
+        return " ".join(f"{prefix}{k}" for k in range(first, first + 100))
+
+    # 86 of 106 shingles in common ten words on, 76 of 116 twenty words on
+    rows = [
+        (1, words("a", 0)), (None, words("a", 10)), (2, words("a", 20)),
+        (3, words("b", 0)), (None, words("b", 3)), (None, words("c", 0)), (None, words("c", 2)),
+        (4, words("a", 40)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for small in (minhash_dedup.SMALL, 1):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(minhash_dedup, "SMALL", small)
+            got = [(r.doc_id, r.component_id, r.kept) for r in minhash_dedup.groups(docs).collect()]
+        assert sorted(got, key=str) == sorted([
+            (1, 1, True), (None, 1, False), (2, 1, False), (3, 3, True), (None, 3, False),
+            (None, None, False), (None, None, False), (4, 4, True),
+        ], key=str)
+
+
 def test_odd_rows(odd):
     lines = line_dedup.remove_lines(odd).select("n_lines", "n_removed", "kept_text")
     got = sorted((tuple(r) for r in lines.collect()), key=str)
