@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -226,6 +227,16 @@ def test_op3_leaves_toxic_documents_out(spark):
     assert share[1, 0] > 0.97 and share[0, 1] < 0.25
 
 
+@pytest.mark.parametrize("size", ["0.1", "0.01", "0.001"])
+def test_readme_states_what_the_good_share_lets_through(spark, size):
+    labels = importance.judged(table(spark, f"/root/testdata/sf{size}", "labels"))
+    rows = labels.where("quality IS NOT NULL")
+    plain = rows.agg(F.avg("quality")).first()[0]
+    let_in = (importance.good_share(labels) - plain) / (1 - plain)
+    readme = (Path(__file__).parents[2] / "README.md").read_text()
+    assert f"{100 * let_in:.1f}% at sf{size} (" in " ".join(readme.split())
+
+
 def test_kth_highest(spark):
     values = [random.Random(k).randint(-10**12, 10**12) for k in range(300)] + [5, 5, 5]
     keys = spark.createDataFrame([(v,) for v in values], "key long")
