@@ -11,9 +11,12 @@ from boxtrail.llm import (
     bpe,
     fingerprint,
     importance,
+    interpolation,
     line_dedup,
     minhash_dedup,
     pack,
+    resampling,
+    spelling,
     substring_dedup,
     token_files,
     token_trees,
@@ -229,3 +232,132 @@ FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN reach r ON d
 def op10_minhash_dedup(spark, sf_dir):
     """Near-duplicate groups of documents."""
     return minhash_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+#: CRC-32 of the UTF-8 bytes of `{text}`, with the table `t` of `_CRC_TABLE`.
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(
+    range(1, length(hex({text})), 2), lambda i: CAST('0x' || substr(hex({text}), i, 2) AS BIGINT))),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)"""
+_CRC_TABLE = """crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))) AS t)"""
+
+
+@_query(rf"""
+WITH {_CRC_TABLE},
+texts AS (
+  SELECT doc_id, text, TRUE AS raw FROM documents
+  UNION ALL SELECT item_id, text, FALSE FROM benchmark),
+split AS (
+  SELECT doc_id, raw, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+runs AS (
+  SELECT doc_id, raw, unnest(words) AS feature FROM split
+  UNION ALL
+  SELECT doc_id, raw, unnest(list_transform(range(1, len(words)),
+    lambda i: words[i] || ' ' || words[i + 1])) FROM split),
+counted AS (SELECT doc_id, raw, feature, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT feature, {_CRC.format(text="feature")} % 10000 AS bucket
+  FROM (SELECT DISTINCT feature FROM counted), crc),
+totals AS (
+  SELECT bucket, sum(n) FILTER (WHERE raw) AS s, sum(n) FILTER (WHERE NOT raw) AS t
+  FROM counted JOIN hashed USING (feature) GROUP BY bucket),
+sums AS (SELECT sum(s) AS s, sum(t) AS t FROM totals),
+gains AS (
+  SELECT bucket, floor(1000 * ln(
+    (coalesce(a.t, 0) + 1.0::DOUBLE) * (coalesce(b.s, 0) + 10000.0::DOUBLE)
+    / ((coalesce(a.s, 0) + 1.0::DOUBLE) * (coalesce(b.t, 0) + 10000.0::DOUBLE)))) AS gain
+  FROM totals a, sums b),
+weights AS (
+  SELECT doc_id, sum(n) AS n_features, floor(sum(n * gain) / sum(n)) AS weight
+  FROM counted JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE raw GROUP BY doc_id),
+scored AS (
+  SELECT s.doc_id, coalesce(len(words), 0) AS n_words,
+    CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+    CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (CAST('0x' || sha256('7:' || s.doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM split s LEFT JOIN weights w ON s.doc_id = w.doc_id WHERE raw),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank,
+    count(*) OVER () AS n
+  FROM scored WHERE n_words >= 20)
+SELECT s.doc_id, n_features, weight, score,
+  CASE WHEN rank <= 25 * n // 100 THEN CAST(rank AS BIGINT) END AS rank
+FROM scored s LEFT JOIN drawn d ON s.doc_id = d.doc_id
+""")
+def op11_target_resampling(spark, sf_dir):
+    """A quarter of the documents with twenty words, drawn towards the benchmark."""
+    found = resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query(rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  GROUP BY ALL),
+named AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS name FROM runs),
+hashed AS (SELECT run, n, {_CRC.format(text="name")} AS h FROM named, crc),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0
+      THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+      ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words),
+gaps AS (
+  SELECT word, n, left(word, p - 1) || '_' || substr(word, p + 1) AS open,
+    left(word, p - 1) || substr(word, p + 1) AS less FROM places),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM gaps a JOIN gaps b USING (open) WHERE a.word <> b.word
+  UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON g.less = w.word
+  UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON g.less = w.word),
+ranked AS (
+  SELECT word, near, n, count(*) OVER (PARTITION BY word) AS n_near,
+    row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place FROM pairs),
+formed AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near,
+    CASE WHEN r.n >= 10 * w.n THEN r.near END AS form,
+    CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND r.place = 1),
+chain AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL
+  SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON c.next = f.word)
+SELECT f.word, f.form, c.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM formed f JOIN chain c ON f.word = c.word AND c.next IS NULL
+""")
+def op12_spelling_variants(spark, sf_dir):
+    """Each frequent word with its near words, its form and its root."""
+    run = spelling.runs(table(spark, sf_dir, "documents"))
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    word = spelling.without_one(F.col("run"), F.crc32(name.cast("binary")), every=31)
+    return spelling.variants(spelling.counted(run.select(word.alias("word"))))
+
+
+@_query()
+def op13_interpolated_scores(spark, sf_dir):
+    """Log probabilities of all documents under a model of nine tenths of them.
+
+    Weights are learned on a ninth of the training documents.
+    """
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    part = F.pmod(F.crc32(name.cast("binary")), F.lit(10))
+    found = interpolation.score(
+        table(spark, sf_dir, "documents"),
+        F.when(part == 0, interpolation.SCORED)
+        .when(part == 1, interpolation.DELETED)
+        .otherwise(interpolation.COUNTED),
+    )
+    return found.select(
+        "doc_id", (F.col("part") == interpolation.SCORED).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
