@@ -33,7 +33,7 @@ from boxtrail.llm import words
 from boxtrail.llm.common import column, release, stored
 
 ORDER = 2
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 #: Rounds of expectation-maximisation.
 ROUNDS = 8
 #: Occurrences that a weight of one half is taken to rest on before any are seen.
