@@ -40,10 +40,10 @@ def parser() -> argparse.ArgumentParser:
     sales.add_argument("--limite", type=int, default=0, help="oldest sales only; 0 for all")
 
     load = commands.add_parser("ingest", help="load pending payload files")
-    load.add_argument("--tipo", choices=("animais", "abates", "simples", "raw"), required=True)
+    load.add_argument("--tipo", choices=("animais", "abates", "escalas", "simples", "raw"), required=True)
     load.add_argument("--pending", required=True)
     load.add_argument("--archive")
-    load.add_argument("--token", help="tenant, for slaughter records")
+    load.add_argument("--token", help="tenant, for slaughter records and schedules")
     load.add_argument("--strict", action="store_true")
     load.add_argument("--lines", action="store_true", help="one document per line")
 
@@ -70,10 +70,11 @@ def parser() -> argparse.ArgumentParser:
 
 
 def payload_of(args: argparse.Namespace) -> ingest.Payload:
-    if args.tipo == "abates":
+    of_tenant = {"abates": ingest.slaughter_records, "escalas": ingest.schedules}
+    if args.tipo in of_tenant:
         if not args.token:
-            raise ValueError("slaughter records need --token")
-        return ingest.slaughter_records(args.token)
+            raise ValueError("slaughter records and schedules need --token")
+        return of_tenant[args.tipo](args.token)
     kinds = {
         "animais": ingest.animals, "simples": ingest.simple_animals, "raw": ingest.raw_animals,
     }

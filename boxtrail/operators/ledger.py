@@ -68,6 +68,19 @@ def not_loaded(rows: DataFrame, ledger: DataFrame, file: str = FILE) -> DataFram
     return left_lookup(rows, done, {file: F.col(file)}, how="left_anti")
 
 
+def silent_files(listed: DataFrame, ledger: DataFrame, file: str = FILE) -> DataFrame:
+    """Ledger rows of listed files that gave no document and so are on no ledger yet."""
+    absent = left_lookup(
+        listed.select(file).distinct(), ledger.select(file).distinct(), {file: F.col(file)},
+        how="left_anti",
+    )
+    none = F.lit(0).cast("long")
+    return absent.select(
+        file, none.alias("n_rows"), none.alias("n_bad"),
+        F.lit(STATUS_ERROR).alias("status"), F.lit(NO_ROWS).alias("erro"),
+    )
+
+
 def _log_rows(
     df: DataFrame, payload: str, layer: str, values: dict, who: dict, now, path: Column | None = None
 ) -> DataFrame:
@@ -122,34 +135,75 @@ def file_log(
     )
 
 
-def run_log(
+def start_log(
+    one: DataFrame, payload: str, layer: str, *, started: Column,
+    user=None, host=None, version=None,
+) -> DataFrame:
+    """A row that says a run has begun, for each row of ``one``."""
+    return _log_rows(
+        one, payload, layer,
+        {"status": F.lit(STATUS_STARTED), "mensagem": F.lit(f"carga de {payload} iniciada")},
+        _who(user, host, version), started,
+    )
+
+
+def _duration(started: Column, finished: Column) -> Column:
+    return F.unix_millis(finished) - F.unix_millis(started)
+
+
+def end_log(
     ledger: DataFrame, payload: str, layer: str, *, started: Column, finished: Column,
     user=None, host=None, version=None,
 ) -> DataFrame:
-    """Start and finish rows of a run, with its duration and totals."""
+    """A row with the duration and totals of a run that has ended."""
     totals = ledger.agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
         F.coalesce(F.sum("n_bad"), F.lit(0)).alias("n_bad"),
     )
-    who = _who(user, host, version)
-    begin = _log_rows(
-        totals, payload, layer,
-        {"status": F.lit(STATUS_STARTED), "mensagem": F.lit(f"carga de {payload} iniciada")},
-        who, started,
-    )
-    duration = F.unix_millis(finished) - F.unix_millis(started)
-    end = _log_rows(
+    return _log_rows(
         totals, payload, layer,
         {
             "status": F.lit(STATUS_FINISHED),
             "mensagem": F.lit(f"carga de {payload} finalizada"),
-            "duracao_ms": duration,
+            "duracao_ms": _duration(started, finished),
             "registros_processados": F.col("n_rows") - F.col("n_bad"),
             "registros_invalidos": F.col("n_bad"),
         },
-        who, finished,
+        _who(user, host, version), finished,
+    )
+
+
+def failure_log(
+    one: DataFrame, payload: str, layer: str, error: BaseException, *,
+    started: Column, finished: Column, user=None, host=None, version=None,
+) -> DataFrame:
+    """A row that says a run has stopped and why, for each row of ``one``."""
+    details = F.struct(
+        F.lit(type(error).__name__).alias("exception_type"),
+        F.lit(str(error)).alias("exception_message"),
+    )
+    return _log_rows(
+        one, payload, layer,
+        {
+            "status": F.lit(STATUS_ERROR),
+            "mensagem": F.lit(f"carga de {payload} interrompida"),
+            "detalhes": F.to_json(details),
+            "duracao_ms": _duration(started, finished),
+        },
+        _who(user, host, version), finished,
+    )
+
+
+def run_log(
+    ledger: DataFrame, payload: str, layer: str, *, started: Column, finished: Column,
+    user=None, host=None, version=None,
+) -> DataFrame:
+    """Start and finish rows of a run, with its duration and totals."""
+    names = {"user": user, "host": host, "version": version}
+    one = ledger.agg(F.count(F.lit(1)).alias("_files"))
+    return start_log(one, payload, layer, started=started, **names).unionByName(
+        end_log(ledger, payload, layer, started=started, finished=finished, **names)
     )
-    return begin.unionByName(end)
 
 
 def run_log_append(rows: DataFrame, path: str) -> None:

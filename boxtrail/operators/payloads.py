@@ -96,36 +96,110 @@ def _blank_to_null(field: T.StructField) -> Column:
     return column.alias(field.name)
 
 
-def schedule_header(payload: DataFrame) -> DataFrame:
+def _schedule_header() -> Column:
     """Scalars, with empty text as NULL, plus permits and invoices as JSON
     text. The compressed invoice document is left out."""
     scalars = [f for f in SCHEDULE if not isinstance(f.dataType, T.ArrayType)]
     invoices = F.transform("nfs", lambda n: n.dropFields("xml"))
-    return payload.select(
+    return F.struct(
         *[_blank_to_null(f) for f in scalars],
         F.to_json("gtas").alias("json_gtas"),
         F.to_json(invoices).alias("json_nfs"),
     )
 
 
-def _children(payload: DataFrame, array: str) -> DataFrame:
-    return payload.select(*SCHEDULE_KEYS, F.explode_outer(array).alias("_c"))
+def _fields(array: str) -> list[str]:
+    return SCHEDULE[array].dataType.elementType.fieldNames()
 
 
-def flatten_schedule(payload: DataFrame) -> Schedule:
-    """Header and child tables, keyed by slaughter day, unit and lot. A
-    schedule without children keeps one child row of NULLs."""
-    invoices = _children(payload, "nfs")
-    invoice = [
-        f.name for f in SCHEDULE["nfs"].dataType.elementType if f.name not in ("xml", "itens")
-    ]
-    items = invoices.select(
-        *SCHEDULE_KEYS, F.col("_c.numero").alias("numero"), F.explode_outer("_c.itens").alias("_i")
+def _at_least_one(array: Column) -> Column:
+    """The array, or one NULL where it is empty or absent."""
+    return F.when(F.size(array) > 0, array).otherwise(F.array(F.lit(None)))
+
+
+def _schedule_parts() -> dict[str, Column]:
+    """Rows of each part of a schedule, as arrays of structs."""
+    def children(array: Column, build) -> Column:
+        return F.transform(_at_least_one(array), build)
+
+    def invoice_items(invoice: Column) -> Column:
+        return children(invoice["itens"], lambda i: F.struct(
+            invoice["numero"].alias("numero"),
+            *[i[f.name].alias(f.name) for f in _ITEM],
+        ))
+
+    invoice = [c for c in _fields("nfs") if c not in ("xml", "itens")]
+    return {
+        "escala": F.array(_schedule_header()),
+        "caminhao": children(F.col("caminhoes"), lambda c: F.struct(c["placa_veiculo"].alias("placa_veiculo"))),
+        "gta": children(F.col("gtas"), lambda g: F.struct(g["nr_gta"].alias("nr_gta"))),
+        "nf": children(F.col("nfs"), lambda n: F.struct(*[n[c].alias(c) for c in invoice])),
+        "item": F.flatten(children(F.col("nfs"), invoice_items)),
+    }
+
+
+_ITEM = SCHEDULE["nfs"].dataType.elementType["itens"].dataType.elementType
+SCHEDULE_PARTS = ("escala", "caminhao", "gta", "nf", "item")
+SCHEDULE_PART = "parte"
+
+
+def schedule_rows(payload: DataFrame) -> DataFrame:
+    """All parts of the schedules as tagged rows, in one pass over the payload.
+
+    ``parte`` names the part and one column per part holds its fields; the others are
+    NULL. Rows are keyed by slaughter day, unit and lot. A schedule, or invoice,
+    without children keeps one child row of NULLs.
+    """
+    parts = payload.select(
+        *SCHEDULE_KEYS, F.struct(*[c.alias(n) for n, c in _schedule_parts().items()]).alias("_s")
     )
-    return Schedule(
-        header=schedule_header(payload),
-        trucks=_children(payload, "caminhoes").select(*SCHEDULE_KEYS, "_c.placa_veiculo"),
-        permits=_children(payload, "gtas").select(*SCHEDULE_KEYS, "_c.nr_gta"),
-        invoices=invoices.select(*SCHEDULE_KEYS, *[f"_c.{c}" for c in invoice]),
-        items=items.select(*SCHEDULE_KEYS, "numero", "_i.*"),
+    kinds = parts.schema["_s"].dataType
+
+    def tagged(name: str):
+        def row(value: Column) -> Column:
+            return F.struct(
+                F.lit(name).alias(SCHEDULE_PART),
+                *[
+                    (value if n == name else F.lit(None)).cast(kinds[n].dataType.elementType).alias(n)
+                    for n in SCHEDULE_PARTS
+                ],
+            )
+        return row
+
+    rows = F.concat(*[F.transform(F.col(f"_s.{n}"), tagged(n)) for n in SCHEDULE_PARTS])
+    return parts.select(*SCHEDULE_KEYS, F.inline(rows))
+
+
+def schedule_part(rows: DataFrame, part: str, *keep: str) -> DataFrame:
+    """One part of tagged rows with its own columns."""
+    own = rows.filter(F.col(SCHEDULE_PART) == F.lit(part))
+    fields = rows.schema[part].dataType.fieldNames()
+    keys = [k for k in SCHEDULE_KEYS if k not in fields]
+    return own.select(*keys, *[F.col(part)[c].alias(c) for c in fields], *keep)
+
+
+def flatten_schedule(payload: DataFrame) -> Schedule:
+    """Header and child tables. They read the same tagged rows; a job stores those."""
+    rows = payload if SCHEDULE_PART in payload.columns else schedule_rows(payload)
+    return Schedule(*[schedule_part(rows, part) for part in SCHEDULE_PARTS])
+
+
+def schedule_origin(rows: DataFrame, *keep: str) -> DataFrame:
+    """Schedule headers as tracing links them: an id made of the keys comes first."""
+    header = schedule_part(rows, "escala", *keep)
+    ident = F.concat_ws("-", *SCHEDULE_KEYS).alias("id")
+    return header.select(ident, *header.columns)
+
+
+def slaughtered_animals(records: DataFrame) -> DataFrame:
+    """Slaughter records as the animals that tracing links by slaughter day and unit.
+
+    The animal's number, chip or bar code, whichever is there first, is its code; the
+    id adds the slaughter, as numbers may return.
+    """
+    code = F.coalesce("nr_identificacao", "nr_chip", "codigo_barra_etiqueta")
+    ident = F.concat_ws("-", "dt_abate", "nr_unidade_abate", "nr_lote_abate", "nr_sequencial", code)
+    return records.select(
+        ident.alias("id"), "token_cliente", code.alias("codigo"), "dt_abate", "nr_unidade_abate",
+        "sexo", "dt_nascimento", "peso_carcaca", "prod_cpf_cnpj",
     )

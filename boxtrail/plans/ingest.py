@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from boxtrail.operators.ledger import ingest_route, ingest_stats, not_loaded
 from boxtrail.operators.payloads import (
+    SCHEDULE_KEYS,
+    SCHEDULE_PART,
     animal_projection,
     animal_rules,
     audit_stamp,
@@ -16,6 +18,7 @@ from boxtrail.operators.payloads import (
     default_json,
     field_mapping,
     processed_stamp,
+    schedule_rows,
 )
 from boxtrail.operators.validate import (
     ERRORS,
@@ -28,14 +31,15 @@ from boxtrail.schemas import (
     ANIMAL_RAW,
     RAW_ANIMAL,
     RAW_ANIMAL_REQUIRED,
+    SCHEDULE,
     SIMPLE_ANIMAL,
     SIMPLE_ANIMAL_REQUIRED,
     SLAUGHTER,
 )
 from boxtrail.sources.json_files import (
     FILE,
-    empty_files,
     envelope,
+    every_file,
     open_envelope,
     pending_files,
     scan_json,
@@ -51,6 +55,8 @@ class Payload(NamedTuple):
     rows: Callable[[DataFrame], DataFrame]  # documents, as scanned, to rows
     rules: Callable[[], dict[str, Column]]  # what makes a row invalid
     typed: Callable[[DataFrame], DataFrame]  # valid rows to table rows
+    tenant: str | None = None  # whose rows these are, where files do not say
+    split_by: tuple[str, ...] = ()  # columns that become folders of the table
 
     def check(self, docs: DataFrame) -> DataFrame:
         return validate_rows(self.rows(docs), self.rules())
@@ -73,6 +79,18 @@ def slaughter_records(token: str, now: Column | None = None) -> Payload:
     return Payload(
         "abates", "bt_abates", SLAUGHTER, _as_is, corrupt_rule,
         lambda df: field_mapping(default_json(audit_stamp(df, token, now))),
+        tenant=token,
+    )
+
+
+def schedules(token: str, now: Column | None = None) -> Payload:
+    """Slaughter schedules of one tenant: headers, trucks, permits, invoices and items
+    as tagged rows of one table, from one parse."""
+    return Payload(
+        "escalas", "escalas", SCHEDULE, _as_is,
+        lambda: {**corrupt_rule(), **required_rules(SCHEDULE_KEYS)},
+        lambda df: audit_stamp(schedule_rows(df), token, now),
+        tenant=token, split_by=(SCHEDULE_PART,),
     )
 
 
@@ -122,9 +140,7 @@ def ingest(
     the checked rows as a table, so that the four results share one parse.
     """
     docs = scan_json(spark, path, payload.schema, multi_line=multi_line, diagnostics=True)
-    files = pending_files(spark, path).select(FILE)
-    if note_empty:
-        files = files.union(empty_files(spark, path))
+    files = (every_file if note_empty else pending_files)(spark, path).select(FILE)
     if loaded is not None:
         docs, files = not_loaded(docs, loaded), not_loaded(files, loaded)
     staged = materialise(payload.check(docs))

@@ -10,16 +10,28 @@ marked done only after its results are stored.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import hashlib
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from boxtrail.operators.filters import require_period
-from boxtrail.operators.ledger import file_log, run_log, run_log_append
+from boxtrail.operators.ledger import (
+    end_log,
+    failure_log,
+    file_log,
+    run_log_append,
+    silent_files,
+    start_log,
+)
+from boxtrail.operators.link import ORIGIN_KEYS
 from boxtrail.operators.lookups import left_lookup
 from boxtrail.operators.merge import new_rows
+from boxtrail.operators.payloads import schedule_origin, slaughtered_animals
 from boxtrail.operators.sales import traced_sales
 from boxtrail.operators.transitions import mark_sales_processed
 from boxtrail.plans import trace
@@ -28,8 +40,16 @@ from boxtrail.plans.sale_trace import sale_trace
 from boxtrail.schemas import BOX, PROC_BOX
 from boxtrail.session import materialise
 from boxtrail.sources import jdbc
-from boxtrail.sources.lake import lake_path, lake_read, write_partitioned
-from boxtrail.streaming.ingest_stream import BATCH, read_pending, start_ingest_stream
+from boxtrail.sources.json_files import FILE, every_file
+from boxtrail.sources.lake import lake_path, lake_read, table_exists, write_partitioned
+from boxtrail.sources.listing import qualified
+from boxtrail.streaming.ingest_stream import (
+    BATCH,
+    RUN,
+    read_ledger,
+    read_pending,
+    start_ingest_stream,
+)
 
 MONTH = "ano_mes"
 STATE_PARTITIONS = ("token_cliente", MONTH)
@@ -92,6 +112,36 @@ def _of_tenant(lookup: DataFrame, token: str) -> DataFrame:
     return lookup.filter(F.col("token_cliente") == F.lit(token))
 
 
+def _origins(
+    spark: SparkSession, root: str, table: str, loaded: str, derive: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """A lookup of slaughter keys: the stored table, where it has the keys, and what
+    ingest has loaded elsewhere."""
+    found = []
+    if table_exists(spark, lake_path(root, table)):
+        rows = read_state(spark, root, table)
+        if set(ORIGIN_KEYS) <= set(rows.columns):
+            found.append(rows)
+    if table_exists(spark, lake_path(root, loaded)):
+        found.append(derive(read_state(spark, root, loaded)))
+    if not found:
+        raise FileNotFoundError(lake_path(root, table))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+
+
+def read_schedule(spark: SparkSession, root: str) -> DataFrame:
+    """Schedules, imported ones and those loaded from payload files."""
+    def headers(rows: DataFrame) -> DataFrame:
+        return schedule_origin(rows, "token_cliente")
+
+    return _origins(spark, root, "bt_escala", "escalas", headers)
+
+
+def read_animals(spark: SparkSession, root: str) -> DataFrame:
+    """Animals, imported ones and those of loaded slaughter records."""
+    return _origins(spark, root, "bt_animais", "bt_abates", slaughtered_animals)
+
+
 def _period(df: DataFrame, start, end) -> DataFrame:
     """Whole months that cover a period, so that other partitions are not read."""
     if start is None:
@@ -139,8 +189,12 @@ def run_trace(
     boxes = with_columns_of(read_state(spark, root, "bt_caixas"), BOX)
     boxes = _period(boxes.filter(F.col("token_cliente") == F.lit(token)), start, end)
     lookups = [
-        _of_tenant(read_state(spark, root, table), token)
-        for table in ("bt_desossa", "bt_escala", "bt_animais")
+        _of_tenant(rows, token)
+        for rows in (
+            read_state(spark, root, "bt_desossa"),
+            read_schedule(spark, root),
+            read_animals(spark, root),
+        )
     ]
     traced = materialise(
         trace.trace_stage(
@@ -194,7 +248,7 @@ def run_sales(
         sales, boxes,
         read_state(spark, root, "bt_desossa"),
         read_state(spark, root, "bt_propriedades"),
-        read_state(spark, root, "bt_animais"),
+        read_animals(spark, root),
         grupo_id, token, limit, now,
         materialise=lambda rows: materialise(rows, "proc_venda"),
     )
@@ -214,10 +268,44 @@ def run_sales(
     replace_partitions(closed, lake_path(root, "bt_registro_venda"))
 
 
-def _last_batch(spark: SparkSession, root: str, ledger: str) -> int:
-    """The last batch in a ledger; a look at its folder names only."""
-    batches = read_or_empty(spark, root, ledger, T.StructType([T.StructField(BATCH, T.LongType())]))
-    return batches.agg(F.coalesce(F.max(BATCH), F.lit(-1))).first()[0]
+class Stream(NamedTuple):
+    """Where one stream of files keeps its state: one tenant, payload and folder."""
+
+    prefix: str
+    checkpoint: str
+    ledger: str
+
+
+def stream_of(spark: SparkSession, root: str, payload: Payload, pending: str) -> Stream:
+    source = f"{payload.tenant or ''}|{qualified(spark, pending)}"
+    name = hashlib.sha256(source.encode()).hexdigest()[:12]
+    return Stream(
+        f"{name}-",
+        lake_path(root, f"checkpoint/{payload.name}/{name}"),
+        lake_path(root, f"arquivos/{payload.name}"),
+    )
+
+
+def _listed(spark: SparkSession, stream: Stream, pending: str) -> DataFrame:
+    """The files there before a run, kept until a run has accounted for them all.
+
+    A run that fails leaves its list to the next, as its files may be archived by then.
+    """
+    path = f"{stream.checkpoint}/listagem"
+    files = every_file(spark, pending).select(FILE)
+    if table_exists(spark, path):
+        files = files.union(spark.read.schema(f"{FILE} string").parquet(path)).distinct()
+    files = materialise(files, "listagem")
+    files.write.mode("overwrite").parquet(path)
+    return files
+
+
+def _note_silent(spark: SparkSession, stream: Stream, listed: DataFrame, run: str) -> None:
+    """Put listed files without any document on the ledger, then drop the list."""
+    book = read_ledger(spark, stream.ledger, stream.prefix)
+    silent = silent_files(listed, book).withColumn(RUN, F.lit(run))
+    silent.write.mode("overwrite").parquet(f"{stream.ledger}/{BATCH}={stream.prefix}vazios-{run}")
+    listed.limit(0).write.mode("overwrite").parquet(f"{stream.checkpoint}/listagem")
 
 
 def run_ingest(
@@ -234,29 +322,43 @@ def run_ingest(
     host: str | None = None,
     version: str | None = None,
 ) -> None:
-    """Load what is pending, exactly once per file, and log each file."""
-    started = dt.datetime.now(dt.timezone.utc)
-    ledger = f"arquivos/{payload.name}"
-    docs = read_pending(spark, pending, payload, multi_line=multi_line, archive=archive)
-    before = _last_batch(spark, root, ledger)
-    start_ingest_stream(
-        docs, payload,
-        table=lake_path(root, payload.table),
-        quarantine=lake_path(root, f"quarentena/{payload.name}"),
-        ledger=lake_path(root, ledger),
-        checkpoint=lake_path(root, f"checkpoint/{payload.name}"),
-        strict=strict,
-    ).awaitTermination()
-    if _last_batch(spark, root, ledger) == before:
-        return
-    loaded = lake_read(spark, root, ledger).filter(F.col(BATCH) > F.lit(before))
-    finished = dt.datetime.now(dt.timezone.utc)
+    """Load what is pending, exactly once per file, and log each file.
+
+    The log has a row before anything is read. A run that fails leaves one with the
+    error, and rows of the files it has loaded, and can be repeated.
+    """
+    log = lake_path(root, "log_processamento")
+    stream = stream_of(spark, root, payload, pending)
+    run = uuid.uuid4().hex[:12]
+    about = (payload.name, layer)
     who = {"user": user, "host": host, "version": version}
-    begin, end = (F.lit(t).cast("timestamp") for t in (started, finished))
-    rows = run_log(loaded, payload.name, layer, started=begin, finished=end, **who).unionByName(
-        file_log(loaded, payload.name, layer, now=end, **who)
-    )
-    run_log_append(rows, lake_path(root, "log_processamento"))
+    one = spark.range(1)
+    begin = _clock(None)
+    run_log_append(start_log(one, *about, started=begin, **who), log)
+
+    def seen() -> DataFrame:
+        return read_ledger(spark, stream.ledger, stream.prefix).filter(F.col(RUN) == F.lit(run))
+
+    try:
+        listed = _listed(spark, stream, pending)
+        docs = read_pending(spark, pending, payload, multi_line=multi_line, archive=archive)
+        start_ingest_stream(
+            docs, payload,
+            table=lake_path(root, payload.table),
+            quarantine=lake_path(root, f"quarentena/{payload.name}"),
+            ledger=stream.ledger,
+            checkpoint=stream.checkpoint,
+            strict=strict, prefix=stream.prefix, run=run,
+        ).awaitTermination()
+        _note_silent(spark, stream, listed, run)
+    except BaseException as error:
+        end = _clock(None)
+        failed = failure_log(one, *about, error, started=begin, finished=end, **who)
+        run_log_append(failed.unionByName(file_log(seen(), *about, now=end, **who)), log)
+        raise
+    end = _clock(None)
+    rows = end_log(seen(), *about, started=begin, finished=end, **who)
+    run_log_append(rows.unionByName(file_log(seen(), *about, now=end, **who)), log)
 
 
 _DAYS = {"bt_caixas": "dt_producao", "proc_caixas": "dt_producao", "bt_registro_venda": "created_at"}

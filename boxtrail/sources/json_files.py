@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from boxtrail.sources.listing import FILE, listed_files
+
 JSON_GLOB = "*.[jJ][sS][oO][nN]"
 CORRUPT = "_corrupt_record"
-FILE = "arquivo"
 _PATH = "_metadata.file_path"
 
 
@@ -36,9 +35,9 @@ def scan_json(
     """Read JSON documents; absent fields are NULL and nested objects in text
     fields keep their JSON text.
 
-    ``multi_line`` is for pretty-printed files and arrays, one task per file.
-    Files with one document per line read faster without it, as Spark can
-    split them. ``diagnostics`` adds the file's path and, where a document
+    ``multi_line`` is for pretty-printed files and arrays. Such a file is read by
+    one task, and Spark packs many small ones into a task. Files with one document
+    per line read faster without it, as Spark can split them. ``diagnostics`` adds the file's path and, where a document
     does not fit the schema, its text.
     """
     if not diagnostics:
@@ -101,14 +100,6 @@ def pending_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return list_files(spark, path, JSON_GLOB)
 
 
-def empty_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """JSON files without a single byte, which no scan of Spark's returns.
-
-    They are the names in the file index that a listing does not give. The
-    index is held by the driver in any case, and only names are taken from it.
-    """
-    index = spark.read.format("binaryFile").option("pathGlobFilter", JSON_GLOB).load(path)
-    # the index writes local paths with three slashes, the scan with one
-    names = [(re.sub("^file:///", "file:/", name),) for name in index.inputFiles()]
-    known = spark.createDataFrame(names, f"{FILE} string")
-    return known.join(pending_files(spark, path), FILE, "left_anti")
+def every_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Pending JSON files, those without a single byte too, which no scan returns."""
+    return listed_files(spark, path, JSON_GLOB)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from boxtrail.schemas import LAKE_FORMATS, LAKE_PARTITIONS
 from boxtrail.sources.json_files import FILE, list_files
+from boxtrail.sources.listing import partition_folders
 
 _DEFAULTS = {"csv": {"header": True}, "parquet": {}, "json": {}}
 
@@ -49,6 +50,17 @@ def lake_read(
     return df.select(*columns) if columns else df
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything under a path."""
+    try:
+        spark.read.schema("x int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def lake_write(
     df: DataFrame, root: str, relative: str, fmt: str = "csv", mode: str = "overwrite", **options
 ) -> str:
@@ -86,10 +98,10 @@ def by_day(df: DataFrame, day: str) -> DataFrame:
 
 
 def list_partitions(
-    spark: SparkSession, path: str, partitions: Sequence[str] = LAKE_PARTITIONS,
-    fmt: str = "parquet",
+    spark: SparkSession, path: str, partitions: Sequence[str] = LAKE_PARTITIONS, kind: str = "int"
 ) -> DataFrame:
-    return spark.read.format(_format(fmt)).load(path).select(*partitions).distinct()
+    """The partitions of a table by folder name; its files are not looked at."""
+    return partition_folders(spark, path, dict.fromkeys(partitions, kind))
 
 
 def file_inventory(

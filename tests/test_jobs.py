@@ -177,7 +177,8 @@ def test_ingest_and_reports(spark, lake, tmp_path, capsys):
     assert rows(log.filter("status = 'sucesso'"), "nome_arquivo", "registros_invalidos") == [
         ("a.json", 1), ("b.json", 0)
     ]
-    assert log.count() == 6
+    # start and end of three runs, the last with nothing to load, and two files
+    assert log.count() == 8
     animals = spark.read.parquet(str(tmp_path / "new" / "bt_animais"))
     assert sorted(r.id for r in animals.collect()) == ["1", "2"]
     capsys.readouterr()
@@ -226,3 +227,130 @@ def test_import_and_export(spark, lake, tmp_path, monkeypatch):
     ids, columns, table, mode, more = told["write"]
     assert (ids, table, mode, more) == (["n1"], "bt_caixas", "append", {"connections": 4})
     assert sorted(columns) == sorted(BOX.fieldNames())
+
+
+# --- ingest: files without rows, failed runs, streams apart ---------------------
+
+
+def put_json(folder, name, content):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(content if isinstance(content, str) else json.dumps(content))
+
+
+def log_of(spark, root):
+    return spark.read.parquet(f"{root}/log_processamento")
+
+
+@pytest.mark.parametrize("archived", [False, True])
+def test_files_without_rows_are_logged_once(spark, tmp_path, archived):
+    pending, root = tmp_path / "pending", str(tmp_path / "new")
+    put_json(pending, "good.json", {"animais": [{"id": "1"}]})
+    put_json(pending, "list.json", "[]")
+    put_json(pending, "none.json", {"animais": []})
+    put_json(pending, "other.json", {"outros": [1]})
+    put_json(pending, "zero.json", "")
+    put_json(pending, "bad.json", '{"animais": [')
+    args = ["ingest", "--tipo", "animais", "--pending", str(pending)]
+    if archived:
+        args += ["--archive", str(tmp_path / "done")]
+    for _ in range(2):
+        run(spark, root, *args)
+    files = rows(log_of(spark, root).filter("nome_arquivo IS NOT NULL"), "nome_arquivo", "status")
+    assert files == [
+        ("bad.json", "erro"), ("good.json", "sucesso"), ("list.json", "erro"),
+        ("none.json", "erro"), ("other.json", "erro"), ("zero.json", "erro"),
+    ]
+    book = spark.read.parquet(f"{root}/arquivos/animais")
+    assert (book.count(), book.filter("erro = 'nenhum registro'").count()) == (6, 4)
+    put_json(pending, "late.json", "")
+    run(spark, root, *args)
+    assert spark.read.parquet(f"{root}/arquivos/animais").count() == 7
+
+
+def test_a_failed_run_is_logged_and_its_list_kept(spark, tmp_path, monkeypatch):
+    pending, root = tmp_path / "pending", str(tmp_path / "new")
+    put_json(pending, "good.json", {"animais": [{"id": "1"}]})
+    put_json(pending, "zero.json", "")
+    args = ["ingest", "--tipo", "animais", "--pending", str(pending)]
+    whole = jobs._note_silent
+
+    def broken(*_):
+        raise OSError("disco cheio")
+
+    monkeypatch.setattr(jobs, "_note_silent", broken)
+    with pytest.raises(OSError):
+        run(spark, root, *args)
+    log = {(r.status, r.nome_arquivo): r for r in log_of(spark, root).collect()}
+    assert set(log) == {("iniciado", None), ("erro", None), ("sucesso", "good.json")}
+    details = json.loads(log["erro", None].detalhes)
+    assert details == {"exception_type": "OSError", "exception_message": "disco cheio"}
+    assert log["erro", None].duracao_ms >= 0
+    # the file may be gone when the next run lists the folder
+    monkeypatch.setattr(jobs, "_note_silent", whole)
+    (pending / "zero.json").unlink()
+    run(spark, root, *args)
+    files = rows(log_of(spark, root).filter("nome_arquivo IS NOT NULL"), "nome_arquivo", "status")
+    assert files == [("good.json", "sucesso"), ("zero.json", "erro")]
+    assert spark.read.parquet(f"{root}/bt_animais").count() == 1
+
+
+def test_a_stream_that_fails_logs_its_error(spark, tmp_path, monkeypatch):
+    pending, root = tmp_path / "pending", str(tmp_path / "new")
+    put_json(pending, "a.json", [{"nr_unidade_abate": "U1"}])
+    payload = jobs.Payload(
+        "abates", "bt_abates", *cli.ingest.slaughter_records("t1")[2:5],
+        lambda df: df.select(F.raise_error(F.lit("linha ruim")).alias("x")), tenant="t1",
+    )
+    with pytest.raises(Exception, match="linha ruim"):
+        jobs.run_ingest(spark, root, payload, str(pending))
+    got = rows(log_of(spark, root), "status")
+    assert got == [("erro",), ("iniciado",)]
+    # a failed run of one tenant does not hold up another's
+    run(spark, root, "ingest", "--tipo", "abates", "--token", "t2", "--pending", str(pending))
+    assert rows(spark.read.parquet(f"{root}/bt_abates"), "token_cliente") == [("t2",)]
+
+
+def test_a_lost_checkpoint_replaces_nothing(spark, tmp_path):
+    pending, root = tmp_path / "pending", tmp_path / "new"
+    put_json(pending, "a.json", {"animais": [{"id": "1"}]})
+    args = ["ingest", "--tipo", "animais", "--pending", str(pending)]
+    run(spark, str(root), *args)
+    (root / "checkpoint").rename(tmp_path / "lost")
+    put_json(pending, "b.json", {"animais": [{"id": "2"}]})
+    run(spark, str(root), *args)
+    assert rows(spark.read.parquet(f"{root}/bt_animais"), "id") == [("1",), ("2",)]
+    book = spark.read.parquet(f"{root}/arquivos/animais")
+    assert book.count() == 2 and len(list((root / "bt_animais").glob("lote_carga=*"))) == 2
+
+
+def test_from_files_to_traced_boxes(spark, tmp_path):
+    """Schedules and slaughter records loaded from files are what boxes link to."""
+    root = str(tmp_path / "new")
+    put_json(tmp_path / "escalas", "e.json", [{
+        "dt_abate": str(DAY), "nr_unidade_abate": "A1", "nr_lote_abate": 4, "prod_cpf_cnpj": "11",
+        "caminhoes": [{"placa_veiculo": "P1"}, {"placa_veiculo": "P2"}],
+        "nfs": [{"numero": "N1", "itens": [{"qtde": 2}]}],
+    }])
+    put_json(tmp_path / "abates", "a.json", [{
+        "dt_abate": str(DAY), "nr_unidade_abate": "A1", "lote_abate": 4, "nr_identificacao": "X9",
+    }])
+    for kind in ("escalas", "abates"):
+        run(spark, root, "ingest", "--tipo", kind, "--token", "007", "--pending", str(tmp_path / kind))
+    stored = jobs.read_state(spark, root, "escalas")
+    assert rows(stored.groupBy("parte").count()) == [
+        ("caminhao", 2), ("escala", 1), ("gta", 1), ("item", 1), ("nf", 1)
+    ]
+    jobs.write_boxes(boxes(
+        spark, {"id": "b1", "token_cliente": "007"},
+        {"id": "b2", "token_cliente": "007", "nr_op_desossa": "OP3"},
+    ), root)
+    deboning(spark, ("d1", "007", "U1", "OP1", "L1", DAY, "A1")).write.parquet(
+        lake_path(root, "bt_desossa")
+    )
+    run(spark, root, "trace", "--token", "007")
+    assert state(spark, root) == {
+        "b1": (True, True, True, True, True), "b2": (False, False, None, None, None)
+    }
+    box = jobs.read_state(spark, root, "bt_caixas").filter("id = 'b1'").first()
+    assert json.loads(box.json_propriedades)["prod_cpf_cnpj"] == "11"
+    assert json.loads(box.json_animais)["codigo"] == "X9"
