@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from boxtrail.functions.rewrite import now_or
 from boxtrail.operators.lookups import one_per_key
@@ -100,15 +100,41 @@ def union_groups(first: DataFrame, *rest: DataFrame) -> DataFrame:
     return first
 
 
-def slice_except(df: DataFrame, start: int, end: int, order: Sequence[str]) -> DataFrame:
+def numbered_rows(
+    df: DataFrame, order: Sequence[str],
+    materialise: Callable[[DataFrame], DataFrame], number: str = "_nr",
+) -> DataFrame:
+    """Rows numbered from 1 in a total order: the given columns, then all others.
+
+    Rows are dealt in ranges, each sorted by its task, and stored by ``materialise``.
+    The sizes of the ranges, one row each, give the number a range starts with.
+    """
+    every = [*order, *[c for c in df.columns if c not in order]]
+    place = F.monotonically_increasing_id()  # the range, then the row in it
+    dealt = df.repartitionByRange(*every).sortWithinPartitions(*every)
+    stored = materialise(
+        dealt.withColumns({"_range": F.shiftright(place, 33), "_at": place.bitwiseAND((1 << 33) - 1)})
+    )
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    first = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    numbered = stored.join(F.broadcast(first), "_range")
+    return numbered.select(*df.columns, (F.col("_first") + F.col("_at") + 1).alias(number))
+
+
+def slice_except(
+    df: DataFrame, start: int, end: int, order: Sequence[str],
+    materialise: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
     """Rows after ``start`` up to ``end`` in the given order, as a set difference.
 
-    Duplicate rows collapse, and rows equal to an earlier one drop out. Meant
-    for the head of a table; to work through a whole table use ``hash_chunk``.
+    Duplicate rows collapse, and rows equal to an earlier one drop out. Equal rows stand
+    next to each other in a total order, so only the slice and the row before it are
+    compared; a slice deep in a table costs no more than one at its head.
     """
-    ties = [c for c in df.columns if c not in order]
-    ranked = df.orderBy(*order, *ties)
-    return ranked.limit(end).subtract(ranked.limit(start))
+    near = numbered_rows(df, order, materialise).filter(F.col("_nr").between(start, end))
+    first = near.groupBy(*df.columns).agg(F.min("_nr").alias("_nr"))
+    return first.filter(F.col("_nr") > F.lit(start)).drop("_nr")
 
 
 def hash_chunk(df: DataFrame, n: int, i: int, by: str = "id") -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from boxtrail.functions.flags import all_true
 from boxtrail.operators.filters import in_scope
@@ -80,9 +81,9 @@ def top_n(df: DataFrame, by: str, n: int) -> DataFrame:
     return df.orderBy(F.col(by).desc_nulls_last(), *ties).limit(n)
 
 
-def table_profile(tables: Mapping[str, DataFrame], distinct: bool = False) -> DataFrame:
-    """Per table and column: type, rows, NULLs and, if asked, about how many
-    different values. Each table is read once, whatever its width."""
+def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Per table and column: type, rows and NULLs. Each table is read once, whatever
+    its width; `distinct_counts` adds the different values."""
     parts = []
     for name, df in tables.items():
         entries = []
@@ -93,8 +94,6 @@ def table_profile(tables: Mapping[str, DataFrame], distinct: bool = False) -> Da
                 F.lit(field.dataType.simpleString()).alias("tipo"),
                 F.count_if(column.isNull()).alias("n_nulos"),
             ]
-            if distinct:
-                values.append(F.approx_count_distinct(column).alias("n_distintos_aprox"))
             entries.append(F.struct(*values))
         one = df.agg(F.count(F.lit(1)).alias("n_linhas"), F.array(*entries).alias("colunas"))
         parts.append(
@@ -120,9 +119,48 @@ def table_ranking(tables: Mapping[str, DataFrame], top: int = 5) -> DataFrame:
     return top_n(out, "n_linhas", top)
 
 
-def table_sample(df: DataFrame, n: int = 5) -> DataFrame:
-    """A few rows to look at."""
-    return df.limit(n)
+def table_sample(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
+    """The n rows with the smallest hashes of their keys: any row is as likely, and the
+    same ones are taken every time. Each task keeps n rows before they meet."""
+    key = F.concat_ws("-", *[F.col(k).cast("string") for k in keys])
+    hashed = df.withColumn("_h", F.sha2(key, 256))
+    return hashed.orderBy("_h", *keys).limit(n).drop("_h")
+
+
+#: Registers of a distinct count sketch, as a power of two; the error is 0.4%.
+SKETCH_BITS = 16
+
+
+def _sketched(kind: T.DataType, column: Column) -> Column:
+    """A value that a sketch can take and that is equal for equal values."""
+    if isinstance(kind, (T.StringType, T.IntegerType, T.LongType, T.BinaryType)):
+        return column
+    return F.when(column.isNotNull(), F.to_json(F.struct(column)))
+
+
+def distinct_sketches(tables: Mapping[str, DataFrame], bits: int = SKETCH_BITS) -> DataFrame:
+    """Per table and column a sketch of its values. Each table is read once. Sketches
+    of parts of a table, kept from earlier runs, can be merged."""
+    parts = []
+    for name, df in tables.items():
+        entries = [
+            F.struct(
+                F.lit(f.name).alias("coluna"),
+                F.hll_sketch_agg(_sketched(f.dataType, F.col(f"`{f.name}`")), bits).alias("esboco"),
+            )
+            for f in df.schema
+        ]
+        one = df.agg(F.array(*entries).alias("colunas"))
+        parts.append(one.select(F.lit(name).alias("tabela"), F.inline("colunas")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def distinct_counts(sketches: DataFrame) -> DataFrame:
+    """About how many different values each column has, over all sketches of it."""
+    merged = F.hll_union_agg("esboco")
+    return sketches.groupBy("tabela", "coluna").agg(
+        F.hll_sketch_estimate(merged).alias("n_distintos_aprox")
+    )
 
 
 def log_metrics(log: DataFrame) -> DataFrame:

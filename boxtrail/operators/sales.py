@@ -131,15 +131,27 @@ def prefix_shared(df: DataFrame, other: DataFrame, prefix: str = "caixa_", keep=
     return df.withColumnsRenamed({c: f"{prefix}{c}" for c in shared})
 
 
-def sale_box_join(sale_boxes: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Sale boxes with the box rows they name; the id is trimmed on both sides."""
+def sale_box_join(
+    sale_boxes: DataFrame, boxes: DataFrame, tenant_scoped: bool = False
+) -> DataFrame:
+    """Sale boxes with the box rows they name; the id is trimmed on both sides.
+
+    With ``tenant_scoped`` a sale only meets boxes of its own tenant; one without a
+    tenant meets all.
+    """
     right = prefix_shared(boxes, sale_boxes)
-    return sale_boxes.join(
+    joined = sale_boxes.join(
         right, sale_boxes["caixa_id"] == trimmed_id(right["id"]), "inner"
     ).drop(right["id"])
+    if not tenant_scoped:
+        return joined
+    tenant = F.col("token_cliente")
+    return joined.filter(tenant.isNull() | (tenant == F.col("caixa_token_cliente")))
 
 
-def sale_lineage(sale_boxes, boxes, deboning, properties, animals) -> DataFrame:
+def sale_lineage(
+    sale_boxes, boxes, deboning, properties, animals, tenant_scoped: bool = False
+) -> DataFrame:
     """Sold traceable boxes with everything behind them.
 
     The sale join comes first: it already leaves only the boxes that are
@@ -151,9 +163,11 @@ def sale_lineage(sale_boxes, boxes, deboning, properties, animals) -> DataFrame:
         F.col("peso").alias("caixa_peso"),
         F.col("dt_producao").alias("caixa_dt_producao"),
         "json_desossa", "json_propriedades", "json_animais",
+        *(["token_cliente"] if tenant_scoped else []),
     )
     named = sale_boxes.select("registro_id", "token_cliente", "grupo_id", "caixa_id")
-    return _add_lineage(sale_box_join(named, kept), deboning, properties, animals)
+    sold = sale_box_join(named, kept, tenant_scoped).drop("caixa_token_cliente")
+    return _add_lineage(sold, deboning, properties, animals)
 
 
 def proc_projection(rows: DataFrame, now: Column | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ def _order_lot() -> Column:
     return F.concat("o_orderstatus", F.substring("o_orderpriority", 1, 1)).alias(LOT)
 
 
-def simple_animals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def simple_animals(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
     """Ten-field animals; some lack the id or the tag."""
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     return table(spark, sf_dir, "orders").select(
@@ -45,10 +45,11 @@ def simple_animals(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("o_custkey").alias("propriedade_id"),
         F.struct(status.alias("codigo")).alias("status"),
         _order_lot(),
+        *keep,
     )
 
 
-def animal_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def animal_envelopes(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
     """Two animals per document. In one lot every id is missing; with one
     priority the second animal has a text for its breed; with another the
     document has no animals at all."""
@@ -72,7 +73,7 @@ def animal_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     both = F.array(animal(1), animal(2))
     return table(spark, sf_dir, "orders").select(
-        F.when(priority != "3-MEDIUM", both).alias("animais"), _order_lot()
+        F.when(priority != "3-MEDIUM", both).alias("animais"), _order_lot(), *keep
     )
 
 
@@ -104,7 +105,7 @@ def slaughter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flat_animals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flat_animals(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
     """Flat raw animals; one segment lacks the id, another has a bad weight."""
     segment = F.col("c_mktsegment")
     return table(spark, sf_dir, "customer").select(
@@ -125,6 +126,7 @@ def flat_animals(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_name").alias("observacoes"),
         ).alias("dados_adicionais"),
         segment.alias(LOT),
+        *keep,
     )
 
 
@@ -163,10 +165,50 @@ def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Documents in one pretty-printed file.
+PER_FILE = 200
+FILE_NR = "nr"
+
+
+def _file_nr(key: str) -> Column:
+    """Files hold runs of the key, so that none gets more than ``PER_FILE`` rows."""
+    return F.floor(F.col(key).cast("bigint") / PER_FILE).alias(FILE_NR)
+
+
+def simple_animal_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-field animals as pretty-printed top-level arrays, the text of a file each."""
+    docs = simple_animals(spark, sf_dir, keep=("o_orderkey",))
+    fields = [c for c in docs.columns if c not in (LOT, "o_orderkey")]
+    files = docs.groupBy(_file_nr("o_orderkey")).agg(F.collect_list(F.struct(*fields)).alias("d"))
+    return files.select(F.to_json("d", {"pretty": "true"}).alias("value"), FILE_NR)
+
+
+def animal_envelope_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One envelope per file, with the animals of many orders."""
+    docs = animal_envelopes(spark, sf_dir, keep=("o_orderkey",))
+    return docs.groupBy(_file_nr("o_orderkey")).agg(
+        F.flatten(F.collect_list("animais")).alias("animais")
+    )
+
+
+def flat_animal_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One flat animal per file."""
+    docs = flat_animals(spark, sf_dir, keep=("c_custkey",))
+    return docs.drop(LOT).withColumnRenamed("c_custkey", FILE_NR)
+
+
 @cache
 def _written(app: str, spark: SparkSession, sf_dir: str, build) -> str:
     path = scratch_path(spark, build.__name__)
-    build(spark, sf_dir).write.mode("error").partitionBy(LOT).json(path)
+    rows = build(spark, sf_dir)
+    if LOT in rows.columns:
+        rows.write.mode("error").partitionBy(LOT).json(path)
+        return path
+    writer = rows.repartition(FILE_NR).write.mode("error").partitionBy(FILE_NR)
+    if rows.columns == ["value", FILE_NR]:
+        writer.text(path)
+    else:
+        writer.option("pretty", True).json(path)
     return path
 
 

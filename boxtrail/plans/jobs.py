@@ -238,19 +238,24 @@ def run_sales(
     limit: int | None = None,
     clock: dt.datetime | None = None,
 ) -> None:
-    """Trace open sales, store the four result tables, then close the sales."""
+    """Trace open sales, store the four result tables, then close the sales.
+
+    A sale is traced to boxes of its own tenant. A run for a tenant reads only this
+    tenant's folders.
+    """
     now = _clock(clock)
-    boxes = read_state(spark, root, "bt_caixas")
     sales = read_state(spark, root, "bt_registro_venda")
-    if token is not None:
-        sales = sales.filter(F.col("token_cliente") == F.lit(token))
-    run = sale_trace(
-        sales, boxes,
+    lookups = [
+        read_state(spark, root, "bt_caixas"),
         read_state(spark, root, "bt_desossa"),
         read_state(spark, root, "bt_propriedades"),
         read_animals(spark, root),
-        grupo_id, token, limit, now,
-        materialise=lambda rows: materialise(rows, "proc_venda"),
+    ]
+    if token is not None:
+        sales, *lookups = (_of_tenant(rows, token) for rows in (sales, *lookups))
+    run = sale_trace(
+        sales, *lookups, grupo_id, token, limit, now,
+        materialise=lambda rows: materialise(rows, "proc_venda"), tenant_scoped=True,
     )
     headers = read_or_empty(spark, root, "proc_registro_venda", run.headers.schema)
     new_rows(headers, run.headers, ["id"]).write.mode("append").parquet(

@@ -32,19 +32,22 @@ class SaleTrace(NamedTuple):
 def sale_rows(
     sales, boxes, deboning, properties, animals,
     grupo_id=None, token=None, limit: int | None = None, now: Column | None = None,
+    tenant_scoped: bool = False,
 ) -> DataFrame:
     """One row per box sold in the chosen sales, with its lineage."""
     if grupo_id is None and token is None:
         raise ValueError("give a group or a tenant")
     chosen = oldest_unprocessed(sales, grupo_id, token, limit)
-    lineage = sale_lineage(explode_sale_boxes(chosen), boxes, deboning, properties, animals)
+    lineage = sale_lineage(
+        explode_sale_boxes(chosen), boxes, deboning, properties, animals, tenant_scoped
+    )
     return proc_projection(lineage, now)
 
 
 def sale_trace(
     sales, boxes, deboning, properties, animals,
     grupo_id=None, token=None, limit: int | None = None, now: Column | None = None,
-    materialise=lambda rows: rows,
+    materialise=lambda rows: rows, tenant_scoped: bool = False,
 ) -> SaleTrace:
     """All result frames of one run.
 
@@ -52,7 +55,9 @@ def sale_trace(
     table; without it each frame computes the lineage again.
     """
     rows = materialise(
-        sale_rows(sales, boxes, deboning, properties, animals, grupo_id, token, limit, now)
+        sale_rows(
+            sales, boxes, deboning, properties, animals, grupo_id, token, limit, now, tenant_scoped
+        )
     )
     return SaleTrace(
         rows=rows,

@@ -59,6 +59,15 @@ def json_scan(spark, sf):
     return _simple_columns(src.scan_json(spark, path, SIMPLE_ANIMAL, multi_line=False))
 
 
+@query("json_scan_whole", f"WITH {_SIMPLE} SELECT * FROM simple")
+def json_scan_whole(spark, sf):
+    """Files with a pretty-printed top-level array each."""
+    path = pf.payload_dir(spark, sf, pf.simple_animal_arrays)
+    rows = src.scan_json(spark, path, SIMPLE_ANIMAL, glob="*.txt")
+    # nested JSON keeps the text of the file, line breaks and all
+    return _simple_columns(rows.withColumn("status", F.to_json(F.parse_json("status"))))
+
+
 @query(
     "required_filter",
     f"WITH {_SIMPLE} SELECT * FROM simple WHERE id IS NOT NULL AND identificacao IS NOT NULL",
@@ -123,6 +132,31 @@ def json_envelope_scan(spark, sf):
     return rows.select("id", "codigo_fazenda", "tipo_animal", "raca")
 
 
+_ANIMAL_ALL = """id, codigo_fazenda, CAST(NULL AS INTEGER) AS origem, tipo_animal, raca,
+  nascimento AS data_nascimento, classificacao_id, classificacao_descricao, observacoes,
+  peso_atual, 24 AS outros_vazios"""
+
+
+@query("json_envelope_scan_whole", f"WITH {_ANIMALS} SELECT {_ANIMAL_ALL} FROM animals")
+def json_envelope_scan_whole(spark, sf):
+    """One pretty-printed envelope per file, projected to all 33 columns."""
+    path = pf.payload_dir(spark, sf, pf.animal_envelope_objects)
+    rows = payloads.animal_projection(src.scan_envelope(spark, path, ANIMAL_RAW))
+    filled = (
+        "id", "codigo_fazenda", "tipo_animal", "raca", "data_nascimento", "classificacao",
+        "observacoes", "peso_atual", "origem",
+    )
+    rest = [F.col(c) for c in rows.columns if c not in filled]
+    empty = [F.when(c.isNull() | (c.cast("string") == "{}"), 1).otherwise(0) for c in rest]
+    return rows.select(
+        "id", "codigo_fazenda", "origem", "tipo_animal", "raca",
+        F.date_format("data_nascimento", "yyyy-MM-dd").alias("data_nascimento"),
+        F.get_json_object("classificacao", "$.id").alias("classificacao_id"),
+        F.get_json_object("classificacao", "$.descricao").alias("classificacao_descricao"),
+        "observacoes", "peso_atual", sum(empty[1:], empty[0]).alias("outros_vazios"),
+    )
+
+
 @query("animal_projection", f"WITH {_ANIMALS} SELECT {_ANIMAL_OUT} FROM animals")
 def animal_projection(spark, sf):
     path = pf.payload_dir(spark, sf, pf.animal_envelopes)
@@ -364,6 +398,16 @@ def raw_animal_ingest(spark, sf):
     return _raw_columns(ingest.ingest(spark, path, ingest.raw_animals(), multi_line=False).rows)
 
 
+@query(
+    "raw_animal_ingest_whole",
+    f"WITH {_RAW} SELECT * FROM raw WHERE raca NOT IN ('MACHINERY', 'FURNITURE')",
+)
+def raw_animal_ingest_whole(spark, sf):
+    """One pretty-printed animal per file."""
+    path = pf.payload_dir(spark, sf, pf.flat_animal_objects)
+    return _raw_columns(ingest.ingest(spark, path, ingest.raw_animals()).rows)
+
+
 @query(
     "ingest_stream",
     f"""WITH {_RAW}
@@ -441,6 +485,49 @@ def flatten_schedule(spark, sf):
     return out
 
 
+_SCHEDULE_KEYS = """'{"dt_abate":"' || strftime(dt_abate, '%Y-%m-%d') || '","nr_unidade_abate":"'
+    || nr_unidade_abate || '","nr_lote_abate":' || CAST(nr_lote_abate AS VARCHAR)"""
+
+
+@query(
+    "ingest_schedules",
+    f"""WITH s AS (
+      SELECT CAST(o_orderdate AS DATE) AS dt_abate, CAST(o_custkey % 4 AS VARCHAR) AS nr_unidade_abate,
+        o_orderkey AS nr_lote_abate, CAST(o_custkey AS VARCHAR) AS cpf, o_orderkey % 4 AS k,
+        CAST(o_orderkey AS VARCHAR) AS lot FROM orders),
+    c AS (SELECT s.*, n FROM s LEFT JOIN range(1, 4) t(n) ON n <= k),
+    permits AS (
+      SELECT lot AS l, string_agg('{{"nr_gta":"G' || lot || '-' || CAST(n AS VARCHAR) || '"}}', ','
+        ORDER BY n) AS gtas FROM c WHERE n IS NOT NULL GROUP BY lot),
+    parts AS (
+      SELECT s.*, 'escala' AS parte, {_SCHEDULE_KEYS} || ',"prod_nome_razaosocial":"P' || cpf
+        || '","prod_cpf_cnpj":"' || cpf || '"}}' AS valor, '[' || coalesce(gtas, '') || ']' AS json_gtas,
+        '[{{"numero":"N' || lot || '-1","itens":[{{"qtde":' || lot || ',"descricao":"I' || lot
+        || '"}},{{"qtde":' || lot || ',"descricao":"I' || lot || '"}}]}}]' AS json_nfs
+      FROM s LEFT JOIN permits ON l = lot
+      UNION ALL BY NAME SELECT c.*, 'caminhao' AS parte, CASE WHEN n IS NULL THEN '{{}}'
+        ELSE '{{"placa_veiculo":"T' || lot || '-' || CAST(n AS VARCHAR) || '"}}' END AS valor FROM c
+      UNION ALL BY NAME SELECT c.*, 'gta' AS parte, CASE WHEN n IS NULL THEN '{{}}'
+        ELSE '{{"nr_gta":"G' || lot || '-' || CAST(n AS VARCHAR) || '"}}' END AS valor FROM c
+      UNION ALL BY NAME SELECT s.*, 'nf' AS parte, '{{"numero":"N' || lot || '-1"}}' AS valor FROM s
+      UNION ALL BY NAME SELECT s.*, 'item' AS parte, '{{"numero":"N' || lot || '-1","qtde":' || lot
+        || ',"descricao":"I' || lot || '"}}' AS valor FROM s CROSS JOIN range(0, 2) r(i))
+    SELECT dt_abate, nr_unidade_abate, nr_lote_abate, parte, valor, json_gtas, json_nfs,
+      '{TENANT}' AS token_cliente FROM parts""",
+)
+def ingest_schedules(spark, sf):
+    """All parts and all their columns from one parse."""
+    path = pf.payload_dir(spark, sf, pf.schedules)
+    payload = ingest.schedules(TENANT, clock())
+    rows = ingest.ingest(spark, path, payload, multi_line=False).rows
+    plain = [F.to_json(F.col("escala").dropFields("json_gtas", "json_nfs"))]
+    plain += [F.to_json(p) for p in payloads.SCHEDULE_PARTS[1:]]
+    return rows.select(
+        *payloads.SCHEDULE_KEYS, payloads.SCHEDULE_PART, F.coalesce(*plain).alias("valor"),
+        "escala.json_gtas", "escala.json_nfs", "token_cliente",
+    )
+
+
 # --- listings and the lake --------------------------------------------------
 
 

@@ -22,6 +22,7 @@ from boxtrail.queries.common import (
     in_period,
     open_flag,
 )
+from boxtrail.session import materialise
 
 _JOINS = """
   LEFT JOIN deboning d ON b.nr_unidade_desossa = d.nr_unidade_desossa
@@ -224,7 +225,21 @@ def insert_ignore(spark, sf):
 )
 def slice_except(spark, sf):
     boxes = b.boxes(spark, sf).select("id", "token_cliente", "codigo", "peso")
-    return merge.slice_except(boxes, 1000, 2000, ["id"])
+    return merge.slice_except(boxes, 1000, 2000, ["id"], lambda df: materialise(df, "fatia"))
+
+
+@query(
+    "slice_except_deep",
+    f"""WITH {BOXES}, r AS (
+      SELECT nr_unidade_desossa, codigo, peso,
+        row_number() OVER (ORDER BY codigo, nr_unidade_desossa, peso) AS n FROM boxes)
+    SELECT nr_unidade_desossa, codigo, peso FROM r WHERE n > 4000 AND n <= 4500
+    EXCEPT SELECT nr_unidade_desossa, codigo, peso FROM r WHERE n <= 4000""",
+)
+def slice_except_deep(spark, sf):
+    """Far into a table with many equal rows."""
+    boxes = b.boxes(spark, sf).select("nr_unidade_desossa", "codigo", "peso")
+    return merge.slice_except(boxes, 4000, 4500, ["codigo"], lambda df: materialise(df, "fatia"))
 
 
 @query(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from boxtrail import bindings as b
 from boxtrail.operators import reports as rep
@@ -100,9 +102,23 @@ _PROFILED = {
     "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
     "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+_KEYS = {
+    "lineitem": ("l_orderkey", "l_linenumber"), "conversations": ("conv_id", "turn"),
 }
 
 
+def _keys(name: str) -> tuple[str, ...]:
+    """The key of a table: its first column, unless two are needed."""
+    return _KEYS.get(name, (_PROFILED[name].split(" ")[0],))
+
+
 def _profile_sql() -> str:
     parts = []
     for name, columns in _PROFILED.items():
@@ -122,6 +138,35 @@ def _ranking_sql() -> str:
     return f"SELECT * FROM ({counts}) ORDER BY n_linhas DESC, tabela LIMIT 5"
 
 
+def _sample_sql() -> str:
+    parts = []
+    for name in _PROFILED:
+        keys = _keys(name)
+        key = " || '-' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+        order = f"sha256({key}), {', '.join(keys)}"
+        parts.append(
+            f"(SELECT '{name}' AS tabela, {key} AS chave FROM {name} ORDER BY {order} LIMIT 5)"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("table_sample", _sample_sql())
+def table_sample(spark, sf):
+    """Five rows of each table."""
+    parts = []
+    for name in _PROFILED:
+        key = F.concat_ws("-", *[F.col(k).cast("string") for k in _keys(name)])
+        rows = rep.table_sample(b.table(spark, sf, name), _keys(name), 5)
+        parts.append(rows.select(F.lit(name).alias("tabela"), key.alias("chave")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("table_distinct_counts")
+def table_distinct_counts(spark, sf):
+    """Different values of every column, from sketches; no SQL gives the same estimate."""
+    return rep.distinct_counts(rep.distinct_sketches({n: b.table(spark, sf, n) for n in _PROFILED}))
+
+
 @query("table_profile", _profile_sql())
 def table_profile(spark, sf):
     return rep.table_profile({n: b.table(spark, sf, n) for n in _PROFILED})

@@ -42,6 +42,19 @@ def oldest_unprocessed(spark, sf):
     return picked.select("id", "token_cliente", "grupo_id")
 
 
+@query(
+    "oldest_unprocessed_limited",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, 't' || CAST(o_custkey % 3 AS VARCHAR) AS token_cliente,
+      CAST(o_custkey % 5 AS INTEGER) AS grupo_id
+    FROM orders WHERE o_orderstatus = 'O' AND o_custkey % 3 = 1
+    ORDER BY o_orderdate, CAST(o_orderkey AS VARCHAR) LIMIT 25""",
+)
+def oldest_unprocessed_limited(spark, sf):
+    """Fewer than there are."""
+    picked = op.oldest_unprocessed(b.sales(spark, sf), None, TENANT, 25)
+    return picked.select("id", "token_cliente", "grupo_id")
+
+
 @query(
     "optional_column",
     """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(NULL AS INTEGER) AS grupo_id FROM orders""",
@@ -95,6 +108,20 @@ def sale_box_join(spark, sf):
     return op.sale_box_join(named, b.boxes(spark, sf).select("id", "codigo", "peso"))
 
 
+@query(
+    "sale_box_join_tenant",
+    f"""WITH {TRACED}, {SALE_BOXES}
+    SELECT s.registro_id, s.token_cliente, s.grupo_id, s.caixa_id, t.codigo, t.peso,
+      t.token_cliente AS caixa_token_cliente
+    FROM sale_boxes s JOIN traced t ON s.caixa_id = t.id AND s.token_cliente = t.token_cliente""",
+)
+def sale_box_join_tenant(spark, sf):
+    """Only boxes of the sale's own tenant."""
+    named = op.explode_sale_boxes(b.sales(spark, sf)).drop("codigo", "peso")
+    found = b.boxes(spark, sf).select("id", "codigo", "peso", "token_cliente")
+    return op.sale_box_join(named, found, tenant_scoped=True)
+
+
 @query(
     "collision_rename",
     f"""WITH {TRACED}, {SALE_BOXES}
@@ -210,3 +237,24 @@ def sale_trace_marked(spark, sf):
     return run.sales.select(
         "id", "flag_processada", F.col("data_hora_processada").isNotNull().alias("carimbada")
     )
+
+
+@query(
+    "proc_sale_header_all",
+    f"""WITH {SOLD}
+    SELECT DISTINCT registro_id AS id, token_cliente,
+      '00000000000000' AS nf_destino_cpf_cnpj, '00000000000000' AS cnpj_local_estoque,
+      DATE '{CLOCK[:10]}' AS dt_venda, DATE '{CLOCK[:10]}' AS dt_expedicao,
+      '00000000000000' AS cnpj_transportadora, '' AS nf_numero, 'VENDA' AS nf_natureza,
+      'Venda' AS nf_origem_nome_razaosocial, '00000000000000' AS nf_origem_cpf_cnpj,
+      DATE '{CLOCK[:10]}' AS nf_dt_compra, DATE '{CLOCK[:10]}' AS nf_dt_emissao,
+      DATE '{CLOCK[:10]}' AS nf_dt_pedido, '{CLOCK}' AS data_hora_processada,
+      '{{}}' AS json_itens, '{{}}' AS json_caixas, TRUE AS flag_web, 'Brasil' AS destino_pais,
+      '{CLOCK}' AS created_at, '{CLOCK}' AS updated_at
+    FROM sold""",
+)
+def proc_sale_header_all(spark, sf):
+    """All 21 columns of the header."""
+    header = op.proc_sale_header(_proc(spark, sf), clock())
+    stamps = ("data_hora_processada", "created_at", "updated_at")
+    return header.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in stamps})

@@ -11,10 +11,10 @@ CORRUPT = "_corrupt_record"
 _PATH = "_metadata.file_path"
 
 
-def _reader(spark: SparkSession, multi_line: bool):
+def _reader(spark: SparkSession, multi_line: bool, glob: str = JSON_GLOB):
     return (
         spark.read.option("multiLine", multi_line)
-        .option("pathGlobFilter", JSON_GLOB)
+        .option("pathGlobFilter", glob)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
@@ -31,6 +31,7 @@ def scan_json(
     *,
     multi_line: bool = True,
     diagnostics: bool = False,
+    glob: str = JSON_GLOB,
 ) -> DataFrame:
     """Read JSON documents; absent fields are NULL and nested objects in text
     fields keep their JSON text.
@@ -40,9 +41,10 @@ def scan_json(
     per line read faster without it, as Spark can split them. ``diagnostics`` adds the file's path and, where a document
     does not fit the schema, its text.
     """
+    reader = _reader(spark, multi_line, glob)
     if not diagnostics:
-        return _reader(spark, multi_line).schema(schema).json(path)
-    df = _reader(spark, multi_line).schema(with_corrupt(schema)).json(path)
+        return reader.schema(schema).json(path)
+    df = reader.schema(with_corrupt(schema)).json(path)
     return df.withColumn(FILE, F.col(_PATH))
 
 

@@ -52,17 +52,38 @@ def test_listing_takes_json_files_of_any_case_and_no_folders(spark, tmp_path):
     assert got.filter("tamanho > 0 AND modificado_em IS NOT NULL").count() == 2
 
 
+def test_every_file_adds_those_without_a_byte(spark, tmp_path):
+    """Names come out as scans write them, whatever their characters."""
+    put(tmp_path, "a b%é+[1].json", {})
+    put(tmp_path, "zero.JSON", "")
+    put(tmp_path, ".hidden.json", "{}")
+    put(tmp_path, "c.txt", "x")
+    put(tmp_path / "lote=x y" / "dia=1", "d.json", {})
+    put(tmp_path / "lote=x y" / "_tmp", "e.json", {})
+    put(tmp_path / "lote=z" / "dia=2", "none.json", "")
+    path = str(tmp_path)
+    listed = src.every_file(spark, path)
+    sizes = {r.nome: r.tamanho for r in listed.collect()}
+    assert sizes == {"a b%é+[1].json": 2, "zero.JSON": 0, "d.json": 2, "none.json": 0}
+    found = {r[0] for r in src.list_files(spark, f"{path}/lote=x y", src.JSON_GLOB).collect()}
+    found |= {r[0] for r in src.scan_json(
+        spark, f"{path}/a b%é+?1].json", RAW_ANIMAL, diagnostics=True).select(src.FILE).collect()}
+    assert found == {r[0] for r in listed.filter("tamanho > 0").select(src.FILE).collect()}
+
+
 def test_pretty_printed_object_is_one_row(spark, tmp_path):
     doc = {
-        "id_animal": "A1", "data_nascimento": "2023-05-15", "peso_nascimento": 35.5,
-        "data_saida": None,
-        "dados_adicionais": {"vacinado": True, "vacinas": [{"tipo": "X", "data": "2023-06-15"}]},
+        "id_animal": "Q-17", "data_nascimento": "2019-11-02", "peso_nascimento": 41,
+        "data_entrada": "2020-01-09",
+        "dados_adicionais": {"vacinado": False, "vacinas": [{"data": "2019-12-24"}, {"tipo": "B"}]},
     }
     path = put(tmp_path, "a.json", doc)
     got = src.scan_json(spark, path, RAW_ANIMAL).collect()
     assert len(got) == 1
-    assert got[0].data_nascimento == dt.date(2023, 5, 15)
-    assert got[0].dados_adicionais.vacinas[0].data == dt.date(2023, 6, 15)
+    assert (got[0].data_nascimento, got[0].peso_nascimento) == (dt.date(2019, 11, 2), 41.0)
+    assert got[0].data_saida is None and got[0].dados_adicionais.vacinado is False
+    doses = got[0].dados_adicionais.vacinas
+    assert [(d.tipo, d.data) for d in doses] == [(None, dt.date(2019, 12, 24)), ("B", None)]
 
 
 def test_array_gives_a_row_per_element_and_text_fields_keep_nested_json(spark, tmp_path):
@@ -247,7 +268,9 @@ def test_schedule_flattens_to_header_and_children(spark, tmp_path):
     }
     bare = {**base, "nr_lote_abate": 2, "caminhoes": [], "gtas": [], "nfs": []}
     payload = src.scan_json(spark, put(tmp_path, "a.json", [full, bare]), SCHEDULE)
-    flat = payloads.flatten_schedule(payload)
+    tagged = payloads.schedule_rows(payload)
+    assert tagged._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    flat = payloads.flatten_schedule(tagged)
     head = flat.header.orderBy("nr_lote_abate").first()
     assert head.prod_nr_rg is None and head.prod_cpf_cnpj == "00012345678901"
     assert json.loads(head.json_gtas) == [{"nr_gta": "G1"}]

@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 from boxtrail.operators import merge
 from boxtrail.schemas import PROC_BOX
+from boxtrail.session import materialise
 from data import boxes, rows
 
 
+def stored(df):
+    return materialise(df, "merge-test")
+
+
 def test_newest_row_wins(spark):
     df = boxes(
         spark,
@@ -47,8 +52,20 @@ def test_insert_ignore_keeps_stored_rows(spark):
 
 def test_slice_is_a_set_difference(spark):
     df = spark.createDataFrame([(i,) for i in (1, 1, 2, 2, 3, 3)], "n int")
-    assert rows(merge.slice_except(df, 0, 4, ["n"])) == [(1,), (2,)]
-    assert rows(merge.slice_except(df, 3, 6, ["n"])) == [(3,)]
+    assert rows(merge.slice_except(df, 0, 4, ["n"], stored)) == [(1,), (2,)]
+    assert rows(merge.slice_except(df, 3, 6, ["n"], stored)) == [(3,)]
+    assert rows(merge.slice_except(df.limit(0), 0, 9, ["n"], stored)) == []
+
+
+def test_a_deep_slice_needs_no_sort_in_one_task(spark):
+    n = 300_000
+    df = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.lit("x").alias("v"))
+    got = merge.slice_except(df, 200_000, 200_100, ["k"], stored)
+    assert sorted(r.k for r in got.collect()) == list(range(200_000, 200_100))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
+    numbered = merge.numbered_rows(df, ["k"], stored)
+    assert numbered.filter("_nr <> k + 1").isEmpty() and numbered.count() == n
 
 
 def test_chunks_cover_the_table_once(spark):

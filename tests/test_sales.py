@@ -176,3 +176,15 @@ def test_lineage_json_is_text_of_the_row(spark):
     df = spark.createDataFrame([("a", DAY, None)], "id string, d date, v string")
     assert df.select(row_json(["id", "d", "v"])).first()[0] == '{"id":"a","d":"2024-03-10"}'
     assert df.select(F.col("v").alias("x")).first().x is None
+
+
+def test_a_sale_meets_boxes_of_its_own_tenant(spark):
+    named = spark.createDataFrame(
+        [("s1", "t1", "b"), ("s2", "t2", "b"), ("s3", None, "b")],
+        "registro_id string, token_cliente string, caixa_id string",
+    )
+    found = spark.createDataFrame([("b", "t1"), (" b ", "t3")], "id string, token_cliente string")
+    got = op.sale_box_join(named, found, tenant_scoped=True)
+    assert rows(got, "registro_id", "caixa_token_cliente") == [
+        ("s1", "t1"), ("s3", "t1"), ("s3", "t3")
+    ]

@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from boxtrail.sources import jdbc, lake
+from boxtrail.sources import jdbc, lake, listing
 from data import rows
 
 CONNECTION = {"url": "jdbc:x://host/db", "user": "u", "password": "p", "driver": "d"}
@@ -168,3 +168,16 @@ def test_bound_parameters_are_values_not_text(spark):
         spark, "SELECT * FROM {t} WHERE id = :id", {"id": "' OR '1'='1"}, t=df
     )
     assert rows(got) == [("' OR '1'='1",)]
+
+
+def test_partitions_are_read_from_folder_names(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(2024, "a b", 1), (2024, "x/y", 2), (2025, None, 3)], "ano int, lote string, v int"
+    )
+    path = str(tmp_path / "t")
+    df.write.partitionBy("ano", "lote").parquet(path)
+    got = listing.partition_folders(spark, path, {"ano": "int", "lote": "string"})
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got) == [(2024, "a b"), (2024, "x/y"), (2025, None)]
+    assert rows(lake.list_partitions(spark, path, ("ano",))) == [(2024,), (2025,)]
+    assert lake.list_partitions(spark, path, ("mes",)).count() == 0
