@@ -36,8 +36,12 @@ def _lookups(spark, sf):
     return b.deboning(spark, sf), b.schedule(spark, sf), b.animals(spark, sf)
 
 
-def _path(json: str, field: str):
-    return F.get_json_object(json, f"$.{field}")
+def _parsed(df, **texts: str):
+    """JSON texts with some of their fields as structs `_<text>`, each parsed once."""
+    return df.withColumns({
+        f"_{text}": F.from_json(text, ", ".join(f"{f} string" for f in fields.split()))
+        for text, fields in texts.items()
+    })
 
 
 @query(
@@ -49,10 +53,10 @@ def _path(json: str, field: str):
 )
 def link_deboning(spark, sf):
     linked = link.link_deboning(b.boxes(spark, sf), b.deboning(spark, sf), now=clock())
-    return linked.select(
-        "id", "token_cliente", "flag_desossa", json_id(F.col("json_desossa")).alias("desossa_id"),
-        _path("json_desossa", "lote").alias("lote"),
-        _path("json_desossa", "dt_abate").alias("dt_abate_json"),
+    return _parsed(linked, json_desossa="id lote dt_abate").select(
+        "id", "token_cliente", "flag_desossa", F.col("_json_desossa.id").alias("desossa_id"),
+        F.col("_json_desossa.lote").alias("lote"),
+        F.col("_json_desossa.dt_abate").alias("dt_abate_json"),
     )
 
 
@@ -94,9 +98,10 @@ def link_writeback(spark, sf):
 def link_schedule(spark, sf):
     deboning, schedule, _ = _lookups(spark, sf)
     boxes = link.link_deboning(b.boxes(spark, sf), deboning)
-    return link.link_schedule(boxes, schedule).select(
-        "id", "flag_propriedades", json_id(F.col("json_propriedades")).alias("escala_id"),
-        _path("json_propriedades", "prod_cpf_cnpj").alias("prod_cpf_cnpj"),
+    linked = _parsed(link.link_schedule(boxes, schedule), json_propriedades="id prod_cpf_cnpj")
+    return linked.select(
+        "id", "flag_propriedades", F.col("_json_propriedades.id").alias("escala_id"),
+        F.col("_json_propriedades.prod_cpf_cnpj").alias("prod_cpf_cnpj"),
     )
 
 
@@ -109,9 +114,10 @@ def link_schedule(spark, sf):
 def link_animals(spark, sf):
     deboning, _, animals = _lookups(spark, sf)
     boxes = link.link_deboning(b.boxes(spark, sf), deboning)
-    return link.link_animals(boxes, animals).select(
-        "id", "flag_animais", json_id(F.col("json_animais")).alias("animal_id"),
-        _path("json_animais", "codigo").alias("codigo"),
+    linked = _parsed(link.link_animals(boxes, animals), json_animais="id codigo")
+    return linked.select(
+        "id", "flag_animais", F.col("_json_animais.id").alias("animal_id"),
+        F.col("_json_animais.codigo").alias("codigo"),
     )
 
 
