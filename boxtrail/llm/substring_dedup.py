@@ -5,8 +5,9 @@ A window that also starts in a document with a smaller id is repeated; repeated
 windows that overlap or touch merge into maximal intervals, which are cut out.
 
 Documents are grouped in blocks of consecutive ids. Each task sends each window
-hash of a block once, however often it occurs there, to the hash's bucket; a bucket
-finds the first block of each hash and tells all others. Within a block, windows are
+hash of a block once, however often it occurs there, to the hash's bucket, all hashes
+for a bucket in one row with their blocks; a bucket finds the first block of each hash
+and tells all others. Within a block, windows are
 compared directly. A passage that a third of all documents share so costs one hash
 per block. Windows are compared by 64-bit hashes: among n different windows, n**2 /
 2**65 pairs are expected to be taken for equal.
@@ -30,7 +31,7 @@ BLOCK_BITS = 8
 #: Bytes of text whose window hashes meet in one bucket.
 BUCKET_BYTES = 8 << 20
 #: Hashes held by a task before they are sent.
-HELD = 1 << 20
+HELD = 1 << 22
 
 _U = np.uint64
 
@@ -47,20 +48,22 @@ def _sent(length: int, buckets: int):
 
     def flush(blocks, hashes):
         block, value = np.concatenate(blocks), np.concatenate(hashes)
-        for one in np.unique(block):
-            mine = np.unique(value[block == one])
-            place = (mine % _U(buckets)).astype(np.int64)
-            order = np.argsort(place, kind="stable")
-            mine, place = mine[order], place[order]
-            cuts = np.flatnonzero(np.diff(place, prepend=-1))
-            ends = np.append(cuts[1:], len(mine))
+        order = np.lexsort((value, block, value % _U(buckets)))
+        block, value = block[order], value[order]
+        new = np.ones(len(value), dtype=bool)
+        new[1:] = (value[1:] != value[:-1]) | (block[1:] != block[:-1])
+        block, value = block[new], value[new]
+        place = (value % _U(buckets)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(place, prepend=-1))
+        ends = np.append(cuts[1:], len(place))
+        for low, high in zip(cuts.tolist(), ends.tolist(), strict=True):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(place[cuts], pa.int64()),
-                    pa.array(np.full(len(cuts), one), pa.int64()),
-                    pa.array([mine[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)]),
+                    pa.array(place[low : low + 1], pa.int64()),
+                    pa.array([block[low:high].astype("<i8").tobytes()]),
+                    pa.array([value[low:high].tobytes()]),
                 ],
-                ["bucket", "block", "hashes"],
+                ["bucket", "blocks", "hashes"],
             )
 
     def run(batches):
@@ -85,10 +88,8 @@ def _sent(length: int, buckets: int):
 def _later_blocks(sent: pa.Table) -> pa.Table:
     """For each block, the hashes of this bucket that an earlier block has too."""
     release()
-    values = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in sent["hashes"]]
-    sizes = [len(x) for x in values]
-    value = np.concatenate(values)
-    block = np.repeat(sent["block"].to_numpy(), sizes)
+    value = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in sent["hashes"]])
+    block = np.concatenate([np.frombuffer(x.as_buffer(), dtype="<i8") for x in sent["blocks"]])
     order = np.argsort(value, kind="stable")
     value, block = value[order], block[order]
     new = np.flatnonzero(np.diff(value, prepend=~value[:1]))
@@ -203,12 +204,10 @@ def remove_repeats(
         {"block": F.shiftright(number, BLOCK_BITS), "id": number}
     )
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(
-        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES), 1
-    )
+    buckets = max(-(-size // BUCKET_BYTES), 1)
     later = (
         docs.select("text", "block")
-        .mapInArrow(_sent(length, buckets), "bucket long, block long, hashes binary")
+        .mapInArrow(_sent(length, buckets), "bucket long, blocks binary, hashes binary")
         .groupBy("bucket")
         .applyInArrow(_later_blocks, "block long, hashes binary")
     )
