@@ -6,15 +6,17 @@ class, and each class goes through these steps:
 1. 160 minima of hash functions over the set. Their two lowest bits are packed into a
    signature of five long integers; four whole minima make one of 40 band keys. A pair
    of similarity 0.75 shares no key with probability 3e-7.
-2. Classes that share a key are candidates. In buckets of up to 32 classes every pair
-   is one, in larger buckets each class with the bucket's smallest one.
+2. Classes that share a key are candidates. First, each class is compared with its
+   bucket's smallest one, so a group of copies costs one comparison per class.
 3. The share of equal bit pairs, found by counting bits, less what chance gives, is an
    estimate of the similarity. Candidates five standard deviations below the
-   threshold are left out.
+   threshold are left out, as are those whose sizes are too far apart; both are
+   conditions of the join that finds candidates, which so gives likely pairs only.
 4. The others are compared on their full sets. Links join classes into components.
-5. Large buckets whose members are not all in one component are finished exactly: a
-   join on the rarest shingles of each set, as many as a similar set must share one
-   of, with length and position filters, between members of different components.
+5. Buckets whose members are not all in one component are finished. In those of up to
+   32 classes the pairs of different components are candidates. Larger ones take an
+   exact join on the rarest shingles of each set, as many as a similar set must share
+   one of, with length and position filters, between different components.
 
 Sets are compared as sets of 64-bit shingle hashes.
 """
@@ -355,36 +357,24 @@ def groups(
     )
     rows = classes.select(F.col("name").alias("node"), F.explode("bands").alias("key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("least"))
-    shared = stored(rows.join(sizes.where("size > 1"), "key"), "buckets")
-
-    x, y = (shared.where(F.col("size") <= SMALL).alias(k) for k in "xy")
-    near = x.join(
-        y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    large = shared.where(F.col("size") > SMALL)
-    star = large.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    pairs = near.union(star).distinct()
-
-    def side(k):
-        return classes.select(
-            F.col("name").alias(k), F.col("n").alias(f"n_{k}"), F.col("signature").alias(f"s_{k}")
-        )
-
-    likely = stored(
-        pairs.join(side("a"), "a").join(side("b"), "b")
-        .where(100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
-        .where(estimate(F.col("s_a"), F.col("s_b")) >= _lowest_estimate(similarity))
-        .select("a", "b"),
-        "candidates",
-    )
+    own = classes.select(F.col("name").alias("node"), "n", "signature")
+    shared = stored(rows.join(sizes.where("size > 1"), "key").join(own, "node"), "buckets")
+
+    def alike(a: DataFrame, b: DataFrame, only: Column) -> DataFrame:
+        """Likely pairs of two sides that share a key."""
+        x, y = a.alias("x"), b.alias("y")
+        sizes_fit = 100 * F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")
+        likely = estimate(F.col("x.signature"), F.col("y.signature")) >= _lowest_estimate(similarity)
+        on = (F.col("x.key") == F.col("y.key")) & only & sizes_fit & likely
+        return x.join(y, on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+    star = alike(
+        shared.where("node = least"), shared.where("node <> least"), F.lit(True)
+    ).distinct()
+    likely = stored(star, "candidates")
     # Full sets of all that may be compared: one text for each class. A class may have
     # no id at all; rows without one are told apart by the name of their set.
-    wanted = (
-        likely.select(F.col("a").alias("name"))
-        .union(likely.select(F.col("b").alias("name")))
-        .union(large.select(F.col("node").alias("name")))
-        .distinct()
-    )
+    wanted = shared.select(F.col("node").alias("name")).distinct()
     ids = signed.select("name", "doc_id").join(
         wanted.join(classes.select("name", "doc_id"), "name"), ["name", "doc_id"], "left_semi"
     )
@@ -394,23 +384,27 @@ def groups(
     sets = stored(
         full_sets(chosen).join(wanted, "name", "left_semi").dropDuplicates(["name"]), "sets"
     )
-    links = _verified(likely, sets, similarity)
-    labels = components(links)
+    labels = components(_verified(likely, sets, similarity))
 
+    marked = stored(_labelled(shared.drop("least"), labels), "marked")
     live = (
-        _labelled(large.select("key", "node"), labels)
-        .groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low <> high")
+        marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low <> high").select("key")
     )
+    rest = stored(marked.join(live, "key", "left_semi"), "open_buckets")
+    small = rest.where(F.col("size") <= SMALL)
+    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
     members = stored(
-        _labelled(large.join(live, "key", "left_semi").select("node").distinct(), labels),
-        "members",
+        rest.where(F.col("size") > SMALL).select("node", "label").distinct(), "members"
+    )
+    later = stored(
+        alike(small, small, apart).union(_across(members, sets, similarity)).distinct(), "later"
     )
-    more = _verified(_across(members, sets, similarity), sets, similarity)
+    more = _verified(later, sets, similarity)
+    ends = rest.select("node", "label").distinct()
     joined = (
-        more.join(members.select(F.col("node").alias("a"), F.col("label").alias("x")), "a")
-        .join(members.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
+        more.join(ends.select(F.col("node").alias("a"), F.col("label").alias("x")), "a")
+        .join(ends.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
         .select(F.col("x").alias("a"), F.col("y").alias("b"))
     )
     upper = components(joined).select(
