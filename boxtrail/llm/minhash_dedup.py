@@ -14,9 +14,11 @@ class, and each class goes through these steps:
    conditions of the join that finds candidates, which so gives likely pairs only.
 4. The others are compared on their full sets. Links join classes into components.
 5. Buckets whose members are not all in one component are finished. In those of up to
-   32 classes the pairs of different components are candidates. Larger ones take an
-   exact join on the rarest shingles of each set, as many as a similar set must share
-   one of, with length and position filters, between different components.
+   32 classes the pairs of different components are candidates; larger ones are
+   compared with a second class, of another component than the first. What large
+   buckets are still open then take an exact join on the rarest shingles of each set,
+   as many as a similar set must share one of, with length and position filters,
+   between different components.
 
 Sets are compared as sets of 64-bit shingle hashes.
 """
@@ -328,6 +330,33 @@ def _across(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     )
 
 
+def _open(buckets: DataFrame) -> DataFrame:
+    """The rows of the buckets whose members are not all in one component."""
+    live = (
+        buckets.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low <> high").select("key")
+    )
+    return buckets.join(live, "key", "left_semi")
+
+
+def _merged(links: DataFrame, rows: DataFrame) -> DataFrame:
+    """`label` and `upper`: what links between `node`s of rows make of their labels."""
+    ends = rows.select("node", "label").distinct()
+    joined = (
+        links.join(ends.select(F.col("node").alias("a"), F.col("label").alias("x")), "a")
+        .join(ends.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
+        .select(F.col("x").alias("a"), F.col("y").alias("b"))
+    )
+    return components(joined).select(
+        F.col("node").alias("label"), F.col("label").alias("upper")
+    )
+
+
+def _lifted(rows: DataFrame, upper: DataFrame) -> DataFrame:
+    found = rows.join(upper, "label", "left")
+    return found.withColumn("label", F.coalesce("upper", "label")).drop("upper")
+
+
 def groups(
     df: DataFrame,
     id_column: str = "doc_id",
@@ -386,35 +415,21 @@ def groups(
     )
     labels = components(_verified(likely, sets, similarity))
 
-    marked = stored(_labelled(shared.drop("least"), labels), "marked")
-    live = (
-        marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low <> high").select("key")
-    )
-    rest = stored(marked.join(live, "key", "left_semi"), "open_buckets")
-    small = rest.where(F.col("size") <= SMALL)
-    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
-    members = stored(
-        rest.where(F.col("size") > SMALL).select("node", "label").distinct(), "members"
-    )
-    later = stored(
-        alike(small, small, apart).union(_across(members, sets, similarity)).distinct(), "later"
-    )
-    more = _verified(later, sets, similarity)
-    ends = rest.select("node", "label").distinct()
-    joined = (
-        more.join(ends.select(F.col("node").alias("a"), F.col("label").alias("x")), "a")
-        .join(ends.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
-    )
-    upper = components(joined).select(
-        F.col("node").alias("label"), F.col("label").alias("upper")
-    )
-    final = (
-        _labelled(classes.select(F.col("name").alias("node"), "doc_id"), labels)
-        .join(upper, "label", "left")
-        .withColumn("label", F.coalesce("upper", "label"))
+    apart = F.col("x.label") != F.col("y.label")
+    first = stored(_open(_labelled(shared.drop("least"), labels)), "open_buckets")
+    small = first.where(F.col("size") <= SMALL)
+    # in a large bucket a second star, from a class of its last component
+    large = first.where(F.col("size") > SMALL)
+    last = large.groupBy("key").agg(F.max(F.struct("label", "node")).getField("node").alias("node"))
+    later = alike(small, small, (F.col("x.node") < F.col("y.node")) & apart).union(
+        alike(large.join(last, ["key", "node"], "left_semi"), large, apart)
     )
+    second = _merged(_verified(stored(later.distinct(), "later"), sets, similarity), first)
+    large = _open(_lifted(large, second))
+    members = stored(large.select("node", "label").distinct(), "members")
+    third = _merged(_verified(_across(members, sets, similarity), sets, similarity), members)
+    final = _labelled(classes.select(F.col("name").alias("node"), "doc_id"), labels)
+    final = _lifted(_lifted(final, second), third)
     least = final.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = final.select("label", F.col("node").alias("name")).join(least, "label")
     return (
