@@ -65,17 +65,21 @@ def rarity(texts: DataFrame) -> bytes:
 
 
 def _keys(line: str, levels: bytes) -> Column:
-    """The distinct words of a line as numbers, rarest first."""
+    """The distinct words of a line as numbers, rarest first.
+
+    Only the making of the numbers is a lambda; what follows runs compiled on longs,
+    which takes numbers that cannot be null.
+    """
     # Made once, when the plan is optimised; one literal for each level would not be.
     table = F.split(F.lit(" ".join(map(str, levels))), " ").cast("array<int>")
-    words = F.array_remove(_words(line), "")
-    hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
-    def key(h):
-        level = F.get(table, _bucket(h))
+    def key(word):
+        h = F.xxhash64(word)
+        level = F.coalesce(F.get(table, _bucket(h)), F.lit(1))
         return F.shiftleft(level.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    return F.sort_array(F.transform(hashes, key))
+    keys = F.array_distinct(F.transform(_words(line), key))
+    return F.sort_array(F.array_remove(keys, key(F.lit(""))))
 
 
 def _has_words(line: str) -> Column:
@@ -209,9 +213,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, levels: bytes, similarity: int)
     )
     places = stored(places, "places")
     # Other texts with the id of a wanted one may add sets; no pair has their spots.
+    # Places are distinct. A semi join would be moved below the filter by the optimiser.
     sets = (
         _filtered(_lines(docs).drop("twin"), places)
-        .join(places, ["doc_id", "line_no"], "left_semi")
+        .join(places, ["doc_id", "line_no"])
         .withColumn("keys", _keys("line", levels))
         .withColumn("name", _name())
         .select("doc_id", _spot().alias("spot"), "keys")
@@ -273,6 +278,7 @@ def removed_lines(
         )
         .select("place.*", "n", "prefix", "parity")
     )
+    classes = stored(classes, "classes")
     pairs = stored(_candidates(classes, similarity), "pairs")
     checked = stored(_verified(pairs, docs, levels, similarity), "checked")
     later = checked.where("alike").select("y_doc", "y_spot").distinct()
@@ -283,12 +289,12 @@ def removed_lines(
     )
     open_ = stored(open_, "open")
     if not open_.isEmpty():
-        again = lines.join(
+        again = classes.join(
             open_.select(F.col("y_doc").alias("doc_id"), F.col("y_spot").alias("spot")),
             ["doc_id", "spot"], "left_semi",
         )
         asking = _prefix_rows(again)
-        earlier = _filtered(_prefix_rows(joinable), asking.select("word"))
+        earlier = _filtered(_prefix_rows(classes), asking.select("word"))
         more = (
             asking.alias("y").join(earlier.alias("x"), "word")
             .where(_before("x", "y") & _passes("x", "y", similarity))
