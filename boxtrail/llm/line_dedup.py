@@ -70,13 +70,14 @@ def _keys(line: str, levels: bytes) -> Column:
     Only the making of the numbers is a lambda; what follows runs compiled on longs,
     which takes numbers that cannot be null.
     """
-    # Made once, when the plan is optimised; one literal for each level would not be.
-    table = F.split(F.lit(" ".join(map(str, levels))), " ").cast("array<int>")
+    # Levels in their place in a key. Made once, when the plan is optimised; one literal
+    # for each level would not be.
+    table = F.split(F.lit(" ".join(str(v << 56) for v in levels)), " ").cast("array<long>")
 
     def key(word):
         h = F.xxhash64(word)
-        level = F.coalesce(F.get(table, _bucket(h)), F.lit(1))
-        return F.shiftleft(level.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+        level = F.coalesce(F.get(table, _bucket(h)), F.lit(1 << 56))
+        return level.bitwiseOR(F.shiftrightunsigned(h, 8))
 
     keys = F.array_distinct(F.transform(_words(line), key))
     return F.sort_array(F.array_remove(keys, key(F.lit(""))))
@@ -268,15 +269,15 @@ def removed_lines(
     )
     lines = stored(lines, "lines").withColumn("spot", _spot())
     # A set of n words resembles another one only if n / (n + 1) reaches the similarity.
-    joinable = lines.where((100 - similarity) * n >= similarity)
+    joins = (100 - similarity) * n >= similarity
     classes = (
-        joinable.groupBy("name", "n")
+        lines.where(joins).groupBy("name", "n")
         .agg(
             F.min(F.struct("doc_id", "spot")).alias("place"),
             F.first("prefix").alias("prefix"),
             F.first("parity").alias("parity"),
         )
-        .select("place.*", "n", "prefix", "parity")
+        .select("place.*", "name", "n", "prefix", "parity")
     )
     classes = stored(classes, "classes")
     pairs = stored(_candidates(classes, similarity), "pairs")
@@ -304,10 +305,12 @@ def removed_lines(
         more = _verified(stored(more, "pairs"), docs, levels, similarity)
         later = later.union(more.where("alike").select("y_doc", "y_spot")).distinct()
 
-    first = lines.groupBy("name", "n").agg(F.min(F.struct("doc_id", "spot")).alias("place"))
-    first = first.select(
-        "name", "n", F.col("place.doc_id").alias("y_doc"), F.col("place.spot").alias("y_spot")
+    short = (
+        lines.where(~joins).groupBy("name", "n")
+        .agg(F.min(F.struct("doc_id", "spot")).alias("place")).select("place.*", "name", "n")
     )
+    first = short.unionByName(classes.select("doc_id", "spot", "name", "n"))
+    first = first.withColumnsRenamed({"doc_id": "y_doc", "spot": "y_spot"})
     marked = first.join(
         later.withColumn("later", F.lit(True)), ["y_doc", "y_spot"], "left"
     )
