@@ -195,7 +195,9 @@ def log_weight(
             for part in words.slices(batch, "text"):
                 hashes, of = hashed_words(part["text"])
                 buckets, owner = features(hashes, of)
+                # Without any owner the sums would come as whole numbers.
                 weight = np.bincount(owner, weights=ratios[buckets], minlength=len(part))
+                weight = weight.astype(np.float64)
                 if marks is not None and len(marks):
                     place = np.minimum(np.searchsorted(marks, hashes), len(marks) - 1)
                     weight[np.unique(of[marks[place] == hashes])] -= MARKED
