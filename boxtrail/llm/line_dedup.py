@@ -83,6 +83,17 @@ def _keys(line: str, levels: bytes) -> Column:
     return F.sort_array(F.array_remove(keys, key(F.lit(""))))
 
 
+def _parity(keys: str) -> Column:
+    """64 bits, of which each is the parity of the words whose hash ends in its number."""
+    bit = F.lit(1).cast("long")
+    return F.aggregate(
+        keys, F.lit(0).cast("long"),
+        lambda a, k: a.bitwiseXOR(
+            F.call_function("shiftleft", bit, k.bitwiseAND(F.lit(63)).cast("int"))
+        ),
+    )
+
+
 def _has_words(line: str) -> Column:
     """Asked of the line itself: a filter on its keys would have Spark make them twice."""
     return F.col(line).rlike(f"[^ {_RARE_SPACES}]")
@@ -248,6 +259,9 @@ def removed_lines(
     levels = rarity(docs)
     n = F.col("n")
     size = n - _ceil(similarity * n, 100) + 1
+    # A set of n words resembles another one only if n / (n + 1) reaches the similarity.
+    # Smaller ones are only held against equal sets, by name.
+    joins = (100 - similarity) * n >= similarity
     lines = (
         _lines(docs)
         .where(_has_words("line"))
@@ -256,20 +270,12 @@ def removed_lines(
         .withColumn("name", _name())
         .select(
             "doc_id", "twin", "line_no", "n", "name",
-            F.transform(F.slice("keys", F.lit(1), size), lambda k: F.hash(k)).alias("prefix"),
-            F.aggregate(
-                "keys", F.lit(0).cast("long"),
-                lambda a, k: a.bitwiseXOR(
-                    F.call_function(
-                        "shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int")
-                    )
-                ),
-            ).alias("parity"),
+            F.when(joins, F.transform(F.slice("keys", F.lit(1), size), lambda k: F.hash(k)))
+            .alias("prefix"),
+            F.when(joins, _parity("keys")).alias("parity"),
         )
     )
     lines = stored(lines, "lines").withColumn("spot", _spot())
-    # A set of n words resembles another one only if n / (n + 1) reaches the similarity.
-    joins = (100 - similarity) * n >= similarity
     classes = (
         lines.where(joins).groupBy("name", "n")
         .agg(
