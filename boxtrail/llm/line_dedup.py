@@ -23,6 +23,9 @@ and their rarity, classes by 64 bits and the size.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from boxtrail.llm.common import column, packed, stored, unpacked
@@ -41,12 +44,17 @@ _RARE_SPACES = "\t\x0b\f\r"
 def _words(line: str) -> Column:
     """The words of a line among empty strings; splitting at one character is fast."""
     plain = F.translate(line, _RARE_SPACES, " " * len(_RARE_SPACES))
-    odd = F.col(line).rlike(f"[{_RARE_SPACES}]")
+    odd = reduce(or_, [F.col(line).contains(c) for c in _RARE_SPACES])
     return F.split(F.when(odd, plain).otherwise(F.col(line)), " ")
 
 
-def _bucket(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 64 - BUCKETS.bit_length() + 1).cast("int")
+def _short(word: Column) -> Column:
+    """56 bits of a word's hash."""
+    return F.shiftrightunsigned(F.xxhash64(word), 8)
+
+
+def _bucket(short: Column) -> Column:
+    return F.shiftrightunsigned(short, 56 - BUCKETS.bit_length() + 1).cast("int")
 
 
 def rarity(texts: DataFrame) -> bytes:
@@ -55,7 +63,7 @@ def rarity(texts: DataFrame) -> bytes:
         texts.select(F.explode(F.split("text", "\n")).alias("line"))
         .select(F.explode(_words("line")).alias("word"))
         .where("word <> ''")
-        .groupBy(_bucket(F.xxhash64("word")).alias("bucket"))
+        .groupBy(_bucket(_short(F.col("word"))).alias("bucket"))
         .agg(F.least(F.lit(127), 1 + F.floor(4 * F.log2(F.count("*")))).cast("int").alias("level"))
     )
     levels = bytearray(b"\x01" * BUCKETS)
@@ -67,20 +75,18 @@ def rarity(texts: DataFrame) -> bytes:
 def _keys(line: str, levels: bytes) -> Column:
     """The distinct words of a line as numbers, rarest first.
 
-    Only the making of the numbers is a lambda; what follows runs compiled on longs,
-    which takes numbers that cannot be null.
+    Only the making of the numbers is in lambdas, which are not compiled and make no use
+    of what they have made already: each word is hashed in one, and each distinct hash
+    gets its level in another. What follows runs compiled on longs, which takes numbers
+    that cannot be null.
     """
     # Levels in their place in a key. Made once, when the plan is optimised; one literal
     # for each level would not be.
     table = F.split(F.lit(" ".join(str(v << 56) for v in levels)), " ").cast("array<long>")
-
-    def key(word):
-        h = F.xxhash64(word)
-        level = F.coalesce(F.get(table, _bucket(h)), F.lit(1 << 56))
-        return level.bitwiseOR(F.shiftrightunsigned(h, 8))
-
-    keys = F.array_distinct(F.transform(_words(line), key))
-    return F.sort_array(F.array_remove(keys, key(F.lit(""))))
+    hashes = F.array_distinct(F.transform(_words(line), _short))
+    level = lambda h: F.coalesce(F.get(table, _bucket(h)), F.lit(1 << 56))
+    rows = F.array_remove(hashes, _short(F.lit("")))
+    return F.sort_array(F.transform(rows, lambda h: level(h).bitwiseOR(h)))
 
 
 def _parity(keys: str) -> Column:
