@@ -16,6 +16,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -29,7 +30,7 @@ from boxtrail.operators.ledger import (
     start_log,
 )
 from boxtrail.operators.link import ORIGIN_KEYS
-from boxtrail.operators.lookups import left_lookup
+from boxtrail.operators.lookups import left_lookup, one_per_key
 from boxtrail.operators.merge import new_rows
 from boxtrail.operators.payloads import schedule_origin, slaughtered_animals
 from boxtrail.operators.sales import traced_sales
@@ -155,17 +156,44 @@ def _clock(clock: dt.datetime | None):
     return F.lit(clock or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
 
 
+def _months(rows: DataFrame) -> set[str]:
+    """Months as values, so that a scan's own filter leaves the other folders out. One
+    row per month folder comes to the driver, which lists these folders anyway."""
+    return {month for (month,) in rows.select(MONTH).distinct().collect()}
+
+
+def _empty_folders(rows: DataFrame) -> None:
+    """Replace the folders of a table's rows by ones without rows, which a dynamic
+    overwrite cannot do."""
+    file = F.col("_metadata.file_path")
+    folders = rows.select(F.regexp_replace(file, "/[^/]*$", "").alias("f")).distinct()
+    none = rows.drop(*STATE_PARTITIONS).limit(0)
+    for (folder,) in folders.collect():  # one row per month folder
+        none.write.mode("overwrite").parquet(unquote(folder))
+
+
 def store_proc_boxes(spark: SparkSession, root: str, rows: DataFrame, token: str, columns) -> None:
-    """Merge rows into the result table. Only the months they fall in are read
-    and replaced, as the production day of a box does not change."""
-    source = with_month(rows, "dt_producao")
+    """Merge rows into the result table, where an id has one row.
+
+    A box whose production day has moved to another month moves too. Read and replaced
+    are the months the rows fall in and those that hold one of their ids; to find these,
+    only the ids of the tenant's other months are read. The new place is written before
+    the old one is given up, so a run that fails in between can be repeated.
+    """
+    source = materialise(with_month(rows, "dt_producao"), "proc_novas")
     target = read_or_empty(spark, root, "proc_caixas", _schema(PROC_BOX)).filter(
         F.col("token_cliente") == F.lit(token)
     )
-    months = source.select(MONTH).distinct()
-    target = target.join(months, MONTH, "left_semi").select(*target.columns)
-    merged = materialise(trace.merge_proc(target, source, columns), "proc_caixas")
+    months = _months(source)
+    elsewhere = target.filter(~F.col(MONTH).isin(*months)).select("id", MONTH)
+    months |= _months(elsewhere.join(source.select("id"), "id", "left_semi"))
+    touched = target.filter(F.col(MONTH).isin(*months))
+    known = one_per_key(touched, ["id"], newest="updated_at")
+    merged = materialise(trace.merge_proc(known, source, columns), "proc_caixas")
     replace_partitions(merged, lake_path(root, "proc_caixas"))
+    emptied = months - _months(merged)
+    if emptied:
+        _empty_folders(touched.filter(F.col(MONTH).isin(*emptied)))
 
 
 def run_trace(

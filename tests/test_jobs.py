@@ -99,6 +99,71 @@ def test_trace_of_one_period_reads_and_writes_its_month(spark, lake):
     assert rows(spark.read.parquet(lake_path(lake, "proc_caixas")), "id") == [("b1",), ("b2",)]
 
 
+def move_box(spark, lake, box, day):
+    """Give a box another production day and open it again."""
+    found = jobs.read_state(spark, lake, "bt_caixas")
+    moved = F.col("id") == box
+    found = found.drop(jobs.MONTH).withColumns({
+        "dt_producao": F.when(moved, F.lit(day)).otherwise(F.col("dt_producao")),
+        "flag_processamento": F.when(moved, False).otherwise(F.col("flag_processamento")),
+    })
+    held = jobs.materialise(found, "moved")
+    jobs.write_partitioned(
+        jobs.with_month(held, "dt_producao"), lake_path(lake, "bt_caixas"),
+        jobs.STATE_PARTITIONS, mode="overwrite",
+    )
+
+
+@pytest.mark.parametrize("tenant", ["007", "a b/c=%2F"])
+def test_a_box_that_moves_to_another_month_keeps_one_row(spark, lake, tenant):
+    for table in ("bt_caixas", "bt_desossa", "bt_animais"):
+        held = spark.read.schema(
+            jobs.read_state(spark, lake, table).schema
+        ).parquet(lake_path(lake, table)).replace("007", tenant, ["token_cliente"])
+        held = jobs.materialise(held, table)
+        held.write.mode("overwrite").partitionBy(
+            *(jobs.STATE_PARTITIONS if table == "bt_caixas" else ())
+        ).option("partitionOverwriteMode", "static").parquet(lake_path(lake, table))
+
+    def proc():
+        return jobs.read_state(spark, lake, "proc_caixas")
+
+    run(spark, lake, "trace", "--token", tenant)
+    assert rows(proc(), "id", jobs.MONTH) == [("b1", "202403"), ("b2", "202404")]
+    created = by_id(proc(), "created_at")
+    move_box(spark, lake, "b2", dt.date(2024, 3, 20))
+    run(spark, lake, "trace", "--token", tenant, "--dt-producao-de", "2024-03-01",
+        "--dt-producao-ate", "2024-03-31")
+    assert rows(proc(), "id", jobs.MONTH) == [("b1", "202403"), ("b2", "202403")]
+    assert by_id(proc(), "created_at") == created
+    # a month left by one box and held by none is written again later
+    move_box(spark, lake, "b1", dt.date(2024, 4, 20))
+    run(spark, lake, "trace", "--token", tenant)
+    assert rows(proc(), "id", jobs.MONTH) == [("b1", "202404"), ("b2", "202403")]
+
+
+def test_an_id_stored_in_two_months_is_mended(spark, lake):
+    run(spark, lake, "trace", "--token", "007")
+    path = lake_path(lake, "proc_caixas")
+    old = jobs.read_state(spark, lake, "proc_caixas").filter("id = 'b2'")
+    old = jobs.materialise(old.withColumn(jobs.MONTH, F.lit("202401")), "old")
+    jobs.replace_partitions(old, path)
+    run(spark, lake, "trace", "--token", "007", "--reset-flags")
+    got = jobs.read_state(spark, lake, "proc_caixas")
+    assert rows(got, "id", jobs.MONTH) == [("b1", "202403"), ("b2", "202404")]
+
+
+def test_months_of_other_boxes_are_not_rewritten(spark, lake):
+    run(spark, lake, "trace", "--token", "007")
+    found = jobs.read_state(spark, lake, "proc_caixas")
+    held = {m: f for m, f in found.select(jobs.MONTH, "_metadata.file_path").collect()}
+    run(spark, lake, "trace", "--token", "007", "--reset-flags", "--dt-producao-de", "2024-03-01",
+        "--dt-producao-ate", "2024-03-31")
+    found = jobs.read_state(spark, lake, "proc_caixas")
+    now = {m: f for m, f in found.select(jobs.MONTH, "_metadata.file_path").collect()}
+    assert now["202404"] == held["202404"] and now["202403"] != held["202403"]
+
+
 def test_single_modes(spark, lake):
     run(spark, lake, "trace", "--token", "007", "--modo", "desossa")
     assert state(spark, lake)["b1"] == (False, True, None, None, None)
