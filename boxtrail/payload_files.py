@@ -2,10 +2,13 @@
 
 Each document is built from one source row, so writing them needs no
 grouping. Files lie in folders ``lote=...``, as they would arrive in batches.
+Whole files hold the documents of a run of keys. All are compressed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,9 +18,12 @@ from boxtrail.session import scratch_path
 
 LOT = "lote"
 
+#: Where a document takes its columns from: the row, or a struct that holds one.
+Source = Callable[[str], Column]
 
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
+
+def _text(name: str, c: Source = F.col) -> Column:
+    return c(name).cast("string")
 
 
 def _number_or_text(bad: Column, number: Column) -> Column:
@@ -29,52 +35,55 @@ def _order_lot() -> Column:
     return F.concat("o_orderstatus", F.substring("o_orderpriority", 1, 1)).alias(LOT)
 
 
-def simple_animals(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
-    """Ten-field animals; some lack the id or the tag."""
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    return table(spark, sf_dir, "orders").select(
-        F.when(~((status == "P") & (priority == "5-LOW")), _text("o_orderkey")).alias("id"),
+def _simple_animal(c: Source) -> list[Column]:
+    status, priority = c("o_orderstatus"), c("o_orderpriority")
+    return [
+        F.when(~((status == "P") & (priority == "5-LOW")), _text("o_orderkey", c)).alias("id"),
         F.when(
             ~((status == "O") & (priority == "4-NOT SPECIFIED")),
-            F.concat(F.lit("B"), _text("o_custkey")),
+            F.concat(F.lit("B"), _text("o_custkey", c)),
         ).alias("identificacao"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("data_nascimento"),
+        F.date_format(c("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss").alias("data_nascimento"),
         F.when(status == "F", "F").otherwise("M").alias("sexo"),
         priority.alias("raca"),
-        F.col("o_totalprice").alias("peso"),
-        _text("o_custkey").alias("propriedade_id"),
+        c("o_totalprice").alias("peso"),
+        _text("o_custkey", c).alias("propriedade_id"),
         F.struct(status.alias("codigo")).alias("status"),
-        _order_lot(),
-        *keep,
-    )
+    ]
 
 
-def animal_envelopes(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
-    """Two animals per document. In one lot every id is missing; with one
-    priority the second animal has a text for its breed; with another the
-    document has no animals at all."""
-    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+def simple_animals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-field animals; some lack the id or the tag."""
+    return table(spark, sf_dir, "orders").select(*_simple_animal(F.col), _order_lot())
+
+
+def _envelope(c: Source) -> Column:
+    priority, status = c("o_orderpriority"), c("o_orderstatus")
     no_id = (status == "P") & (priority == "5-LOW")
 
     def animal(n: int) -> Column:
         bad_breed = F.lit(n == 2) & (priority == "2-HIGH")
-        day = F.date_format("o_orderdate", "yyyy-MM-dd")
+        day = F.date_format(c("o_orderdate"), "yyyy-MM-dd")
         return F.struct(
-            F.when(~no_id, F.concat(_text("o_orderkey"), F.lit(f"-{n}"))).alias("id"),
-            _text("o_custkey").alias("codigo_fazenda"),
+            F.when(~no_id, F.concat(_text("o_orderkey", c), F.lit(f"-{n}"))).alias("id"),
+            _text("o_custkey", c).alias("codigo_fazenda"),
             F.lit(n).alias("tipo_animal"),
-            _number_or_text(bad_breed, F.col("o_custkey") % 10).alias("raca"),
+            _number_or_text(bad_breed, c("o_custkey") % 10).alias("raca"),
             (day if n == 1 else F.concat(day, F.lit("T03:00:00Z"))).alias("data_nascimento"),
             F.lit("sem data").alias("data_entrada"),
             F.struct(F.lit(n).alias("id"), status.alias("descricao")).alias("classificacao"),
             F.when(F.lit(n == 1), F.struct(status.alias("nota"))).alias("observacoes"),
-            F.round("o_totalprice", 0).cast("bigint").alias("peso_atual"),
+            F.round(c("o_totalprice"), 0).cast("bigint").alias("peso_atual"),
         )
 
-    both = F.array(animal(1), animal(2))
-    return table(spark, sf_dir, "orders").select(
-        F.when(priority != "3-MEDIUM", both).alias("animais"), _order_lot(), *keep
-    )
+    return F.when(priority != "3-MEDIUM", F.array(animal(1), animal(2)))
+
+
+def animal_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two animals per document. In one lot every id is missing; with one
+    priority the second animal has a text for its breed; with another the
+    document has no animals at all."""
+    return table(spark, sf_dir, "orders").select(_envelope(F.col).alias("animais"), _order_lot())
 
 
 def slaughter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,28 +114,34 @@ def slaughter_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flat_animals(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
-    """Flat raw animals; one segment lacks the id, another has a bad weight."""
-    segment = F.col("c_mktsegment")
-    return table(spark, sf_dir, "customer").select(
-        F.when(segment != "MACHINERY", F.concat(F.lit("A"), _text("c_custkey"))).alias("id_animal"),
+def _flat_animal(c: Source) -> list[Column]:
+    segment = c("c_mktsegment")
+    return [
+        F.when(
+            segment != "MACHINERY", F.concat(F.lit("A"), _text("c_custkey", c))
+        ).alias("id_animal"),
         F.date_format(
-            F.date_add(F.lit("2020-01-01").cast("date"), F.col("c_nationkey")), "yyyy-MM-dd"
+            F.date_add(F.lit("2020-01-01").cast("date"), c("c_nationkey")), "yyyy-MM-dd"
         ).alias("data_nascimento"),
-        F.col("c_name").alias("id_propriedade"),
-        F.when(F.col("c_nationkey") % 2 == 0, "M").otherwise("F").alias("sexo"),
+        c("c_name").alias("id_propriedade"),
+        F.when(c("c_nationkey") % 2 == 0, "M").otherwise("F").alias("sexo"),
         segment.alias("raca"),
-        _number_or_text(segment == "FURNITURE", F.col("c_acctbal")).alias("peso_nascimento"),
+        _number_or_text(segment == "FURNITURE", c("c_acctbal")).alias("peso_nascimento"),
         F.lit("ativo").alias("status"),
         F.struct(
-            (F.col("c_acctbal") > 0).alias("vacinado"),
+            (c("c_acctbal") > 0).alias("vacinado"),
             F.array(F.struct(F.lit("V1").alias("tipo"), F.lit("2020-02-02").alias("data"))).alias(
                 "vacinas"
             ),
-            F.col("c_name").alias("observacoes"),
+            c("c_name").alias("observacoes"),
         ).alias("dados_adicionais"),
-        segment.alias(LOT),
-        *keep,
+    ]
+
+
+def flat_animals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat raw animals; one segment lacks the id, another has a bad weight."""
+    return table(spark, sf_dir, "customer").select(
+        *_flat_animal(F.col), F.col("c_mktsegment").alias(LOT)
     )
 
 
@@ -165,47 +180,93 @@ def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Documents in one pretty-printed file.
-PER_FILE = 200
+#: Documents in one pretty-printed file: a few megabytes, as making and opening a file
+#: takes as long as writing or reading some hundreds of documents.
+PER_FILE = 2000
 FILE_NR = "nr"
+#: Pretty-printed files in one folder. One task writes a folder, one task lists it.
+PER_FOLDER = 10
+FOLDER = "pasta"
+#: Documents in one file with a document per line. Compressed files cannot be split.
+PER_LINES_FILE = 100_000
+#: Folders a task writes to at once, before it sorts its rows by folder instead.
+OPEN_FOLDERS = 32
+
+
+def _by_file(rows: DataFrame, key: str, *more: str) -> DataFrame:
+    """One row per file, with its rows as the array ``d``, ordered by folder.
+
+    Files hold runs of the key, so that none gets more than ``PER_FILE`` different
+    ones. The rows are moved and sorted as they are; documents, which are many times
+    as large, are to be made of ``d`` afterwards.
+    """
+    nr = F.floor(F.col(key).cast("bigint") / PER_FILE)
+    placed = rows.select(
+        F.struct(*rows.columns).alias("r"),
+        nr.alias(FILE_NR),
+        F.floor(nr / PER_FOLDER).alias(FOLDER),
+        *more,
+    )
+    files = placed.repartition(FOLDER).groupBy(FOLDER, FILE_NR, *more)
+    return files.agg(F.collect_list("r").alias("d")).sortWithinPartitions(FOLDER)
 
 
-def _file_nr(key: str) -> Column:
-    """Files hold runs of the key, so that none gets more than ``PER_FILE`` rows."""
-    return F.floor(F.col(key).cast("bigint") / PER_FILE).alias(FILE_NR)
+def _pretty(documents: Column) -> Column:
+    return F.to_json(documents, {"pretty": "true"}).alias("value")
 
 
 def simple_animal_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-field animals as pretty-printed top-level arrays, the text of a file each."""
-    docs = simple_animals(spark, sf_dir, keep=("o_orderkey",))
-    fields = [c for c in docs.columns if c not in (LOT, "o_orderkey")]
-    files = docs.groupBy(_file_nr("o_orderkey")).agg(F.collect_list(F.struct(*fields)).alias("d"))
-    return files.select(F.to_json("d", {"pretty": "true"}).alias("value"), FILE_NR)
+    files = _by_file(table(spark, sf_dir, "orders"), "o_orderkey")
+    animals = F.transform("d", lambda r: F.struct(*_simple_animal(r.getField)))
+    return files.select(_pretty(animals), FOLDER)
 
 
 def animal_envelope_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One envelope per file, with the animals of many orders."""
-    docs = animal_envelopes(spark, sf_dir, keep=("o_orderkey",))
-    return docs.groupBy(_file_nr("o_orderkey")).agg(
-        F.flatten(F.collect_list("animais")).alias("animais")
-    )
+    files = _by_file(table(spark, sf_dir, "orders"), "o_orderkey")
+    both = F.array_compact(F.transform("d", lambda r: _envelope(r.getField)))
+    return files.select(F.flatten(both).alias("animais"), FOLDER)
+
+
+def flat_animal_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat animals of one segment as a pretty-printed array, the text of a file each.
+
+    What does not fit the schema makes its whole array unreadable. Bad weights, which
+    are those of one segment, are therefore in files of their own.
+    """
+    files = _by_file(table(spark, sf_dir, "customer"), "c_custkey", "c_mktsegment")
+    animals = F.transform("d", lambda r: F.struct(*_flat_animal(r.getField)))
+    return files.select(_pretty(animals), FOLDER)
 
 
-def flat_animal_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flat animal per file."""
-    docs = flat_animals(spark, sf_dir, keep=("c_custkey",))
-    return docs.drop(LOT).withColumnRenamed("c_custkey", FILE_NR)
+@contextmanager
+def _folders_at_once(spark: SparkSession) -> Iterator[None]:
+    """Tasks write to all their folders as rows come, instead of sorting documents."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, OPEN_FOLDERS)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, old)
 
 
 @cache
 def _written(app: str, spark: SparkSession, sf_dir: str, build) -> str:
     path = scratch_path(spark, build.__name__)
     rows = build(spark, sf_dir)
+    writer = rows.write.mode("error").option("compression", "snappy")
     if LOT in rows.columns:
-        rows.write.mode("error").partitionBy(LOT).json(path)
+        with _folders_at_once(spark):
+            writer.partitionBy(LOT).option("maxRecordsPerFile", PER_LINES_FILE).json(path)
         return path
-    writer = rows.repartition(FILE_NR).write.mode("error").partitionBy(FILE_NR)
-    if rows.columns == ["value", FILE_NR]:
+    # each row is a file
+    writer = writer.partitionBy(FOLDER).option("maxRecordsPerFile", 1)
+    if rows.columns == ["value", FOLDER]:
         writer.text(path)
     else:
         writer.option("pretty", True).json(path)

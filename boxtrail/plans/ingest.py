@@ -38,6 +38,7 @@ from boxtrail.schemas import (
 )
 from boxtrail.sources.json_files import (
     FILE,
+    JSON_GLOB,
     envelope,
     every_file,
     open_envelope,
@@ -130,17 +131,20 @@ def ingest(
     strict: bool = False,
     loaded: DataFrame | None = None,
     note_empty: bool = True,
+    glob: str = JSON_GLOB,
     materialise: Callable[[DataFrame], DataFrame] = _as_is,
 ) -> Ingest:
     """Read every pending file once and split its rows.
 
     ``loaded`` is an earlier ledger, whose files are left out. ``strict``
     drops all rows of a file that has an invalid one. ``note_empty`` puts files
-    without a byte on the ledger, as failed. ``materialise`` writes
+    without a byte on the ledger, as failed. ``glob`` names the files. ``materialise`` writes
     the checked rows as a table, so that the four results share one parse.
     """
-    docs = scan_json(spark, path, payload.schema, multi_line=multi_line, diagnostics=True)
-    files = (every_file if note_empty else pending_files)(spark, path).select(FILE)
+    docs = scan_json(
+        spark, path, payload.schema, multi_line=multi_line, diagnostics=True, glob=glob
+    )
+    files = (every_file if note_empty else pending_files)(spark, path, glob).select(FILE)
     if loaded is not None:
         docs, files = not_loaded(docs, loaded), not_loaded(files, loaded)
     staged = materialise(payload.check(docs))

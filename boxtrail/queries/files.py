@@ -25,6 +25,10 @@ from boxtrail.sources import json_files as src, lake
 from boxtrail.streaming.ingest_stream import read_pending, start_ingest_stream
 
 
+#: Arrays are written as the text of a file.
+WHOLE_ARRAYS = "*.txt.snappy"
+
+
 def _lot(path):
     return F.regexp_extract(path, f"/{pf.LOT}=([^/]*)/", 1)
 
@@ -63,7 +67,7 @@ def json_scan(spark, sf):
 def json_scan_whole(spark, sf):
     """Files with a pretty-printed top-level array each."""
     path = pf.payload_dir(spark, sf, pf.simple_animal_arrays)
-    rows = src.scan_json(spark, path, SIMPLE_ANIMAL, glob="*.txt")
+    rows = src.scan_json(spark, path, SIMPLE_ANIMAL, glob=WHOLE_ARRAYS)
     # nested JSON keeps the text of the file, line breaks and all
     return _simple_columns(rows.withColumn("status", F.to_json(F.parse_json("status"))))
 
@@ -403,9 +407,10 @@ def raw_animal_ingest(spark, sf):
     f"WITH {_RAW} SELECT * FROM raw WHERE raca NOT IN ('MACHINERY', 'FURNITURE')",
 )
 def raw_animal_ingest_whole(spark, sf):
-    """One pretty-printed animal per file."""
-    path = pf.payload_dir(spark, sf, pf.flat_animal_objects)
-    return _raw_columns(ingest.ingest(spark, path, ingest.raw_animals()).rows)
+    """Files with a pretty-printed top-level array each."""
+    path = pf.payload_dir(spark, sf, pf.flat_animal_arrays)
+    run = ingest.ingest(spark, path, ingest.raw_animals(), glob=WHOLE_ARRAYS)
+    return _raw_columns(run.rows)
 
 
 @query(

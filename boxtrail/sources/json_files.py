@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from boxtrail.sources.listing import FILE, listed_files
 
-JSON_GLOB = "*.[jJ][sS][oO][nN]"
+#: Plain files and compressed ones.
+JSON_GLOB = "*.[jJ][sS][oO][nN]{,.gz,.snappy}"
 CORRUPT = "_corrupt_record"
 _PATH = "_metadata.file_path"
 
@@ -38,7 +39,8 @@ def scan_json(
 
     ``multi_line`` is for pretty-printed files and arrays. Such a file is read by
     one task, and Spark packs many small ones into a task. Files with one document
-    per line read faster without it, as Spark can split them. ``diagnostics`` adds the file's path and, where a document
+    per line read faster without it, as Spark can split them unless they are
+    compressed. ``diagnostics`` adds the file's path and, where a document
     does not fit the schema, its text.
     """
     reader = _reader(spark, multi_line, glob)
@@ -97,11 +99,13 @@ def list_files(
     )
 
 
-def pending_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def pending_files(
+    spark: SparkSession, path: str | list[str], glob: str = JSON_GLOB
+) -> DataFrame:
     """JSON files directly in the folder, whatever the case of the suffix."""
-    return list_files(spark, path, JSON_GLOB)
+    return list_files(spark, path, glob)
 
 
-def every_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def every_file(spark: SparkSession, path: str | list[str], glob: str = JSON_GLOB) -> DataFrame:
     """Pending JSON files, those without a single byte too, which no scan returns."""
-    return listed_files(spark, path, JSON_GLOB)
+    return listed_files(spark, path, glob)

@@ -102,14 +102,22 @@ def _roots(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.createDataFrame([(qualified(spark, p),) for p in paths], f"{FILE} string")
 
 
+def _pattern(glob: str) -> str:
+    """A regular expression for a glob as scans take it: ``{a,b}`` is one of these."""
+    choice = re.search(r"\{([^{}]*)\}", glob)
+    if choice:
+        before, after = glob[: choice.start()], glob[choice.end() :]
+        return "|".join(_pattern(before + one + after) for one in choice[1].split(","))
+    return "^" + fnmatch.translate(glob).removeprefix("(?s:").removesuffix(r")\Z") + "$"
+
+
 def listed_files(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
     """Path, name, size and time of the files a scan of the folders would look at,
     and of those without a byte: directly in them and in partition folders."""
     first = _roots(spark, path).mapInArrow(_tasks(deep=False), LISTED)
     folders = first.filter("pasta").select(FILE).repartition(FILE)
     every = first.unionByName(folders.mapInArrow(_tasks(deep=True), LISTED))
-    pattern = "^" + fnmatch.translate(glob).removeprefix("(?s:").removesuffix(r")\Z") + "$"
-    return every.filter(~F.col("pasta") & F.col("nome").rlike(pattern)).drop("pasta")
+    return every.filter(~F.col("pasta") & F.col("nome").rlike(_pattern(glob))).drop("pasta")
 
 
 def _parts(depth: int):
