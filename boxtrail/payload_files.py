@@ -232,10 +232,12 @@ def animal_envelope_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flat_animal_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat animals of one segment as a pretty-printed array, the text of a file each.
 
-    What does not fit the schema makes its whole array unreadable. Bad weights, which
-    are those of one segment, are therefore in files of their own.
+    There is one animal per key, as where each has a file named after its key. What does
+    not fit the schema makes its whole array unreadable. Bad weights, which are those of
+    one segment, are therefore in files of their own.
     """
-    files = _by_file(table(spark, sf_dir, "customer"), "c_custkey", "c_mktsegment")
+    customers = table(spark, sf_dir, "customer").dropDuplicates(["c_custkey"])
+    files = _by_file(customers, "c_custkey", "c_mktsegment")
     animals = F.transform("d", lambda r: F.struct(*_flat_animal(r.getField)))
     return files.select(_pretty(animals), FOLDER)
 
