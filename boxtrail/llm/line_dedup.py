@@ -10,11 +10,14 @@ where its first line does. Classes are joined by prefixes:
   (prefix filter), their sizes differ by a factor t at most (length filter), and from
   the places of the shared word the rest must still suffice (positional filter). A
   64-bit parity of the words' hashes bounds how many words they do not share.
-- Each class is first held against the earliest one with the same prefix word. Only
-  where these two fall through the filters are all earlier ones tried. A boilerplate
-  line in many variants thus costs one comparison for each variant and word.
-- Candidates are verified on their whole sets. A class whose only candidates were
-  first ones that verification refuted is tried again with all earlier ones.
+- Only rows of one word and of like sizes meet: sizes fall into bands, and a row that
+  can resemble a larger set of another band stands there, too.
+- Each class is first held against the earliest one with the same prefix word and
+  band. Only where these two fall through the filters are all earlier ones tried. A
+  boilerplate line in many variants thus costs one comparison for each variant and word.
+- Candidates are verified on their whole sets. A class that resembles none of its
+  candidates is tried again, with all earlier ones of the words and bands whose first
+  one verification refuted.
 
 A line goes if it is not the first of its class, or if its class resembles an earlier
 class. All steps are DataFrame operations. Words are compared by 56 bits of a hash
@@ -24,6 +27,7 @@ and their rarity, classes by 64 bits and the size.
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil, log
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -34,8 +38,12 @@ from boxtrail.llm.common import column, packed, stored, unpacked
 SIMILARITY = 90
 #: Hash buckets by which the frequency of words is counted.
 BUCKETS = 1 << 15
-#: Bits of the filter that keeps lines without a part in any pair from being moved.
-FILTER_BITS = 1 << 24
+#: Bits for each wanted value in the filter that keeps other lines from being moved.
+FILTER_BITS = 32
+#: Bits in one of Spark's bitmaps.
+BITMAP = 1 << 15
+#: The factor between the smallest sizes of two neighbouring bands.
+BAND = 1.25
 
 #: Spaces within a line, but for the space itself.
 _RARE_SPACES = "\t\x0b\f\r"
@@ -80,13 +88,23 @@ def _keys(line: str, levels: bytes) -> Column:
     gets its level in another. What follows runs compiled on longs, which takes numbers
     that cannot be null.
     """
-    # Levels in their place in a key. Made once, when the plan is optimised; one literal
-    # for each level would not be.
-    table = F.split(F.lit(" ".join(str(v << 56) for v in levels)), " ").cast("array<long>")
+    # Eight levels in a number, as plans on the driver hold and print this table. Made
+    # once, when the plan is optimised; one literal for each number would not be.
+    eights = [int.from_bytes(levels[k : k + 8], "big") for k in range(0, BUCKETS, 8)]
+    table = F.split(F.lit(" ".join(map(str, eights))), " ").cast("array<long>")
     hashes = F.array_distinct(F.transform(_words(line), _short))
-    level = lambda h: F.coalesce(F.get(table, _bucket(h)), F.lit(1 << 56))
+
+    def key(h):
+        """The level above the hash, which the other levels of its eight stir."""
+        bucket = F.shiftrightunsigned(h, 56 - BUCKETS.bit_length() + 1)
+        eight = F.coalesce(
+            F.get(table, F.shiftrightunsigned(bucket, 3).cast("int")), F.lit(0).cast("long")
+        )
+        bits = F.shiftleft(bucket, 3).bitwiseAND(F.lit(56)).cast("int")
+        return F.call_function("shiftleft", eight, bits).bitwiseXOR(h)
+
     rows = F.array_remove(hashes, _short(F.lit("")))
-    return F.sort_array(F.transform(rows, lambda h: level(h).bitwiseOR(h)))
+    return F.sort_array(F.transform(rows, key))
 
 
 def _parity(keys: str) -> Column:
@@ -131,15 +149,19 @@ def _ceil(value: Column, by: int) -> Column:
 
 
 def _passes(x: str, y: str, similarity: int) -> Column:
-    """Length, positional and parity filters on two prefix rows."""
+    """Length, positional and parity filters on two prefix rows.
+
+    Of n + m words, similar sets share similarity / (100 + similarity) or more.
+    """
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    least = _ceil(similarity * (n + m), 100 + similarity)
+    whole = F.lit(100 + similarity).cast("long")
+    shared = F.lit(similarity).cast("long") * (n + m)
     rest = F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos"))
     apart = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
     return (
         (100 * F.least(n, m) >= similarity * F.greatest(n, m))
-        & (rest >= least)
-        & (apart <= n + m - 2 * least)
+        & (whole * rest >= shared)
+        & (whole * (n + m - apart) >= 2 * shared)
     )
 
 
@@ -156,60 +178,76 @@ def _pair(x: str, y: str, *more) -> list:
     ]
 
 
-def _prefix_rows(classes: DataFrame) -> DataFrame:
-    """One filter for all uses, so that Spark deals the rows once for all of them."""
-    return classes.select(
-        "doc_id", "spot", "n", "parity", F.posexplode("prefix").alias("pos", "word")
-    ).where("word IS NOT NULL AND n IS NOT NULL AND parity IS NOT NULL")
+def _band(n: Column) -> Column:
+    return F.floor(F.ln(n) / log(BAND)).cast("int")
+
+
+def _prefix_rows(classes: DataFrame, similarity: int) -> DataFrame:
+    """A row for each prefix word and each band of sizes; `key` names both.
+
+    The bands are that of the class itself and those of larger sets which, by the
+    length and positional filters, the row may resemble.
+    """
+    n, left = F.col("n"), F.col("n") - F.col("pos")
+    largest = F.least(100 * n / similarity, left * ((100 + similarity) / similarity) - n)
+    # A little more, as these are floating-point numbers.
+    last = _band(F.greatest(n, F.floor(largest + 0.001)))
+    return (
+        classes.select("doc_id", "spot", "n", "parity", F.posexplode("prefix").alias("pos", "word"))
+        .withColumn("band", F.explode(F.sequence(_band(n), last)))
+        .withColumn("key", F.shiftleft(F.col("word").cast("long"), 16).bitwiseOR(F.col("band")))
+        .select("key", "doc_id", "spot", "n", "parity", "pos")
+        # One filter for all uses, so that Spark deals the rows once for all of them.
+        .where("key IS NOT NULL AND n IS NOT NULL AND parity IS NOT NULL")
+    )
 
 
 def _candidates(classes: DataFrame, similarity: int) -> DataFrame:
-    """Pairs that pass the filters; `first` marks those with the earliest of a word.
+    """Pairs that pass the filters; `keys` are those of which the former is the earliest.
 
-    Rows are dealt by word once, and sorted rows meet the earliest one without a join.
+    Rows are dealt by key once, and sorted rows meet the earliest one without a join.
     """
     columns = ("doc_id", "spot", "n", "parity", "pos")
-    rows = _prefix_rows(classes).repartition(F.col("word"))
-    so_far = Window.partitionBy("word").orderBy("doc_id", "spot").rowsBetween(
+    rows = _prefix_rows(classes, similarity).repartition(F.col("key"))
+    so_far = Window.partitionBy("key").orderBy("doc_id", "spot").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     held = (
-        rows.select("word", *columns, *[F.first(c).over(so_far).alias(f"e_{c}") for c in columns])
+        rows.select("key", *columns, *[F.first(c).over(so_far).alias(f"e_{c}") for c in columns])
         .select(
-            "word", F.struct(*columns).alias("y"),
+            "key", F.struct(*columns).alias("y"),
             F.struct(*[F.col(f"e_{c}").alias(c) for c in columns]).alias("x"),
         )
         .where(_before("x", "y"))
     )
     passes = _passes("x", "y", similarity)
-    first = held.where(passes).select(*_pair("x", "y", F.lit(True).alias("first")))
+    first = held.where(passes).select(*_pair("x", "y", "key"))
     others = (
-        held.where(~passes).select("word", "y").join(rows.alias("x"), "word")
+        held.where(~passes).select("key", "y").join(rows.alias("x"), "key")
         .where(_before("x", "y") & passes)
-        .select(*_pair("x", "y", F.lit(False).alias("first")))
+        .select(*_pair("x", "y", F.lit(None).cast("long").alias("key")))
     )
     return (
         first.union(others)
         .groupBy("x_doc", "x_spot", "y_doc", "y_spot")
-        .agg(F.max("first").alias("first"))
+        .agg(F.collect_set("key").alias("keys"))
     )
 
 
-def _bit(*columns: str) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS)) + 1
-
-
 def _filtered(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows that a bitmap of the wanted values, by all columns of `wanted`, lets pass.
 
-    The bitmap has FILTER_BITS bits, two megabytes, and is sent to all executors.
+    The bitmap has FILTER_BITS bits for each of them, so of other rows it lets the
+    same share pass whatever the input, and is sent to all executors.
     """
+    bits = BITMAP * ceil(FILTER_BITS * max(wanted.count(), 1) / BITMAP)
+    bit = F.pmod(F.xxhash64(*wanted.columns), F.lit(bits)) + 1
     maps = (
-        wanted.select(_bit(*wanted.columns).alias("p"))
+        wanted.select(bit.alias("p"))
         .groupBy(F.bitmap_bucket_number("p").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bitmap"))
     )
-    asked = rows.withColumn("p", _bit(*wanted.columns))
+    asked = rows.withColumn("p", bit)
     position = F.bitmap_bit_position("p")
     byte = F.substring("bitmap", F.floor(position / 8).cast("int") + 1, F.lit(1))
     value = F.conv(F.hex(byte), 16, 10).cast("int")
@@ -230,10 +268,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, levels: bytes, similarity: int)
         .distinct()
     )
     places = stored(places, "places")
+    ids = places.select("doc_id").distinct()
     # Other texts with the id of a wanted one may add sets; no pair has their spots.
     # Places are distinct. A semi join would be moved below the filter by the optimiser.
     sets = (
-        _filtered(_lines(docs).drop("twin"), places)
+        _filtered(_lines(_filtered(docs, ids)).drop("twin"), places)
         .join(places, ["doc_id", "line_no"])
         .withColumn("keys", _keys("line", levels))
         .withColumn("name", _name())
@@ -288,8 +327,9 @@ def removed_lines(
             F.min(F.struct("doc_id", "spot")).alias("place"),
             F.first("prefix").alias("prefix"),
             F.first("parity").alias("parity"),
+            F.count("*").alias("size"),
         )
-        .select("place.*", "name", "n", "prefix", "parity")
+        .select("place.*", "name", "n", "prefix", "parity", "size")
     )
     classes = stored(classes, "classes")
     pairs = stored(_candidates(classes, similarity), "pairs")
@@ -297,19 +337,19 @@ def removed_lines(
     later = checked.where("alike").select("y_doc", "y_spot").distinct()
 
     open_ = (
-        checked.where("first AND NOT alike").select("y_doc", "y_spot").distinct()
-        .join(later, ["y_doc", "y_spot"], "left_anti")
+        checked.where("NOT alike").select("y_doc", "y_spot", F.explode("keys").alias("key"))
+        .distinct().join(later, ["y_doc", "y_spot"], "left_anti")
+        .withColumnsRenamed({"y_doc": "doc_id", "y_spot": "spot"})
     )
     open_ = stored(open_, "open")
     if not open_.isEmpty():
-        again = classes.join(
-            open_.select(F.col("y_doc").alias("doc_id"), F.col("y_spot").alias("spot")),
-            ["doc_id", "spot"], "left_semi",
-        )
-        asking = _prefix_rows(again)
-        earlier = _filtered(_prefix_rows(classes), asking.select("word"))
+        again = classes.join(open_, ["doc_id", "spot"], "left_semi")
+        asking = _prefix_rows(again, similarity).join(open_, ["doc_id", "spot", "key"], "left_semi")
+        asking = stored(asking, "asking")
+        asked = stored(asking.select("key").distinct(), "asked")
+        earlier = _prefix_rows(classes, similarity).join(asked, "key", "left_semi")
         more = (
-            asking.alias("y").join(earlier.alias("x"), "word")
+            asking.alias("y").join(earlier.alias("x"), "key")
             .where(_before("x", "y") & _passes("x", "y", similarity))
             .select(*_pair("x", "y")).distinct()
             .join(checked, ["x_doc", "x_spot", "y_doc", "y_spot"], "left_anti")
@@ -319,13 +359,14 @@ def removed_lines(
 
     short = (
         lines.where(~joins).groupBy("name", "n")
-        .agg(F.min(F.struct("doc_id", "spot")).alias("place")).select("place.*", "name", "n")
+        .agg(F.min(F.struct("doc_id", "spot")).alias("place"), F.count("*").alias("size"))
+        .select("place.*", "name", "n", "size")
     )
-    first = short.unionByName(classes.select("doc_id", "spot", "name", "n"))
+    first = short.unionByName(classes.select("doc_id", "spot", "name", "n", "size"))
     first = first.withColumnsRenamed({"doc_id": "y_doc", "spot": "y_spot"})
     marked = first.join(
         later.withColumn("later", F.lit(True)), ["y_doc", "y_spot"], "left"
-    )
+    ).where("size > 1 OR later").drop("size")
     place = (F.col("doc_id") == F.col("y_doc")) & (F.col("spot") == F.col("y_spot"))
     return (
         lines.select("doc_id", "twin", "line_no", "spot", "name", "n")
