@@ -17,8 +17,8 @@ class, and each class goes through these steps:
    32 classes the pairs of different components are candidates; larger ones are
    compared with a second class, of another component than the first. What large
    buckets are still open then take an exact join on the rarest shingles of each set,
-   as many as a similar set must share one of, with length and position filters,
-   between different components.
+   as many as a similar set must share one of, with length, position and parity
+   filters, between different components.
 
 Sets are compared as sets of 64-bit shingle hashes.
 """
@@ -43,6 +43,8 @@ MINIMA = ROWS * BANDS
 SMALL = 32
 #: Hash buckets by which the rarity of shingles is counted, as a power of two.
 RARITY_BITS = 16
+#: Hash buckets of which a set tells whether it has an odd number of shingles in them.
+PARITY_BITS = 1024
 
 _U = np.uint64
 _PER_LONG = 64 // BITS
@@ -258,14 +260,26 @@ def _counted(batches):
     )
 
 
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """Which hash buckets have an odd number of a set's shingles, as long integers.
+
+    Two sets differ in one shingle at least for each bucket where these differ.
+    """
+    place = (shingles.view(np.uint64) & _U(PARITY_BITS - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _prefixes(counts: np.ndarray, similarity: int):
     """The rarest shingles of each set, as many as a similar set must share one of."""
 
     def run(batches):
         for batch in batches:
             out = [[], [], [], []]
+            odd = []
             for row, shingles in enumerate(batch["shingles"]):
                 values = shingles.values.to_numpy()
+                odd.append(_parity(values))
                 often = counts[_bucket(values)]
                 first = len(values) - (similarity * len(values) + 99) // 100 + 1
                 order = np.lexsort((values, often))[:first]
@@ -281,13 +295,20 @@ def _prefixes(counts: np.ndarray, similarity: int):
             if not batch.num_rows:
                 continue
             row, n, place, shingle = (np.concatenate(c).astype(np.int64) for c in out)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["node"].take(pa.array(row)), batch["label"].take(pa.array(row)),
-                    pa.array(n), pa.array(place), pa.array(shingle),
-                ],
-                ["node", "label", "n", "pos", "shingle"],
+            longs = PARITY_BITS // 64
+            odd = pa.ListArray.from_arrays(
+                np.arange(len(odd) + 1, dtype=np.int32) * np.int32(longs), np.concatenate(odd)
             )
+            for k in range(0, len(row), 1 << 15):
+                some = slice(k, k + (1 << 15))
+                rows = pa.array(row[some])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["node"].take(rows), batch["label"].take(rows), pa.array(n[some]),
+                        pa.array(place[some]), pa.array(shingle[some]), odd.take(rows),
+                    ],
+                    ["node", "label", "n", "pos", "shingle", "parity"],
+                )
 
     return run
 
@@ -307,12 +328,18 @@ def _across(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     for bucket, count in counted.groupBy("bucket").agg(F.sum("members")).collect():
         counts[bucket] = count  # one row per bucket, whatever the input
     prefix = own.select("node", "label", "shingles").mapInArrow(
-        _prefixes(counts, similarity), "node long, label long, n long, pos long, shingle long"
+        _prefixes(counts, similarity),
+        "node long, label long, n long, pos long, shingle long, parity array<long>",
     )
     prefix = stored(prefix, "prefix")
     x, y = prefix.alias("x"), prefix.alias("y")
     total = F.col("x.n") + F.col("y.n")
     least = F.ceil(total * similarity / (100 + similarity))
+    apart = F.lit(0)
+    for k in range(PARITY_BITS // 64):
+        apart = apart + F.bit_count(
+            F.col("x.parity").getItem(k).bitwiseXOR(F.col("y.parity").getItem(k))
+        )
     return (
         x.join(
             y,
@@ -323,7 +350,8 @@ def _across(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
             & (
                 # Positions count from 0: this one and what follows it.
                 F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= least
-            ),
+            )
+            & (apart <= total - 2 * least),
         )
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .distinct()
