@@ -68,7 +68,8 @@ def _bucket(short: Column) -> Column:
 def rarity(texts: DataFrame) -> bytes:
     """For each hash bucket, the logarithm of its words' occurrences: 1 to 127."""
     counts = (
-        texts.select(F.explode(F.split("text", "\n")).alias("line"))
+        # Words do not care about lines here, so each text is split once.
+        texts.select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("line"))
         .select(F.explode(_words("line")).alias("word"))
         .where("word <> ''")
         .groupBy(_bucket(_short(F.col("word"))).alias("bucket"))
@@ -96,11 +97,12 @@ def _keys(line: str, levels: bytes) -> Column:
 
     def key(h):
         """The level above the hash, which the other levels of its eight stir."""
-        bucket = F.shiftrightunsigned(h, 56 - BUCKETS.bit_length() + 1)
+        # The bucket is above the bits of `low`: an eight, then three bits in units of eight.
+        low = 56 - BUCKETS.bit_length() + 1
         eight = F.coalesce(
-            F.get(table, F.shiftrightunsigned(bucket, 3).cast("int")), F.lit(0).cast("long")
+            F.get(table, F.shiftrightunsigned(h, low + 3).cast("int")), F.lit(0).cast("long")
         )
-        bits = F.shiftleft(bucket, 3).bitwiseAND(F.lit(56)).cast("int")
+        bits = F.shiftrightunsigned(h, low - 3).bitwiseAND(F.lit(56)).cast("int")
         return F.call_function("shiftleft", eight, bits).bitwiseXOR(h)
 
     rows = F.array_remove(hashes, _short(F.lit("")))
@@ -205,30 +207,38 @@ def _prefix_rows(classes: DataFrame, similarity: int) -> DataFrame:
 def _candidates(classes: DataFrame, similarity: int) -> DataFrame:
     """Pairs that pass the filters; `keys` are those of which the former is the earliest.
 
-    Rows are dealt by key once, and sorted rows meet the earliest one without a join.
+    Rows are dealt by key once and sorted twice, for a window that finds the earliest row
+    of each key and for one join. Rows that pass with the earliest one ask no others:
+    they take part in the join as its other side alone, which keeps many variants of one
+    line from meeting each other. All others ask the rows before them, and the earliest
+    one the rows after it. Both sides are sorted by the key alone: one column of numbers
+    is sorted by its digits, several columns by comparing rows.
     """
     columns = ("doc_id", "spot", "n", "parity", "pos")
     rows = _prefix_rows(classes, similarity).repartition(F.col("key"))
-    so_far = Window.partitionBy("key").orderBy("doc_id", "spot").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    held = (
-        rows.select("key", *columns, *[F.first(c).over(so_far).alias(f"e_{c}") for c in columns])
-        .select(
-            "key", F.struct(*columns).alias("y"),
-            F.struct(*[F.col(f"e_{c}").alias(c) for c in columns]).alias("x"),
+    first = ~_before("e", "a")
+    asking = (
+        rows.select(
+            "key", F.struct(*columns).alias("a"),
+            F.min(F.struct(*columns)).over(Window.partitionBy("key")).alias("e"),
         )
-        .where(_before("x", "y"))
+        .where(first | ~_passes("e", "a", similarity))
+        .select("key", "a", first.alias("first"))
     )
-    passes = _passes("x", "y", similarity)
-    first = held.where(passes).select(*_pair("x", "y", "key"))
-    others = (
-        held.where(~passes).select("key", "y").join(rows.alias("x"), "key")
-        .where(_before("x", "y") & passes)
-        .select(*_pair("x", "y", F.lit(None).cast("long").alias("key")))
+    met = asking.join(rows.alias("b"), "key").where(
+        F.when(F.col("first"), _before("a", "b")).otherwise(_before("b", "a"))
+        & _passes("a", "b", similarity)
     )
+
+    def either(x: str, y: str) -> Column:
+        return F.when(F.col("first"), F.col(x)).otherwise(F.col(y))
+
     return (
-        first.union(others)
+        met.select(
+            either("a.doc_id", "b.doc_id").alias("x_doc"), either("a.spot", "b.spot").alias("x_spot"),
+            either("b.doc_id", "a.doc_id").alias("y_doc"), either("b.spot", "a.spot").alias("y_spot"),
+            F.when(F.col("first"), F.col("key")).alias("key"),
+        )
         .groupBy("x_doc", "x_spot", "y_doc", "y_spot")
         .agg(F.collect_set("key").alias("keys"))
     )

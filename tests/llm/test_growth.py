@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import random
+import re
+from collections import Counter
+from math import floor, log2
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +98,43 @@ def test_op1_rarer_words_come_first(spark):
     assert len({key for _, key in keys}) == len(words)
 
 
+CLASS = "doc_id long, spot long, n int, parity long, prefix array<int>"
+
+
+def test_op1_rows_are_dealt_to_one_window_and_one_join(spark):
+    """Before, the window was made for each of two branches, and the join came on top."""
+    pairs = line_dedup._candidates(spark.createDataFrame([], CLASS), 90)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1
+    assert plan.count("RepartitionByExpression [") == 2
+
+
+def test_op1_variants_of_one_line_meet_the_earliest_alone(spark):
+    """Variants pass with the earliest; lines of the same words that do not ask all others."""
+    rows = [(k, 0, 50, 0, [1000 + k, 7, 8]) for k in range(300)]
+    # Too many bits apart from the variants, but not from each other.
+    rows += [(300 + k, 0, 50, 0x3FFFFF, [2000 + k, 7, 8]) for k in range(3)]
+    found = line_dedup._candidates(spark.createDataFrame(rows, CLASS), 90).collect()
+    got = {(r.x_doc, r.y_doc): len(r["keys"]) for r in found}
+    assert len(got) == len(found)
+    assert {p for p in got if p[1] < 300} == {(0, k) for k in range(1, 300)}
+    assert {p for p in got if p[1] >= 300} == {(300, 301), (300, 302), (301, 302)}
+    # Asked of the earliest for both words; pairs of others have no key to try again.
+    assert all(n == (2 if x == 0 else 0) for (x, _), n in got.items())
+
+
+def test_op1_rarity_counts_words_of_whole_texts(spark):
+    texts = ["a b\n\nc a ", "", "\n", "d\ta\x0bb\r\n\fe a", "\u00a0 z\u2028z"]
+    words = [w for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", t)]
+    made = spark.createDataFrame([(w,) for w in words], "word string")
+    hashes = [h for (h,) in made.select(line_dedup._short(F.col("word"))).collect()]
+    counts = Counter(h >> 41 for h in hashes)
+    levels = line_dedup.rarity(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert {b: n for b, n in enumerate(levels) if n > 1 or b in counts} == {
+        b: 1 + floor(4 * log2(n)) for b, n in counts.items()
+    }
+
+
 def test_op10_joins_few_pairs_below_the_threshold(spark, monkeypatch):
     """Variants of one text that are all alike at about 0.7: no links, but near ones.
 
