@@ -49,11 +49,16 @@ BAND = 1.25
 _RARE_SPACES = "\t\x0b\f\r"
 
 
-def _words(line: str) -> Column:
-    """The words of a line among empty strings; splitting at one character is fast."""
-    plain = F.translate(line, _RARE_SPACES, " " * len(_RARE_SPACES))
-    odd = reduce(or_, [F.col(line).contains(c) for c in _RARE_SPACES])
-    return F.split(F.when(odd, plain).otherwise(F.col(line)), " ")
+def _plain(text: str) -> Column:
+    """The text with a space for each of the rare ones, asked of a whole text at once."""
+    plain = F.translate(text, _RARE_SPACES, " " * len(_RARE_SPACES))
+    odd = reduce(or_, [F.col(text).contains(c) for c in _RARE_SPACES])
+    return F.when(odd, plain).otherwise(F.col(text))
+
+
+def _words(line: str | Column) -> Column:
+    """The words of a plain line among empty strings; splitting at one character is fast."""
+    return F.split(line, " ")
 
 
 def _short(word: Column) -> Column:
@@ -70,7 +75,7 @@ def rarity(texts: DataFrame) -> bytes:
     counts = (
         # Words do not care about lines here, so each text is split once.
         texts.select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("line"))
-        .select(F.explode(_words("line")).alias("word"))
+        .select(F.explode(_words(_plain("line"))).alias("word"))
         .where("word <> ''")
         .groupBy(_bucket(_short(F.col("word"))).alias("bucket"))
         .agg(F.least(F.lit(127), 1 + F.floor(4 * F.log2(F.count("*")))).cast("int").alias("level"))
@@ -82,7 +87,7 @@ def rarity(texts: DataFrame) -> bytes:
 
 
 def _keys(line: str, levels: bytes) -> Column:
-    """The distinct words of a line as numbers, rarest first.
+    """The distinct words of a plain line as numbers, rarest first.
 
     Only the making of the numbers is in lambdas, which are not compiled and make no use
     of what they have made already: each word is hashed in one, and each distinct hash
@@ -93,7 +98,8 @@ def _keys(line: str, levels: bytes) -> Column:
     # once, when the plan is optimised; one literal for each number would not be.
     eights = [int.from_bytes(levels[k : k + 8], "big") for k in range(0, BUCKETS, 8)]
     table = F.split(F.lit(" ".join(map(str, eights))), " ").cast("array<long>")
-    hashes = F.array_distinct(F.transform(_words(line), _short))
+    # One set for both: what repeats goes, and what stands for the empty strings.
+    hashes = F.array_except(F.transform(_words(line), _short), F.array(_short(F.lit(""))))
 
     def key(h):
         """The level above the hash, which the other levels of its eight stir."""
@@ -105,8 +111,7 @@ def _keys(line: str, levels: bytes) -> Column:
         bits = F.shiftrightunsigned(h, low - 3).bitwiseAND(F.lit(56)).cast("int")
         return F.call_function("shiftleft", eight, bits).bitwiseXOR(h)
 
-    rows = F.array_remove(hashes, _short(F.lit("")))
-    return F.sort_array(F.transform(rows, key))
+    return F.sort_array(F.transform(hashes, key))
 
 
 def _parity(keys: str) -> Column:
@@ -121,8 +126,11 @@ def _parity(keys: str) -> Column:
 
 
 def _has_words(line: str) -> Column:
-    """Asked of the line itself: a filter on its keys would have Spark make them twice."""
-    return F.col(line).rlike(f"[^ {_RARE_SPACES}]")
+    """Asked of the plain line: a filter on its keys would have Spark make them twice.
+
+    No regular expression, as that takes each line for a string of Java's first.
+    """
+    return F.ltrim(F.col(line)) != ""
 
 
 def _name() -> Column:
@@ -137,13 +145,13 @@ def _spot() -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `twin`, `line_no` and `line`; `twin` tells texts with one id apart.
+    """`doc_id`, `twin`, `line_no` and the plain `line`; `twin` tells texts with one id apart.
 
     `twin` is made first, or else each line would carry its text and hash it.
     """
-    return docs.select("doc_id", F.xxhash64("text").alias("twin"), "text").select(
-        "doc_id", "twin", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
-    )
+    return docs.select(
+        "doc_id", F.xxhash64("text").alias("twin"), _plain("text").alias("text")
+    ).select("doc_id", "twin", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def _ceil(value: Column, by: int) -> Column:

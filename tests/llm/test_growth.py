@@ -123,6 +123,23 @@ def test_op1_variants_of_one_line_meet_the_earliest_alone(spark):
     assert all(n == (2 if x == 0 else 0) for (x, _), n in got.items())
 
 
+def test_op1_spaces_are_made_plain_once_a_text(spark):
+    """Before, each line was searched for rare spaces and went through a regular expression."""
+    texts = ["d\ta\x0bb a  d\r\n\f \t\n\n c", "x y\nz"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lines = line_dedup._lines(docs)
+    assert [r.line for r in lines.orderBy("doc_id", "line_no").collect()] == [
+        "d a b a  d ", "   ", "", " c", "x y", "z"
+    ]
+    worded = lines.where(line_dedup._has_words("line"))
+    keys = worded.withColumn("keys", line_dedup._keys("line", b"\x01" * line_dedup.BUCKETS))
+    assert [(r.line, len(r["keys"])) for r in keys.orderBy("doc_id", "line_no").collect()] == [
+        ("d a b a  d ", 3), (" c", 1), ("x y", 2), ("z", 1)
+    ]
+    plan = keys._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and plan.count("Contains(") == len(line_dedup._RARE_SPACES)
+
+
 def test_op1_rarity_counts_words_of_whole_texts(spark):
     texts = ["a b\n\nc a ", "", "\n", "d\ta\x0bb\r\n\fe a", "\u00a0 z\u2028z"]
     words = [w for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", t)]
