@@ -9,6 +9,10 @@ from boxtrail.sources.listing import FILE, listed_files
 #: Plain files and compressed ones.
 JSON_GLOB = "*.[jJ][sS][oO][nN]{,.gz,.snappy}"
 CORRUPT = "_corrupt_record"
+#: Ends no line of a JSON text, which has no such character. A file is one line then.
+NO_LINE_END = "\0boxtrail: nenhum fim de linha\0"
+#: Bytes on disk of a file that is read as one line at most. Its text may be twenty times as long.
+AS_ONE_LINE = 8 << 20
 _PATH = "_metadata.file_path"
 
 
@@ -42,11 +46,21 @@ def scan_json(
     per line read faster without it, as Spark can split them unless they are
     compressed. ``diagnostics`` adds the file's path and, where a document
     does not fit the schema, its text.
+
+    With ``diagnostics`` a multi-line file up to ``AS_ONE_LINE`` is read as one line,
+    so that its text is in memory. Else, for the text, Spark reads a file again for each
+    row of an array that does not fit, and keeps the buffers of all these streams until
+    the task ends. The rows are the same. Larger files are parsed as they are read.
     """
     reader = _reader(spark, multi_line, glob)
     if not diagnostics:
         return reader.schema(schema).json(path)
     df = reader.schema(with_corrupt(schema)).json(path)
+    if multi_line:
+        lines = reader.option("multiLine", False).option("lineSep", NO_LINE_END).json(path)
+        small = F.col("_metadata.file_size") <= AS_ONE_LINE
+        columns = [*df.columns, F.col(_PATH).alias(FILE)]
+        return lines.filter(small).select(columns).union(df.filter(~small).select(columns))
     return df.withColumn(FILE, F.col(_PATH))
 
 
